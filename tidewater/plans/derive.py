@@ -87,3 +87,75 @@ def mixed_user_message() -> Column:
         .when(kind == "click", F.left(full, F.length(full) - 1))
         .otherwise(F.lit(""))
     )
+
+
+def customer_raw_profiles(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """One raw API response per customer, as JSON text in column `raw`.
+
+    Shapes vary with the data so every reshape rule is exercised: the post
+    code is a JSON number in even regions and text elsewhere; HOUSEHOLD
+    customers lack the `email` key; a negative balance gives a null gender
+    (accepted); a balance over 9000 a null city (rejected); a balance in
+    [0, 50) an empty result list; one in [50, 60) text cut short.
+    """
+    from tidewater.operators.joins import join_dimension
+
+    j = join_dimension(
+        join_dimension(customer, nation, customer.c_nationkey == nation.n_nationkey),
+        region, F.col("n_regionkey") == region.r_regionkey,
+    )
+    first = F.split(F.col("c_name"), "#").getItem(0)
+    last = F.split(F.col("c_name"), "#").getItem(1)
+    key = F.col("c_custkey").cast("string")
+    gender = (
+        F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string"))
+        .when(F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"), F.lit("male"))
+        .otherwise(F.lit("female"))
+    )
+    city = F.when(F.col("c_acctbal") > 9000, F.lit(None).cast("string")).otherwise(F.col("n_name"))
+
+    person = F.struct(
+        gender.alias("gender"),
+        F.struct(first.alias("first"), last.alias("last")).alias("name"),
+        F.struct(
+            F.struct(F.col("c_custkey").alias("number"),
+                     F.concat(F.col("c_mktsegment"), F.lit(" St")).alias("name")).alias("street"),
+            city.alias("city"),
+            F.col("r_name").alias("state"),
+            F.col("n_name").alias("country"),
+            F.concat(F.lit("P"), key).alias("postcode"),
+        ).alias("location"),
+        F.concat(F.lower(first), F.lit("."), last, F.lit("@example.com")).alias("email"),
+        F.struct(F.concat(F.lit("user"), key).alias("username")).alias("login"),
+        F.struct(F.concat((F.col("c_nationkey") + 1950).cast("string"),
+                          F.lit("-01-15T00:00:00.000Z")).alias("date")).alias("dob"),
+        F.struct(F.concat((F.col("n_regionkey") + 2000).cast("string"),
+                          F.lit("-06-30T12:00:00.000Z")).alias("date")).alias("registered"),
+        F.concat(F.lit("+"), F.col("c_nationkey").cast("string"), F.lit("-"), key).alias("phone"),
+        F.struct(F.concat(F.lit("https://img.example/"), key, F.lit(".jpg")).alias("medium")).alias("picture"),
+    )
+    # Each step is its own projection: a CASE that refers to the step before
+    # twice would otherwise copy the whole to_json tree into every branch.
+    steps = j.select(
+        "c_custkey", "c_acctbal", "c_mktsegment", "n_regionkey",
+        F.to_json(F.struct(F.array(person).alias("results")),
+                  {"ignoreNullFields": "false"}).alias("body"),
+    )
+    body = F.col("body")
+    # Even regions: the post code becomes the JSON number key * 10 + 7.
+    steps = steps.withColumn("body", F.when(
+        F.col("n_regionkey").isin(0, 2, 4),
+        F.regexp_replace(body, r'"postcode":"P[0-9]+"',
+                         F.concat(F.lit('"postcode":'), (F.col("c_custkey") * 10 + 7).cast("string"))),
+    ).otherwise(body))
+    # HOUSEHOLD customers: the `email` key is left out.
+    steps = steps.withColumn("body", F.when(
+        F.col("c_mktsegment") == "HOUSEHOLD", F.regexp_replace(body, r',"email":"[^"]*"', "")
+    ).otherwise(body))
+    bal = F.col("c_acctbal")
+    raw = (
+        F.when((bal >= 0) & (bal < 50), F.lit('{"results": []}'))
+        .when((bal >= 50) & (bal < 60), F.left(body, F.lit(40)))
+        .otherwise(body)
+    )
+    return steps.select("c_custkey", raw.alias("raw"))

@@ -83,3 +83,111 @@ ORACLE: dict[str, str] = {
         FROM (SELECT {_USER_FIELDS} FROM r WHERE rn = 1)""",
     "row_count": "SELECT COUNT(*) AS row_count FROM events",
 }
+
+
+# --- word counts -------------------------------------------------------------
+def _word_count(tbl: str) -> str:
+    return f"""
+        SELECT word, COUNT(*) AS count
+        FROM (SELECT unnest(string_split(text, ' ')) AS word FROM {tbl})
+        GROUP BY word"""
+
+
+ORACLE["word_count"] = _word_count("documents")
+ORACLE["word_count_conversations"] = _word_count("conversations")
+
+
+# --- raw profiles built and read with DuckDB's JSON functions ----------------
+def _person(postcode: str, with_email: bool) -> str:
+    parts = [
+        "'gender', gender",
+        "'name', json_object('first', first, 'last', last)",
+        "'location', json_object('street', json_object('number', c_custkey, 'name', "
+        "c_mktsegment || ' St'), 'city', city, 'state', r_name, 'country', n_name, "
+        f"'postcode', {postcode})",
+    ]
+    if with_email:
+        parts.append("'email', lower(first) || '.' || last || '@example.com'")
+    parts += [
+        "'login', json_object('username', 'user' || key)",
+        "'dob', json_object('date', CAST(c_nationkey + 1950 AS VARCHAR) || '-01-15T00:00:00.000Z')",
+        "'registered', json_object('date', CAST(n_regionkey + 2000 AS VARCHAR) || '-06-30T12:00:00.000Z')",
+        "'phone', '+' || CAST(c_nationkey AS VARCHAR) || '-' || key",
+        "'picture', json_object('medium', 'https://img.example/' || key || '.jpg')",
+    ]
+    return "json_object('results', json_array(json_object(" + ", ".join(parts) + ")))::VARCHAR"
+
+
+_NUM_PC = "to_json(c_custkey * 10 + 7)"
+_TXT_PC = "to_json('P' || key)"
+_LEAVES = {  # output column -> leaf path under $.results[0]
+    "first_name": "name.first", "last_name": "name.last", "gender": "gender",
+    "post_code": "location.postcode", "email": "email", "username": "login.username",
+    "dob": "dob.date", "registered_date": "registered.date", "phone": "phone",
+    "picture": "picture.medium",
+}
+_ADDR = ["location.street.number", "location.street.name", "location.city",
+         "location.state", "location.country"]
+_NULLABLE = ["gender", "dob", "registered_date", "phone", "picture"]
+
+
+def _jt(leaf: str) -> str:
+    return f"json_type(raw, '$.results[0].{leaf}')"
+
+
+def _js(leaf: str) -> str:
+    return f"CASE WHEN ok THEN json_extract_string(raw, '$.results[0].{leaf}') END"
+
+
+_ALL = _ADDR + list(_LEAVES.values())
+_REQ = _ADDR + [p for k, p in _LEAVES.items() if k not in _NULLABLE]
+_PROFILE_RAW = f"""
+    j AS (
+      SELECT c_custkey, c_acctbal, c_mktsegment, c_nationkey, n_name, n_regionkey, r_name,
+             split_part(c_name, '#', 1) AS first, split_part(c_name, '#', 2) AS last,
+             CAST(c_custkey AS VARCHAR) AS key,
+             CASE WHEN c_acctbal < 0 THEN NULL
+                  WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'male'
+                  ELSE 'female' END AS gender,
+             CASE WHEN c_acctbal > 9000 THEN NULL ELSE n_name END AS city,
+             n_regionkey IN (0, 2, 4) AS even, c_mktsegment = 'HOUSEHOLD' AS household
+      FROM customer JOIN nation ON c_nationkey = n_nationkey
+                    JOIN region ON n_regionkey = r_regionkey),
+    f AS (
+      SELECT c_custkey, c_acctbal, CASE
+          WHEN even AND household THEN {_person(_NUM_PC, False)}
+          WHEN even THEN {_person(_NUM_PC, True)}
+          WHEN household THEN {_person(_TXT_PC, False)}
+          ELSE {_person(_TXT_PC, True)} END AS body
+      FROM j),
+    r AS (
+      SELECT c_custkey, CASE
+          WHEN c_acctbal >= 0 AND c_acctbal < 50 THEN '{{"results": []}}'
+          WHEN c_acctbal >= 50 AND c_acctbal < 60 THEN left(body, 40)
+          ELSE body END AS raw
+      FROM f),
+    p AS (SELECT c_custkey, raw, json_valid(raw) AS ok FROM r),
+    u AS (
+      SELECT md5('customer|' || CAST(c_custkey AS VARCHAR)) AS x,
+        {", ".join(f"{_js(p)} AS {k}" for k, p in _LEAVES.items())},
+        {" || ', ' || ".join([_js(_ADDR[0]) + " || ' ' || " + _js(_ADDR[1])] + [_js(a) for a in _ADDR[2:]])} AS address,
+        CASE WHEN NOT ok THEN 'bad_json'
+             WHEN json_type(raw, '$.results[0]') IS NULL THEN 'no_result'
+             WHEN {" OR ".join(f"{_jt(a)} IS NULL" for a in _ALL)} THEN 'missing_field'
+             WHEN {" OR ".join(f"{_jt(a)} = 'NULL'" for a in _REQ)} THEN 'null_field'
+        END AS reject_reason
+      FROM p)"""
+_UUID = ("substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-' || substr(x, 13, 4) || '-' "
+         "|| substr(x, 17, 4) || '-' || substr(x, 21, 12)")
+
+ORACLE["profile_reshape"] = f"""
+    WITH {_PROFILE_RAW}
+    SELECT {_UUID} AS id, first_name, last_name, gender, address, post_code, email,
+           username, dob, registered_date, phone, picture, reject_reason
+    FROM u"""
+
+ORACLE["sample_limit"] = f"""
+    WITH {_PROFILE_RAW}
+    SELECT {_UUID} AS id, first_name, last_name, email
+    FROM u WHERE reject_reason IS NULL
+    ORDER BY id LIMIT 10"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions.ids import derived_id
-from tidewater.operators import decode, keyed
+from tidewater.operators import decode, keyed, profile, wordcount
 from tidewater.plans import derive
 from tidewater.plans.tables import table
 from tidewater.schemas import USER_V1, USER_V1_COLUMNS
@@ -65,6 +65,51 @@ def row_count(spark, sf_dir):
     return keyed.row_count(table(spark, sf_dir, "events"))
 
 
+def word_count(spark, sf_dir):
+    """Running word count, batch form, over documents."""
+    return wordcount.word_counts(table(spark, sf_dir, "documents"), "text")
+
+
+def word_count_conversations(spark, sf_dir):
+    return wordcount.word_counts(table(spark, sf_dir, "conversations"), "text")
+
+
+def _raw_profiles(spark, sf_dir):
+    return derive.customer_raw_profiles(
+        table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"),
+        table(spark, sf_dir, "region"),
+    )
+
+
+def profile_reshape(spark, sf_dir):
+    """Raw nested response -> flat user + reason."""
+    return profile.reshape_profiles(
+        _raw_profiles(spark, sf_dir), "raw", [F.lit("customer"), "c_custkey"]
+    )
+
+
+def profile_reshape_typed(spark, sf_dir):
+    """P6 through `from_json` + `get(results, 0)` instead of the variant."""
+    return profile.reshape_profiles_typed(
+        _raw_profiles(spark, sf_dir), "raw", [F.lit("customer"), "c_custkey"]
+    )
+
+
+def sample_limit(spark, sf_dir):
+    """L1, P5: SELECT id, first_name, last_name, email ... LIMIT 10 over the
+    accepted users, ordered by id so the sample can be checked."""
+    users = profile_reshape(spark, sf_dir)
+    # Accepted rows sort first, so the first 10 by (rejected, id) hold the
+    # first 10 accepted ones whenever there are 10.  Filtering after the
+    # limit keeps the filter from being pushed under the reshape projection,
+    # where it would parse every response a second time.
+    top = keyed.sample_rows(
+        users, ["id", "first_name", "last_name", "email", "reject_reason"], 10,
+        order=[F.col("reject_reason").isNotNull(), F.col("id")],
+    )
+    return top.where(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
 QUERIES: dict[str, Query] = {
     "json_decode_flatten": json_decode_flatten,
     "envelope_roundtrip": envelope_roundtrip,
@@ -72,4 +117,9 @@ QUERIES: dict[str, Query] = {
     "derived_id": derived_ids,
     "keyed_latest": keyed_latest,
     "row_count": row_count,
+    "word_count": word_count,
+    "word_count_conversations": word_count_conversations,
+    "profile_reshape": profile_reshape,
+    "profile_reshape_typed": profile_reshape_typed,
+    "sample_limit": sample_limit,
 }
