@@ -191,3 +191,45 @@ ORACLE["sample_limit"] = f"""
     SELECT {_UUID} AS id, first_name, last_name, email
     FROM u WHERE reject_reason IS NULL
     ORDER BY id LIMIT 10"""
+
+
+# --- run statistics: the plain per-run window formulation --------------------
+def _run_stats(limit: int, duration_s: int | None) -> str:
+    keep = "TRUE" if duration_s is None else (
+        f"ts < min(ts) OVER (PARTITION BY user_id) + INTERVAL {duration_s} SECOND")
+    return f"""
+        WITH a0 AS (
+          SELECT user_id AS run_id, event_id AS seq, ts, event_type <> 'error' AS ok,
+                 {keep} AS inside
+          FROM events),
+        a AS (SELECT * FROM a0 WHERE inside),
+        b AS (
+          SELECT *, CASE WHEN ok THEN 0 ELSE 1 END AS err,
+                 SUM(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY ts, seq
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp
+          FROM a),
+        c AS (
+          SELECT *, SUM(err) OVER (PARTITION BY run_id, grp ORDER BY ts, seq
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak
+          FROM b),
+        d AS (
+          SELECT *, COALESCE(MAX(streak) OVER (PARTITION BY run_id ORDER BY ts, seq
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior_max
+          FROM c)
+        SELECT run_id,
+               CAST(SUM(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS messages_sent,
+               CAST(SUM(err) AS BIGINT) AS errors,
+               CAST(MAX(streak) AS BIGINT) AS longest_streak,
+               MAX(streak) >= {limit} AS stopped
+        FROM d WHERE prior_max < {limit}
+        GROUP BY run_id"""
+
+
+ORACLE["run_stats"] = _run_stats(3, None)
+ORACLE["run_stats_limited"] = _run_stats(3, 7 * 86_400)
+ORACLE["run_duration_cutoff"] = """
+    SELECT run_id, seq, ok FROM (
+      SELECT user_id AS run_id, event_id AS seq, event_type <> 'error' AS ok, ts,
+             min(ts) OVER (PARTITION BY user_id) AS start
+      FROM events)
+    WHERE ts < start + INTERVAL 86400 SECOND"""

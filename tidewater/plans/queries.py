@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions.ids import derived_id
-from tidewater.operators import decode, keyed, profile, wordcount
+from tidewater.operators import decode, keyed, profile, runs, wordcount
 from tidewater.plans import derive
 from tidewater.plans.tables import table
 from tidewater.schemas import USER_V1, USER_V1_COLUMNS
@@ -110,6 +110,33 @@ def sample_limit(spark, sf_dir):
     return top.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
+# --- fixed values: run limits used on the events table ----------------------
+RUN_MAX_ERRORS = 3
+RUN_DURATION_SECONDS = 86_400
+RUN_LIMITED_DURATION_SECONDS = 7 * 86_400
+# ---------------------------------------------------------------------------
+
+
+def run_stats(spark, sf_dir):
+    """A3, A4: per run (user) sent / errors with the consecutive-error stop."""
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
+    return runs.run_stats(attempts, RUN_MAX_ERRORS)
+
+
+def run_duration_cutoff(spark, sf_dir):
+    """A5: the attempts made within the first day of each run."""
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
+    return runs.within_duration(attempts, RUN_DURATION_SECONDS).select("run_id", "seq", "ok")
+
+
+def run_stats_limited(spark, sf_dir):
+    """A3-A5 together, as the producer loop applies them: duration first,
+    then the streak cut-off over what is left."""
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
+    kept = runs.within_duration(attempts, RUN_LIMITED_DURATION_SECONDS)
+    return runs.run_stats(kept, RUN_MAX_ERRORS)
+
+
 QUERIES: dict[str, Query] = {
     "json_decode_flatten": json_decode_flatten,
     "envelope_roundtrip": envelope_roundtrip,
@@ -122,4 +149,7 @@ QUERIES: dict[str, Query] = {
     "profile_reshape": profile_reshape,
     "profile_reshape_typed": profile_reshape_typed,
     "sample_limit": sample_limit,
+    "run_stats": run_stats,
+    "run_duration_cutoff": run_duration_cutoff,
+    "run_stats_limited": run_stats_limited,
 }
