@@ -159,3 +159,23 @@ def customer_raw_profiles(customer: DataFrame, nation: DataFrame, region: DataFr
         .otherwise(body)
     )
     return steps.select("c_custkey", raw.alias("raw"))
+
+
+def event_log_lines(events: DataFrame) -> DataFrame:
+    """One latency log line per event: the function is the event type, the
+    latency is value / 10 seconds (three decimals, no rounding needed since
+    values carry two), errors are logged at ERROR level."""
+    from tidewater.operators.logs import LOG_TIME_FORMAT, log_line
+
+    latency = format_latency(F.col("value") / 10)
+    line = log_line({
+        "timestamp": F.date_format("ts", LOG_TIME_FORMAT),
+        "level": F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO"),
+        "item_id": F.col("event_id").cast("string"),
+        "message": F.concat(F.lit("Latency: "), F.col("event_type"), F.lit(" completed in "), latency),
+        "user_id": F.col("user_id").cast("string"),
+        "request_payload": F.from_json(F.col("props"), "map<string,int>"),
+        "function_name": F.col("event_type"),
+        "latency": latency,
+    })
+    return events.select(line.alias("value"))

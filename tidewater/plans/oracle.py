@@ -233,3 +233,41 @@ ORACLE["run_duration_cutoff"] = """
              min(ts) OVER (PARTITION BY user_id) AS start
       FROM events)
     WHERE ts < start + INTERVAL 86400 SECOND"""
+
+
+ORACLE["log_latency"] = """
+    WITH l AS (
+      SELECT json_object(
+          'timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%SZ'),
+          'level', CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END,
+          'function_name', event_type,
+          'latency', printf('%.3fs', value / 10)) AS line
+      FROM events),
+    p AS (
+      SELECT json_extract_string(line, '$.function_name') AS function_name,
+             json_extract_string(line, '$.level') AS level,
+             TRY_CAST(regexp_extract(json_extract_string(line, '$.latency'),
+                      '^([0-9]+(\\.[0-9]+)?)s$', 1) AS DOUBLE) AS latency_s
+      FROM l)
+    SELECT function_name, COUNT(*) AS calls,
+           CAST(SUM(CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+           round(avg(latency_s), 6) AS avg_latency, max(latency_s) AS max_latency,
+           round(quantile_cont(latency_s, 0.5), 6) AS p50_latency
+    FROM p WHERE latency_s IS NOT NULL
+    GROUP BY function_name"""
+
+ORACLE["enrich_dim"] = """
+    SELECT e.event_id, e.event_type, e.user_id, c.c_mktsegment, n.n_name, r.r_name
+    FROM events e
+    LEFT JOIN customer c ON e.user_id = c.c_custkey
+    LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+    LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+ORACLE["daily_anomaly"] = """
+    WITH c AS (
+      SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS day, COUNT(*) AS n
+      FROM events GROUP BY 1, 2)
+    SELECT event_type, day, n,
+           round(CASE WHEN stddev_samp(n) OVER w > 0
+                 THEN (n - avg(n) OVER w) / stddev_samp(n) OVER w END, 6) AS z
+    FROM c WINDOW w AS (PARTITION BY event_type)"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions.ids import derived_id
-from tidewater.operators import decode, keyed, profile, runs, wordcount
+from tidewater.operators import anomaly, decode, enrich, keyed, logs, profile, runs, wordcount
 from tidewater.plans import derive
 from tidewater.plans.tables import table
 from tidewater.schemas import USER_V1, USER_V1_COLUMNS
@@ -137,6 +137,23 @@ def run_stats_limited(spark, sf_dir):
     return runs.run_stats(kept, RUN_MAX_ERRORS)
 
 
+def log_latency(spark, sf_dir):
+    """JSON log lines -> parse -> latency per function."""
+    lines = derive.event_log_lines(table(spark, sf_dir, "events"))
+    return logs.latency_summary(logs.parse_logs(lines))
+
+
+def enrich_dim(spark, sf_dir):
+    """Events enriched with the customer segment, nation and region."""
+    t = lambda n: table(spark, sf_dir, n)
+    return enrich.enrich_events(t("events"), t("customer"), t("nation"), t("region"))
+
+
+def daily_anomaly(spark, sf_dir):
+    """Per type and day, event count and z-score."""
+    return anomaly.daily_zscores(table(spark, sf_dir, "events"))
+
+
 QUERIES: dict[str, Query] = {
     "json_decode_flatten": json_decode_flatten,
     "envelope_roundtrip": envelope_roundtrip,
@@ -152,4 +169,7 @@ QUERIES: dict[str, Query] = {
     "run_stats": run_stats,
     "run_duration_cutoff": run_duration_cutoff,
     "run_stats_limited": run_stats_limited,
+    "log_latency": log_latency,
+    "enrich_dim": enrich_dim,
+    "daily_anomaly": daily_anomaly,
 }
