@@ -271,3 +271,14 @@ ORACLE["daily_anomaly"] = """
            round(CASE WHEN stddev_samp(n) OVER w > 0
                  THEN (n - avg(n) OVER w) / stddev_samp(n) OVER w END, 6) AS z
     FROM c WINDOW w AS (PARTITION BY event_type)"""
+
+
+ORACLE["keyed_stream_upsert"] = f"""
+    WITH r AS (
+      SELECT *, row_number() OVER (PARTITION BY user_id
+             ORDER BY ts DESC, {_PART} DESC, event_id DESC) AS rn
+      FROM events WHERE event_type IN ('purchase', 'signup'))
+    SELECT id, first_name, last_name, gender, address, post_code, email,
+           username, registered_date, phone, picture
+    FROM (SELECT {_USER_FIELDS} FROM r WHERE rn = 1)"""
+ORACLE["word_count_stream"] = ORACLE["word_count"]

@@ -114,6 +114,7 @@ def sample_limit(spark, sf_dir):
 RUN_MAX_ERRORS = 3
 RUN_DURATION_SECONDS = 86_400
 RUN_LIMITED_DURATION_SECONDS = 7 * 86_400
+STREAM_FILES = 4  # landing files replayed one per micro-batch
 # ---------------------------------------------------------------------------
 
 
@@ -154,6 +155,45 @@ def daily_anomaly(spark, sf_dir):
     return anomaly.daily_zscores(table(spark, sf_dir, "events"))
 
 
+def keyed_stream_upsert(spark, sf_dir):
+    """U1, T1, T2, T4, T5, S1f, X2: user messages (some faulty) stored as
+    envelope files, replayed one file per micro-batch through the ingest
+    query into a keyed table and a dead-letter folder; result = the
+    table's current view."""
+    from tidewater.session import scratch_path
+    from tidewater.sinks.keyed_table import KeyedTable
+    from tidewater.sources.replay import read_envelopes, write_envelopes
+    from tidewater.streaming.ingest import start_ingest
+
+    root = scratch_path(spark, "keyed_stream_upsert")
+    env = derive.events_envelope(table(spark, sf_dir, "events"), derive.mixed_user_message())
+    write_envelopes(env, f"{root}/landing", files=STREAM_FILES)
+    stream = read_envelopes(spark, f"{root}/landing", streaming=True, max_files_per_trigger=1)
+    users = KeyedTable(spark, f"{root}/table", key="id", order=["timestamp", "partition", "offset"])
+    q = start_ingest(stream, users, f"{root}/dead_letters", f"{root}/checkpoint",
+                     available_now=True)
+    q.awaitTermination()
+    return users.current().select(*USER_V1_COLUMNS)
+
+
+def word_count_stream(spark, sf_dir):
+    """Streaming word count in update mode into a keyed table
+    (key = word, newest count wins), documents replayed over 4 batches."""
+    from tidewater.session import scratch_path
+    from tidewater.streaming.wordcount import start_word_count, word_count_table
+
+    root = scratch_path(spark, "word_count_stream")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.repartitionByRange(STREAM_FILES, "doc_id").write.parquet(f"{root}/landing")
+    lines = (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", "1")
+             .parquet(f"{root}/landing"))
+    counts = word_count_table(spark, f"{root}/table")
+    q = start_word_count(lines, counts, f"{root}/checkpoint", text_col="text",
+                         available_now=True)
+    q.awaitTermination()
+    return counts.current().select("word", "count")
+
+
 QUERIES: dict[str, Query] = {
     "json_decode_flatten": json_decode_flatten,
     "envelope_roundtrip": envelope_roundtrip,
@@ -172,4 +212,6 @@ QUERIES: dict[str, Query] = {
     "log_latency": log_latency,
     "enrich_dim": enrich_dim,
     "daily_anomaly": daily_anomaly,
+    "keyed_stream_upsert": keyed_stream_upsert,
+    "word_count_stream": word_count_stream,
 }
