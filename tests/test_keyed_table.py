@@ -17,21 +17,21 @@ def view(t):
 
 
 def test_last_write_wins_across_batches(spark, scratch):
-    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=4)
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
     t.upsert(batch(spark, [("a", "1", 1, 0, 0), ("b", "1", 1, 0, 1), ("a", "2", 2, 0, 2)]), 0)
     t.upsert(batch(spark, [("b", "2", 3, 0, 3), ("c", None, 3, 0, 4)]), 1)
     assert view(t) == [("a", "2"), ("b", "2"), ("c", None)]
 
 
 def test_order_not_batch_decides(spark, scratch):
-    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=4)
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
     t.upsert(batch(spark, [("a", "late", 9, 0, 9)]), 0)
     t.upsert(batch(spark, [("a", "early", 1, 0, 1)]), 1)
     assert view(t) == [("a", "late")]
 
 
 def test_replayed_batch_changes_nothing(spark, scratch):
-    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=4)
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
     b0 = batch(spark, [("a", "1", 1, 0, 0), ("b", "1", 1, 0, 1)])
     t.upsert(b0, 0)
     before = view(t)
@@ -40,16 +40,16 @@ def test_replayed_batch_changes_nothing(spark, scratch):
 
 
 def test_uncommitted_attempt_is_invisible(spark, scratch):
-    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=4)
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
     t.upsert(batch(spark, [("a", "1", 1, 0, 0)]), 0)
     # A half-done retry of batch 1: files written, commit never made.
-    (batch(spark, [("a", "ghost", 5, 0, 5)]).withColumn("bucket", F.lit(0))
-        .write.partitionBy("bucket").parquet(f"{scratch}/segments/batch=1/attempt=aZZ"))
+    batch(spark, [("a", "ghost", 5, 0, 5)]).write.parquet(
+        f"{scratch}/segments/batch=1/attempt=aZZ")
     assert view(t) == [("a", "1")]
 
 
 def test_compaction_keeps_view(spark, scratch):
-    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=4)
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
     t.upsert(batch(spark, [("a", "1", 1, 0, 0), ("b", "1", 1, 0, 1)]), 0)
     t.compact()
     t.upsert(batch(spark, [("a", "2", 2, 0, 2)]), 1)

@@ -35,7 +35,7 @@ def rows(df):
 def test_ingest_stream_equals_batch_and_conserves(spark, scratch):
     env = envelopes(spark, f"{scratch}/landing")
     stream = read_envelopes(spark, f"{scratch}/landing", streaming=True, max_files_per_trigger=1)
-    t = KeyedTable(spark, f"{scratch}/table", "id", ORDER, buckets=4)
+    t = KeyedTable(spark, f"{scratch}/table", "id", ORDER)
     q = start_ingest(stream, t, f"{scratch}/dlq", f"{scratch}/ckpt", available_now=True)
     q.awaitTermination()
     assert rows(t.current().select(*USER_V1_COLUMNS)) == rows(batch_view(env))
@@ -48,7 +48,7 @@ def test_ingest_stream_equals_batch_and_conserves(spark, scratch):
 
 def test_failed_batch_is_replayed_on_restart(spark, scratch):
     env = envelopes(spark, f"{scratch}/landing")
-    t = KeyedTable(spark, f"{scratch}/table", "id", ORDER, buckets=4)
+    t = KeyedTable(spark, f"{scratch}/table", "id", ORDER)
     cols = [*ORDER, *USER_V1_COLUMNS]
     state = {"failed": False}
 

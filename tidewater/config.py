@@ -28,8 +28,6 @@ class TableSettings:
     key: str = "id"
     # Envelope coordinates that decide which write to a key is the last one.
     order: tuple = ("timestamp", "partition", "offset")
-    # Hash buckets per segment; sized so one bucket file stays ~128 MB.
-    buckets: int = 64
 
 
 @dataclass(frozen=True)

@@ -11,18 +11,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
+                   keep: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """Last row per key by `order`.
+
+    `keep` restricts the candidates without a filter: rows failing it get a
+    null ordering, which `max_by` skips, and keys with no candidate are
+    dropped after the aggregate.  A filter placed on a parse output would be
+    pushed under the parse projection and re-evaluate the parse inside each
+    CASE branch; this form parses once.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
+    rest = [c for c in (columns or df.columns) if c not in keys]
+    ordering = F.struct(*order)
+    if keep is not None:
+        ordering = F.when(keep, ordering)
     latest = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+        F.max_by(F.struct(*rest) if rest else F.lit(True), ordering).alias("_row")
     )
+    if keep is not None:
+        latest = latest.where(F.col("_row").isNotNull())
     return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 

@@ -55,14 +55,18 @@ def keyed_latest(spark, sf_dir):
     """U1/U2 semantics end to end: user messages -> decode -> accepted ->
     last write per id by (timestamp, partition, offset)."""
     env = derive.events_envelope(table(spark, sf_dir, "events"), derive.user_message())
-    rows = decode.accepted(decode.decode_envelope(env, USER_V1))
-    latest = keyed.latest_per_key(rows, "id", ["timestamp", "partition", "offset"])
+    decoded = decode.decode_envelope(env, USER_V1)
+    latest = keyed.latest_per_key(
+        decoded, "id", ["timestamp", "partition", "offset"],
+        keep=F.col("reject_reason").isNull(),
+        columns=["timestamp", "partition", "offset", *USER_V1_COLUMNS],
+    )
     return latest.select(*USER_V1_COLUMNS)
 
 
 def row_count(spark, sf_dir):
     """A2: SELECT COUNT(*)."""
-    return keyed.row_count(table(spark, sf_dir, "events"))
+    return keyed.row_count(table(spark, sf_dir, "events", cpu_heavy=False))
 
 
 def word_count(spark, sf_dir):
@@ -120,20 +124,20 @@ STREAM_FILES = 4  # landing files replayed one per micro-batch
 
 def run_stats(spark, sf_dir):
     """A3, A4: per run (user) sent / errors with the consecutive-error stop."""
-    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
     return runs.run_stats(attempts, RUN_MAX_ERRORS)
 
 
 def run_duration_cutoff(spark, sf_dir):
     """A5: the attempts made within the first day of each run."""
-    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
     return runs.within_duration(attempts, RUN_DURATION_SECONDS).select("run_id", "seq", "ok")
 
 
 def run_stats_limited(spark, sf_dir):
     """A3-A5 together, as the producer loop applies them: duration first,
     then the streak cut-off over what is left."""
-    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
     kept = runs.within_duration(attempts, RUN_LIMITED_DURATION_SECONDS)
     return runs.run_stats(kept, RUN_MAX_ERRORS)
 
@@ -146,13 +150,13 @@ def log_latency(spark, sf_dir):
 
 def enrich_dim(spark, sf_dir):
     """Events enriched with the customer segment, nation and region."""
-    t = lambda n: table(spark, sf_dir, n)
+    t = lambda n: table(spark, sf_dir, n, cpu_heavy=False)
     return enrich.enrich_events(t("events"), t("customer"), t("nation"), t("region"))
 
 
 def daily_anomaly(spark, sf_dir):
     """Per type and day, event count and z-score."""
-    return anomaly.daily_zscores(table(spark, sf_dir, "events"))
+    return anomaly.daily_zscores(table(spark, sf_dir, "events", cpu_heavy=False))
 
 
 def keyed_stream_upsert(spark, sf_dir):

@@ -5,7 +5,7 @@ Spark's file sinks only append, and no table format with MERGE is assumed
 to be present.  The table is therefore a folder of per-batch segments plus
 a commit log, all written by Spark:
 
-    <path>/segments/batch=<b>/attempt=<a>/bucket=<k>/part-*.parquet
+    <path>/segments/batch=<b>/attempt=<a>/part-*.parquet
     <path>/base/version=<v>/part-*.parquet        (after compaction)
     <path>/_commits/part-*.parquet                 (batch, attempt, kind, at)
 
@@ -40,12 +40,11 @@ COMMIT_SCHEMA = "batch long, attempt string, kind string, committed_at timestamp
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str],
-                 order: Sequence[str], buckets: int = 64):
+                 order: Sequence[str]):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = [key] if isinstance(key, str) else list(key)
         self.order = list(order)
-        self.buckets = buckets
 
     # -- writing ---------------------------------------------------------
     def _commit(self, batch: int, attempt: str, kind: str) -> None:
@@ -55,12 +54,11 @@ class KeyedTable:
             .write.mode("append").parquet(f"{self.path}/_commits")
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
+        # The per-key reduction already hash-partitions the batch by key, so
+        # each written file holds one hash range of keys.
         rows = latest_per_key(df, self.key, self.order)
-        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         attempt = "a" + uuid.uuid4().hex
-        (rows.withColumn("bucket", bucket)
-            .repartition("bucket")
-            .write.mode("errorifexists").partitionBy("bucket")
+        (rows.write.mode("errorifexists")
             .parquet(f"{self.path}/segments/batch={int(batch_id)}/attempt={attempt}"))
         self._commit(batch_id, attempt, "segment")
 
@@ -97,7 +95,7 @@ class KeyedTable:
             segs = self.spark.read.option("basePath", f"{self.path}/segments").parquet(
                 f"{self.path}/segments")
             segs = segs.join(bounded_broadcast(live), ["batch", "attempt"], "left_semi")
-            parts.append(segs.drop("batch", "attempt", "bucket"))
+            parts.append(segs.drop("batch", "attempt"))
         if base:
             parts.append(self.spark.read.parquet(
                 f"{self.path}/base/version={base[0]['attempt']}"))
