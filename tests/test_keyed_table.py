@@ -44,7 +44,7 @@ def test_uncommitted_attempt_is_invisible(spark, scratch):
     t.upsert(batch(spark, [("a", "1", 1, 0, 0)]), 0)
     # A half-done retry of batch 1: files written, commit never made.
     batch(spark, [("a", "ghost", 5, 0, 5)]).write.parquet(
-        f"{scratch}/segments/batch=1/attempt=aZZ")
+        f"{scratch}/segments/seg_batch=1/seg_attempt=aZZ")
     assert view(t) == [("a", "1")]
 
 

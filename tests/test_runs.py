@@ -77,3 +77,34 @@ def test_hot_run_is_split_across_partitions(spark):
     got = {r.run_id: (r.messages_sent, r.errors, r.longest_streak, r.stopped)
            for r in runs.run_stats(df, 3, partitions=8).collect()}
     assert got[0] == simulate([c == "S" for c in pattern], 3)
+
+
+def test_fold_is_associative(spark):
+    # Folding a prefix first and then the rest equals folding everything:
+    # the streaming form relies on it.
+    from pyspark.sql import functions as F
+    seqs = ["SEEESEEEES", "EEEEE", "SESESE", "EESEEEESS"]
+    df = attempts(spark, seqs)
+    whole = runs.finish(runs.fold(runs.streak_summaries(df, 3, partitions=4), 3), 3)
+    first = df.where(F.col("seq") < 4)
+    rest = df.where(F.col("seq") >= 4)
+    prefix = runs.fold(runs.streak_summaries(first, 3, partitions=2), 3)
+    pieces = runs.streak_summaries(rest, 3, partitions=3).unionByName(
+        prefix.select(F.lit(-1).alias("pid"), "run_id", *runs._FIELDS))
+    step = runs.finish(runs.fold(pieces, 3), 3)
+    assert sorted(map(tuple, step.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_streaming_equals_batch(spark, scratch):
+    from tidewater.schemas import ATTEMPTS
+    from tidewater.streaming.runs import run_state_table, run_stats_view, start_run_stats
+
+    seqs = ["SEEESEEEES" * 3, "EEEEE", "SESESE" * 4, "EESEEEESS" * 2]
+    df = attempts(spark, seqs)
+    state = run_state_table(spark, f"{scratch}/state")
+    for lo, hi in [(0, 7), (7, 15), (15, 40)]:
+        df.where((df.seq >= lo) & (df.seq < hi)).write.mode("append").parquet(f"{scratch}/in")
+        stream = spark.readStream.schema(ATTEMPTS).parquet(f"{scratch}/in")
+        start_run_stats(stream, state, f"{scratch}/ckpt", 3, available_now=True).awaitTermination()
+    got = sorted(map(tuple, run_stats_view(state, 3).collect()))
+    assert got == sorted(map(tuple, runs.run_stats(df, 3).collect()))

@@ -156,51 +156,74 @@ def streak_summaries(attempts: DataFrame, max_errors: int, partitions: int | Non
     return ordered.mapInPandas(_partition_summaries(max_errors), SUMMARY_SCHEMA)
 
 
-def run_stats(attempts: DataFrame, max_errors: int, partitions: int | None = None) -> DataFrame:
-    """`run_id, messages_sent, errors, longest_streak, stopped` per run with
-    at least one attempt, honouring the consecutive-error cut-off."""
-    s = streak_summaries(attempts, max_errors, partitions)
+def fold(summaries: DataFrame, max_errors: int) -> DataFrame:
+    """Combine the ordered pieces of each run (`pid` order) into one summary
+    per run with the same columns (`pid` dropped).  Runs as window
+    functions over at most one row per run per piece."""
     w = Window.partitionBy("run_id").orderBy("pid")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    n = F.col("n_ok") + F.col("n_err")
-    s = s.withColumn("n", n).withColumn("cum_n", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    s = summaries.withColumn("n", F.col("n_ok") + F.col("n_err"))
+    s = s.withColumn("cum_n", F.sum("n").over(upto))
+    cum_before = F.coalesce(F.sum("n").over(before), F.lit(0))
     # Last earlier piece that contains a success: the streak restarts there.
     brk = F.last(
         F.when(F.col("n_ok") > 0, F.struct(F.col("cum_n").alias("c"), F.col("trail").alias("t"))),
         ignorenulls=True,
     ).over(before)
-    cum_before = F.coalesce(F.sum("n").over(before), F.lit(0))
-    s = s.withColumn("_brk", brk).withColumn(
+    s = s.withColumn("_cb", cum_before).withColumn("_brk", brk)
+    s = s.withColumn(
         "carry",
-        F.when(F.col("_brk").isNull(), cum_before)
-        .otherwise(F.col("_brk.t") + cum_before - F.col("_brk.c")),
+        F.when(F.col("_brk").isNull(), F.col("_cb"))
+        .otherwise(F.col("_brk.t") + F.col("_cb") - F.col("_brk.c")),
     )
-    carry, lead = F.col("carry"), F.col("lead")
+    carry, lead, lim = F.col("carry"), F.col("lead"), F.lit(max_errors)
+    reach = carry + lead >= lim
     s = s.select(
-        "run_id", "pid", "n_ok", "n_err",
-        (F.when(carry >= max_errors, True).when(carry + lead >= max_errors, True)
-         .otherwise(F.col("hit"))).alias("hit_here"),
-        F.when(carry + lead >= max_errors, F.lit(0)).otherwise(F.col("ok_upto")).alias("ok_to"),
-        F.when(carry + lead >= max_errors, F.greatest(F.lit(max_errors) - carry, F.lit(0)))
-        .otherwise(F.col("err_upto")).alias("err_to"),
+        "run_id", "pid", "n_ok", "n_err", "n", "lead", "_cb",
+        (reach | F.col("hit")).alias("hit_here"),
+        F.when(reach, F.lit(0)).otherwise(F.col("ok_upto")).alias("ok_to"),
+        F.when(reach, F.greatest(lim - carry, F.lit(0))).otherwise(F.col("err_upto")).alias("err_to"),
         F.greatest(F.col("max_streak"), carry + lead).alias("streak"),
+        F.when(F.col("n_ok") > 0, F.col("trail")).otherwise(carry + F.col("n")).alias("carry_out"),
+    )
+    s = s.withColumn(
+        "first_hit", F.min(F.when(F.col("hit_here"), F.col("pid"))).over(Window.partitionBy("run_id"))
     )
-    first_hit = F.min(F.when(F.col("hit_here"), F.col("pid"))).over(Window.partitionBy("run_id"))
-    s = s.withColumn("first_hit", first_hit)
-    keep = F.col("first_hit").isNull() | (F.col("pid") <= F.col("first_hit"))
+    before_hit = F.col("first_hit").isNull() | (F.col("pid") < F.col("first_hit"))
     at_hit = F.coalesce(F.col("pid") == F.col("first_hit"), F.lit(False))
-    return (
-        s.where(keep)
-        .groupBy("run_id")
-        .agg(
-            F.sum(F.when(at_hit, F.col("ok_to")).otherwise(F.col("n_ok"))).alias("messages_sent"),
-            F.sum(F.when(at_hit, F.col("err_to")).otherwise(F.col("n_err"))).alias("errors"),
-            F.max(F.when(at_hit, F.lit(max_errors)).otherwise(F.col("streak"))).alias("longest_streak"),
-            F.max(at_hit).alias("stopped"),
-        )
+    has_ok = F.col("n_ok") > 0
+    return s.groupBy("run_id").agg(
+        F.sum("n_ok").alias("n_ok"),
+        F.sum("n_err").alias("n_err"),
+        F.coalesce(F.min_by(F.when(has_ok, F.col("_cb") + F.col("lead")), F.when(has_ok, F.col("pid"))),
+                   F.sum("n")).alias("lead"),
+        F.max_by("carry_out", "pid").alias("trail"),
+        F.max("streak").alias("max_streak"),
+        F.max(at_hit).alias("hit"),
+        F.sum(F.when(at_hit, F.col("ok_to")).when(before_hit, F.col("n_ok")).otherwise(0)).alias("ok_upto"),
+        F.sum(F.when(at_hit, F.col("err_to")).when(before_hit, F.col("n_err")).otherwise(0)).alias("err_upto"),
+    )
+
+
+def finish(folded: DataFrame, max_errors: int) -> DataFrame:
+    """Per-run result from a folded summary."""
+    hit = F.col("hit")
+    return folded.select(
+        "run_id",
+        F.when(hit, F.col("ok_upto")).otherwise(F.col("n_ok")).cast("long").alias("messages_sent"),
+        F.when(hit, F.col("err_upto")).otherwise(F.col("n_err")).cast("long").alias("errors"),
+        F.when(hit, F.lit(max_errors)).otherwise(F.col("max_streak")).cast("long").alias("longest_streak"),
+        hit.alias("stopped"),
     )
 
 
+def run_stats(attempts: DataFrame, max_errors: int, partitions: int | None = None) -> DataFrame:
+    """`run_id, messages_sent, errors, longest_streak, stopped` per run with
+    at least one attempt, honouring the consecutive-error cut-off."""
+    return finish(fold(streak_summaries(attempts, max_errors, partitions), max_errors), max_errors)
+
+
 def within_duration(attempts: DataFrame, seconds: int, max_runs: int = 1_000_000) -> DataFrame:
     """Attempts made before `first attempt + seconds` of their run.
 

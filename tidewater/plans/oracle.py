@@ -282,3 +282,4 @@ ORACLE["keyed_stream_upsert"] = f"""
            username, registered_date, phone, picture
     FROM (SELECT {_USER_FIELDS} FROM r WHERE rn = 1)"""
 ORACLE["word_count_stream"] = ORACLE["word_count"]
+ORACLE["run_stats_stream"] = ORACLE["run_stats"]

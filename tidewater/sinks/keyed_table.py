@@ -5,7 +5,7 @@ Spark's file sinks only append, and no table format with MERGE is assumed
 to be present.  The table is therefore a folder of per-batch segments plus
 a commit log, all written by Spark:
 
-    <path>/segments/batch=<b>/attempt=<a>/part-*.parquet
+    <path>/segments/seg_batch=<b>/seg_attempt=<a>/part-*.parquet
     <path>/base/version=<v>/part-*.parquet        (after compaction)
     <path>/_commits/part-*.parquet                 (batch, attempt, kind, at)
 
@@ -59,7 +59,7 @@ class KeyedTable:
         rows = latest_per_key(df, self.key, self.order)
         attempt = "a" + uuid.uuid4().hex
         (rows.write.mode("errorifexists")
-            .parquet(f"{self.path}/segments/batch={int(batch_id)}/attempt={attempt}"))
+            .parquet(f"{self.path}/segments/seg_batch={int(batch_id)}/seg_attempt={attempt}"))
         self._commit(batch_id, attempt, "segment")
 
     def compact(self) -> None:
@@ -78,6 +78,10 @@ class KeyedTable:
         except Exception:  # no commit yet: the folder does not exist
             return None
 
+    def exists(self) -> bool:
+        commits = self._commits()
+        return commits is not None and commits.limit(1).count() > 0
+
     def current(self) -> DataFrame:
         commits = self._commits()
         if commits is None:
@@ -88,14 +92,15 @@ class KeyedTable:
         # One commit row per attempt; keep the last committed attempt per batch.
         live = (
             commits.where((F.col("kind") == "segment") & (F.col("batch") > since))
-            .groupBy("batch").agg(F.max_by("attempt", "committed_at").alias("attempt"))
+            .groupBy(F.col("batch").alias("seg_batch"))
+            .agg(F.max_by("attempt", "committed_at").alias("seg_attempt"))
         )
         parts = []
         if live.limit(1).count():
             segs = self.spark.read.option("basePath", f"{self.path}/segments").parquet(
                 f"{self.path}/segments")
-            segs = segs.join(bounded_broadcast(live), ["batch", "attempt"], "left_semi")
-            parts.append(segs.drop("batch", "attempt"))
+            segs = segs.join(bounded_broadcast(live), ["seg_batch", "seg_attempt"], "left_semi")
+            parts.append(segs.drop("seg_batch", "seg_attempt"))
         if base:
             parts.append(self.spark.read.parquet(
                 f"{self.path}/base/version={base[0]['attempt']}"))
