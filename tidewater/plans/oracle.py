@@ -283,3 +283,15 @@ ORACLE["keyed_stream_upsert"] = f"""
     FROM (SELECT {_USER_FIELDS} FROM r WHERE rn = 1)"""
 ORACLE["word_count_stream"] = ORACLE["word_count"]
 ORACLE["run_stats_stream"] = ORACLE["run_stats"]
+
+# The from_json form cannot tell a missing key from a null one: it rejects
+# an unreadable or empty result list and null required fields only.
+ORACLE["profile_reshape_typed"] = f"""
+    WITH {_PROFILE_RAW}
+    SELECT {_UUID} AS id, first_name, last_name, gender, address, post_code, email,
+           username, dob, registered_date, phone, picture,
+           CASE WHEN reject_reason IN ('bad_json', 'no_result') THEN 'no_result'
+                WHEN first_name IS NULL OR last_name IS NULL OR address IS NULL
+                  OR post_code IS NULL OR email IS NULL OR username IS NULL
+                THEN 'null_field' END AS reject_reason
+    FROM u"""
