@@ -84,3 +84,17 @@ def test_word_count_stream_equals_batch(spark, scratch):
     start_word_count(lines, t, f"{scratch}/ckpt", text_col="text",
                      available_now=True).awaitTermination()
     assert rows(t.current()) == rows(wordcount.word_counts(docs, "text"))
+
+
+def test_text_line_stream_word_count(spark, scratch):
+    # Stand-in for the socket source: the same `value string` lines from files.
+    from tidewater.sources.lines import read_lines
+
+    lines = ["a  b ", "", "b a", "the the the"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
+        .write.text(f"{scratch}/lines")
+    t = word_count_table(spark, f"{scratch}/table")
+    start_word_count(read_lines(spark, f"{scratch}/lines", streaming=True), t,
+                     f"{scratch}/ckpt", available_now=True).awaitTermination()
+    got = dict((r.word, r["count"]) for r in t.current().collect())
+    assert got == {"a": 2, "b": 2, "": 3, "the": 3}

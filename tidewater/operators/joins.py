@@ -14,7 +14,10 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """`broadcast(dim)` when `dim` holds at most `max_rows` rows, else `dim`.
 
     The check runs one count over the dimension only (parquet answers it
-    from footers), never over the fact side.  Streaming dimensions are
+    from footers), never over the fact side.  Use it for stored dimension
+    tables; for a side that is itself computed from the fact table (an
+    aggregate), counting would compute it twice: leave that to AQE, which
+    broadcasts from the materialised size.  Streaming dimensions are
     returned unchanged.
     """
     if dim.isStreaming:

@@ -35,7 +35,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.joins import bounded_broadcast
 
 SUMMARY_SCHEMA = (
     "pid int, run_id long, n_ok long, n_err long, lead long, trail long, "
@@ -224,15 +223,17 @@ def run_stats(attempts: DataFrame, max_errors: int, partitions: int | None = Non
     return finish(fold(streak_summaries(attempts, max_errors, partitions), max_errors), max_errors)
 
 
-def within_duration(attempts: DataFrame, seconds: int, max_runs: int = 1_000_000) -> DataFrame:
+def within_duration(attempts: DataFrame, seconds: int) -> DataFrame:
     """Attempts made before `first attempt + seconds` of their run.
 
     The start of each run is a grouped min (partial aggregation absorbs a
-    hot run); it is joined back, broadcast only when the number of runs is
-    within `max_runs`, else as a shuffle join that AQE splits if skewed.
+    hot run) joined back on the run.  Its size is only known once computed,
+    and counting it first would read the attempts twice, so the choice is
+    left to AQE: it broadcasts the materialised starts when they are small
+    and otherwise keeps a shuffle join, splitting a hot run's partition.
     """
     starts = attempts.groupBy("run_id").agg(F.min("ts").alias("_start"))
-    joined = attempts.join(bounded_broadcast(starts, max_runs), "run_id")
+    joined = attempts.join(starts, "run_id")
     end = F.col("_start") + F.make_dt_interval(secs=F.lit(seconds))
     return joined.where(F.col("ts") < end).drop("_start")
 

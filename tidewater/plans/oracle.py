@@ -295,3 +295,9 @@ ORACLE["profile_reshape_typed"] = f"""
                   OR post_code IS NULL OR email IS NULL OR username IS NULL
                 THEN 'null_field' END AS reject_reason
     FROM u"""
+
+ORACLE["profile_landing_stream"] = f"""
+    WITH {_PROFILE_RAW}
+    SELECT first_name, last_name, gender, address, post_code, email,
+           username, dob, registered_date, phone, picture, reject_reason
+    FROM u"""

@@ -225,6 +225,25 @@ def run_stats_stream(spark, sf_dir):
     return run_stats_view(state, RUN_MAX_ERRORS)
 
 
+def profile_landing_stream(spark, sf_dir):
+    """S4 as files: raw responses land as text lines; a streaming query
+    reads them (`readStream.text`), reshapes each, and appends the result
+    to a parquet file sink (exactly once through the sink's log).  The id
+    is derived from (landing file, text), so it is left out here."""
+    from tidewater.session import scratch_path
+    from tidewater.sources.landing import read_responses
+    from tidewater.streaming.ingest import trigger_options
+
+    root = scratch_path(spark, "profile_landing_stream")
+    _raw_profiles(spark, sf_dir).select("raw").write.text(f"{root}/landing")
+    raw = read_responses(spark, f"{root}/landing", streaming=True)
+    users = profile.reshape_profiles(raw, "raw", ["source_path", "raw"]).drop("id")
+    (users.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(**trigger_options(available_now=True)).start().awaitTermination())
+    return spark.read.parquet(f"{root}/out")
+
+
 QUERIES: dict[str, Query] = {
     "json_decode_flatten": json_decode_flatten,
     "envelope_roundtrip": envelope_roundtrip,
@@ -246,4 +265,5 @@ QUERIES: dict[str, Query] = {
     "keyed_stream_upsert": keyed_stream_upsert,
     "word_count_stream": word_count_stream,
     "run_stats_stream": run_stats_stream,
+    "profile_landing_stream": profile_landing_stream,
 }
