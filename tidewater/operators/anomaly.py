@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 
 def daily_counts(df: DataFrame, ts_col: str, key: str) -> DataFrame:
-    ts = F.col(ts_col).cast("timestamp")
+    """Days of a TIMESTAMP_NTZ column are wall-clock days whatever the
+    session time zone; a TIMESTAMP column is cut at midnight UTC."""
+    ts = F.col(ts_col)
     return (
         df.groupBy(key, F.window(ts, "1 day").alias("w"))
         .agg(F.count(F.lit(1)).alias("n"))
