@@ -56,3 +56,26 @@ def test_compaction_keeps_view(spark, scratch):
     assert view(t) == [("a", "2"), ("b", "1")]
     t.compact()
     assert view(t) == [("a", "2"), ("b", "1")]
+
+
+def test_ingest_with_compaction_keeps_view(spark, scratch):
+    from tidewater.plans import derive
+    from tidewater.plans.tables import table
+    from tidewater.operators import decode, keyed
+    from tidewater.schemas import USER_V1, USER_V1_COLUMNS
+    from tidewater.sources.replay import read_envelopes, write_envelopes
+    from tidewater.streaming.ingest import start_ingest
+    from conftest import SF_SMALL
+
+    order = ["timestamp", "partition", "offset"]
+    env = derive.events_envelope(table(spark, SF_SMALL, "events"), derive.user_message())
+    write_envelopes(env, f"{scratch}/in", files=3)
+    t = KeyedTable(spark, f"{scratch}/t", "id", order)
+    start_ingest(read_envelopes(spark, f"{scratch}/in", streaming=True, max_files_per_trigger=1),
+                 t, f"{scratch}/dlq", f"{scratch}/ck", available_now=True,
+                 compact_every=2).awaitTermination()
+    assert t._commits().where("kind = 'base'").count() >= 1
+    want = keyed.latest_per_key(decode.accepted(decode.decode_envelope(env, USER_V1)), "id", order)
+    cols = list(USER_V1_COLUMNS)
+    assert sorted(map(tuple, t.current().select(*cols).collect())) == \
+        sorted(map(tuple, want.select(*cols).collect()))

@@ -30,13 +30,17 @@ def trigger_options(available_now: bool = False, interval: str | None = None) ->
 def start_ingest(envelopes: DataFrame, table: KeyedTable, dead_letter_path: str,
                  checkpoint: str, schema: StructType = USER_V1,
                  required=USER_REQUIRED, available_now: bool = False,
-                 interval: str | None = None) -> StreamingQuery:
+                 interval: str | None = None, compact_every: int | None = None) -> StreamingQuery:
+    """`compact_every=n` folds the segments into a new base after every n-th
+    batch, so reads of the table scan one base plus at most n segments."""
     decoded = decode_envelope(envelopes, schema, required)
     columns = [*[c for c in ENVELOPE_COORDS if c in envelopes.columns],
                *[f.name for f in schema.fields]]
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         write_split(batch, table, dead_letter_path, batch_id, columns)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            table.compact()
 
     return (
         decoded.writeStream.outputMode("append")
