@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.joins import bounded_broadcast
+from tidewater.operators.joins import BROADCAST_MAX_ROWS
 from tidewater.operators.keyed import latest_per_key
 
 COMMIT_SCHEMA = "batch long, attempt string, kind string, committed_at timestamp"
@@ -96,10 +96,13 @@ class KeyedTable:
             .agg(F.max_by("attempt", "committed_at").alias("seg_attempt"))
         )
         parts = []
-        if live.limit(1).count():
+        # One row per batch since the last base: a handful with compaction.
+        n_live = live.count()
+        if n_live:
             segs = self.spark.read.option("basePath", f"{self.path}/segments").parquet(
                 f"{self.path}/segments")
-            segs = segs.join(bounded_broadcast(live), ["seg_batch", "seg_attempt"], "left_semi")
+            live = F.broadcast(live) if n_live <= BROADCAST_MAX_ROWS else live
+            segs = segs.join(live, ["seg_batch", "seg_attempt"], "left_semi")
             parts.append(segs.drop("seg_batch", "seg_attempt"))
         if base:
             parts.append(self.spark.read.parquet(
