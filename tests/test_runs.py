@@ -108,3 +108,37 @@ def test_streaming_equals_batch(spark, scratch):
         start_run_stats(stream, state, f"{scratch}/ckpt", 3, available_now=True).awaitTermination()
     got = sorted(map(tuple, run_stats_view(state, 3).collect()))
     assert got == sorted(map(tuple, runs.run_stats(df, 3).collect()))
+
+
+def test_streaming_replay_after_state_write_counts_once(spark, scratch):
+    from tidewater.schemas import ATTEMPTS
+    from tidewater.streaming.runs import fold_batch, run_state_table, run_stats_view
+
+    seqs = ["SEEESEEEES" * 3, "EEEEE", "SESESE" * 4, "EESEEEESS" * 2]
+    df = attempts(spark, seqs)
+    state = run_state_table(spark, f"{scratch}/state")
+    crashed = {"done": False}
+
+    def flaky(batch, batch_id):
+        fold_batch(batch, batch_id, state, 3)
+        if batch_id == 1 and not crashed["done"]:
+            crashed["done"] = True
+            raise RuntimeError("crash after the state write")
+
+    def run_once():
+        stream = spark.readStream.schema(ATTEMPTS).parquet(f"{scratch}/in")
+        q = (stream.writeStream.foreachBatch(flaky)
+             .option("checkpointLocation", f"{scratch}/ckpt")
+             .trigger(availableNow=True).start())
+        try:
+            q.awaitTermination()
+        except Exception:
+            pass
+
+    for lo, hi in [(0, 7), (7, 15), (15, 40)]:
+        df.where((df.seq >= lo) & (df.seq < hi)).write.mode("append").parquet(f"{scratch}/in")
+        run_once()
+    run_once()  # restart: batch 1 is replayed
+    assert crashed["done"]
+    got = sorted(map(tuple, run_stats_view(state, 3).collect()))
+    assert got == sorted(map(tuple, runs.run_stats(df, 3).collect()))

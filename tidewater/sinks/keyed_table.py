@@ -78,14 +78,22 @@ class KeyedTable:
         except Exception:  # no commit yet: the folder does not exist
             return None
 
-    def exists(self) -> bool:
+    def exists(self, before: int | None = None) -> bool:
         commits = self._commits()
+        if commits is not None and before is not None:
+            commits = commits.where(F.col("batch") < before)
         return commits is not None and commits.limit(1).count() > 0
 
-    def current(self) -> DataFrame:
+    def current(self, before: int | None = None) -> DataFrame:
+        """The table as of its last committed batch, or, with `before=b`, as
+        it was before batch `b` (bases and segments of batches < b only;
+        segments are never deleted, so this view can always be rebuilt).
+        A batch that is replayed reads its starting point this way."""
         commits = self._commits()
         if commits is None:
             raise ValueError(f"keyed table at {self.path} has no committed batch")
+        if before is not None:
+            commits = commits.where(F.col("batch") < before)
         base = commits.where(F.col("kind") == "base").orderBy(
             F.col("batch").desc(), F.col("committed_at").desc()).limit(1).collect()
         since = base[0]["batch"] if base else -1
@@ -107,6 +115,8 @@ class KeyedTable:
         if base:
             parts.append(self.spark.read.parquet(
                 f"{self.path}/base/version={base[0]['attempt']}"))
+        if not parts:
+            raise ValueError(f"keyed table at {self.path} has no batch before {before}")
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p)

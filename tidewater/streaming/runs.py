@@ -9,6 +9,10 @@ run is still split across partitions within each batch.
 
 Attempts of one run must arrive in order across batches (a later batch
 holds later attempts), as they do when a producer appends them.
+
+Replays: batch `b` always folds onto the state as it was before `b`
+(`KeyedTable.current(before=b)`), so a batch re-run after a crash that
+followed its state write does not count its attempts twice.
 """
 
 from __future__ import annotations
@@ -30,9 +34,9 @@ def fold_batch(batch: DataFrame, batch_id: int, state: KeyedTable, max_errors: i
     new = streak_summaries(batch, max_errors).persist()
     try:
         pieces = new
-        if state.exists():
+        if state.exists(before=batch_id):
             touched = new.select("run_id").distinct()
-            prev = (state.current().join(touched, "run_id", "left_semi")
+            prev = (state.current(before=batch_id).join(touched, "run_id", "left_semi")
                     .select(F.lit(-1).alias("pid"), "run_id", *_FIELDS))
             pieces = new.unionByName(prev)
         folded = fold(pieces, max_errors).withColumn("batch", F.lit(int(batch_id)).cast("long"))
