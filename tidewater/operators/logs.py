@@ -24,6 +24,7 @@ def log_line(fields: dict[str, Column]) -> Column:
     """One JSON log line; keys in the logger's order, missing keys get the
     logger's defaults, nulls are written as JSON null."""
     defaults = {
+        "timestamp": F.date_format(F.current_timestamp(), LOG_TIME_FORMAT),
         "level": F.lit("INFO"), "item_id": F.lit(""), "message": F.lit(""),
         "user_id": F.lit(""), "conversation_session_id": F.lit(""), "platform": F.lit(""),
         "language": F.lit(""), "request_payload": F.create_map(),
