@@ -98,3 +98,18 @@ def test_text_line_stream_word_count(spark, scratch):
                      f"{scratch}/ckpt", available_now=True).awaitTermination()
     got = dict((r.word, r["count"]) for r in t.current().collect())
     assert got == {"a": 2, "b": 2, "": 3, "the": 3}
+
+
+def test_stream_static_enrichment_equals_batch(spark, scratch):
+    from tidewater.operators.enrich import enrich_events
+
+    t = lambda n: table(spark, SF_SMALL, n, cpu_heavy=False)
+    events = t("events")
+    events.repartition(3).write.parquet(f"{scratch}/ev")
+    stream = spark.readStream.schema(events.schema).parquet(f"{scratch}/ev")
+    out = enrich_events(stream, t("customer"), t("nation"), t("region"))
+    (out.writeStream.format("parquet").option("path", f"{scratch}/out")
+        .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True)
+        .start().awaitTermination())
+    want = enrich_events(events, t("customer"), t("nation"), t("region"))
+    assert rows(spark.read.parquet(f"{scratch}/out")) == rows(want)
