@@ -13,8 +13,9 @@ a commit log, all written by Spark:
   fresh attempt folder, then appends one commit row.  A retried batch
   writes a new attempt; readers use the last committed attempt of each
   batch, so they never see a half-written one.
-* `current()` is the union of the committed segments (and the last base),
-  reduced to the last row per key by the envelope order, e.g.
+* `current()` reads the commit log once, then exactly the committed
+  attempt folders (and the last base), reduced to the last row per key by
+  the envelope order, e.g.
   `(timestamp, partition, offset)`.  The batch number is not part of the
   order, so the result does not depend on how input was cut into batches.
 * `compact()` writes `current()` as a new base and commits it, so later
@@ -32,7 +33,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.joins import BROADCAST_MAX_ROWS
 from tidewater.operators.keyed import latest_per_key
 
 COMMIT_SCHEMA = "batch long, attempt string, kind string, committed_at timestamp"
@@ -78,50 +78,52 @@ class KeyedTable:
         except Exception:  # no commit yet: the folder does not exist
             return None
 
-    def exists(self, before: int | None = None) -> bool:
+    def _log(self, before: int | None = None) -> list:
+        """The commit log: table metadata, one small row per committed
+        attempt or base (a table format reads its log the same way)."""
         commits = self._commits()
-        if commits is not None and before is not None:
+        if commits is None:
+            return []
+        if before is not None:
             commits = commits.where(F.col("batch") < before)
-        return commits is not None and commits.limit(1).count() > 0
+        return commits.collect()
 
-    def current(self, before: int | None = None) -> DataFrame:
+    def exists(self, before: int | None = None) -> bool:
+        return bool(self._log(before))
+
+    def snapshot(self, before: int | None = None) -> DataFrame | None:
         """The table as of its last committed batch, or, with `before=b`, as
         it was before batch `b` (bases and segments of batches < b only;
         segments are never deleted, so this view can always be rebuilt).
-        A batch that is replayed reads its starting point this way."""
-        commits = self._commits()
-        if commits is None:
-            raise ValueError(f"keyed table at {self.path} has no committed batch")
-        if before is not None:
-            commits = commits.where(F.col("batch") < before)
-        base = commits.where(F.col("kind") == "base").orderBy(
-            F.col("batch").desc(), F.col("committed_at").desc()).limit(1).collect()
-        since = base[0]["batch"] if base else -1
-        # One commit row per attempt; keep the last committed attempt per batch.
-        live = (
-            commits.where((F.col("kind") == "segment") & (F.col("batch") > since))
-            .groupBy(F.col("batch").alias("seg_batch"))
-            .agg(F.max_by("attempt", "committed_at").alias("seg_attempt"))
-        )
-        parts = []
-        # One row per batch since the last base: a handful with compaction.
-        n_live = live.count()
-        if n_live:
-            segs = self.spark.read.option("basePath", f"{self.path}/segments").parquet(
-                f"{self.path}/segments")
-            live = F.broadcast(live) if n_live <= BROADCAST_MAX_ROWS else live
-            segs = segs.join(live, ["seg_batch", "seg_attempt"], "left_semi")
-            parts.append(segs.drop("seg_batch", "seg_attempt"))
+        A batch that is replayed reads its starting point this way.
+        None when nothing is committed yet."""
+        log = self._log(before)
+        if not log:
+            return None
+        bases = [r for r in log if r["kind"] == "base"]
+        base = max(bases, key=lambda r: (r["batch"], r["committed_at"])) if bases else None
+        since = base["batch"] if base else -1
+        # Last committed attempt of each batch after the base.
+        attempts: dict = {}
+        for r in log:
+            if r["kind"] == "segment" and r["batch"] > since:
+                old = attempts.get(r["batch"])
+                if old is None or r["committed_at"] > old["committed_at"]:
+                    attempts[r["batch"]] = r
+        paths = [f"{self.path}/segments/seg_batch={b}/seg_attempt={r['attempt']}"
+                 for b, r in sorted(attempts.items())]
         if base:
-            parts.append(self.spark.read.parquet(
-                f"{self.path}/base/version={base[0]['attempt']}"))
-        if not parts:
-            raise ValueError(f"keyed table at {self.path} has no batch before {before}")
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
+            paths.append(f"{self.path}/base/version={base['attempt']}")
+        rows = self.spark.read.parquet(*paths)
         return latest_per_key(rows, self.key, self.order)
 
+    def current(self, before: int | None = None) -> DataFrame:
+        view = self.snapshot(before)
+        if view is None:
+            raise ValueError(f"keyed table at {self.path} has nothing committed"
+                             + ("" if before is None else f" before batch {before}"))
+        return view
+
 
 def write_dead_letters(rejected: DataFrame, path: str, batch_id: int) -> None:
     """Dead-letter rows of one batch; overwriting the batch's folder makes a

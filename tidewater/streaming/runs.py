@@ -34,9 +34,10 @@ def fold_batch(batch: DataFrame, batch_id: int, state: KeyedTable, max_errors: i
     new = streak_summaries(batch, max_errors).persist()
     try:
         pieces = new
-        if state.exists(before=batch_id):
+        before = state.snapshot(before=batch_id)
+        if before is not None:
             touched = new.select("run_id").distinct()
-            prev = (state.current(before=batch_id).join(touched, "run_id", "left_semi")
+            prev = (before.join(touched, "run_id", "left_semi")
                     .select(F.lit(-1).alias("pid"), "run_id", *_FIELDS))
             pieces = new.unionByName(prev)
         folded = fold(pieces, max_errors).withColumn("batch", F.lit(int(batch_id)).cast("long"))
