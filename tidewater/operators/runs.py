@@ -113,31 +113,38 @@ def combine(a: dict, b: dict, limit: int) -> dict:
 
 
 def _partition_summaries(limit: int):
+    """Per task: summaries of each run in the task's sorted rows.  Only the
+    last run of an Arrow batch can continue into the next batch, so only
+    that one is carried (as a dict); the rest pass through as frames."""
+    cols = ["run_id", *_FIELDS]
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pending = None  # summary of the run still open at the batch edge
         pid = None
-        done = []
+        out: list[pd.DataFrame] = []
+        size = 0
         for pdf in batches:
             if pdf.empty:
                 continue
             pid = int(pdf["pid"].iat[0])
-            s = _summarise(pdf["run_id"].to_numpy(np.int64),
-                           pdf["ok"].to_numpy(bool), limit)
-            recs = s.to_dict("records")
+            s = _summarise(pdf["run_id"].to_numpy(np.int64), pdf["ok"].to_numpy(bool), limit)
+            head = s.iloc[0].to_dict()
             if pending is not None:
-                if recs[0]["run_id"] == pending["run_id"]:
-                    recs[0] = combine(pending, recs[0], limit)
+                if head["run_id"] == pending["run_id"]:
+                    s.iloc[0] = pd.Series(combine(pending, head, limit))[cols]
                 else:
-                    done.append(pending)
-            done.extend(recs[:-1])
-            pending = recs[-1]
-            if len(done) >= 10_000:
-                yield pd.DataFrame(done).assign(pid=pid)
-                done = []
+                    out.append(pd.DataFrame([pending], columns=cols))
+            pending = s.iloc[-1].to_dict()
+            if len(s) > 1:
+                out.append(s.iloc[:-1])
+                size += len(s) - 1
+            if size >= 10_000:
+                yield pd.concat(out, ignore_index=True).assign(pid=pid)
+                out, size = [], 0
         if pending is not None:
-            done.append(pending)
-        if done:
-            yield pd.DataFrame(done).assign(pid=pid)
+            out.append(pd.DataFrame([pending], columns=cols))
+        if out:
+            yield pd.concat(out, ignore_index=True).assign(pid=pid)
     return scan
 
 
