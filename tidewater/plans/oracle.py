@@ -301,3 +301,24 @@ ORACLE["profile_landing_stream"] = f"""
     SELECT first_name, last_name, gender, address, post_code, email,
            username, dob, registered_date, phone, picture, reject_reason
     FROM u"""
+
+# The consumer's plain transform: every message gives a row; a payload that
+# is not a JSON object (or is empty) gives an all-null row.
+ORACLE["decode_permissive"] = f"""
+    WITH u AS (SELECT event_id, user_id, event_type, {_USER_FIELDS} FROM events),
+    p AS (
+      SELECT CASE event_type
+          WHEN 'purchase' THEN {_user_json()}
+          WHEN 'signup' THEN {_user_json('dob')}
+          WHEN 'view' THEN {_user_json('email')}
+          WHEN 'click' THEN left({_user_json()}, length({_user_json()}) - 1)
+          ELSE '' END AS payload
+      FROM u),
+    v AS (SELECT payload, payload <> '' AND json_valid(payload) AS ok FROM p)
+    SELECT {", ".join(
+        f"CASE WHEN ok THEN json_extract_string(payload, '$.{c}') END AS {c}"
+        for c in ["id", "first_name", "last_name", "gender", "address", "post_code",
+                  "email", "username", "registered_date", "phone", "picture"])}
+    FROM v"""
+
+ORACLE["target_row_count"] = "SELECT COUNT(DISTINCT user_id) AS row_count FROM events"

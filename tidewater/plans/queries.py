@@ -45,6 +45,14 @@ def decode_reject(spark, sf_dir):
     return out.select("partition", "offset", "id", "email", "reject_reason")
 
 
+def decode_permissive(spark, sf_dir):
+    """P1-P3 exactly as the consumer job does it: PERMISSIVE parse into the
+    11 columns, no validation; malformed or empty messages come out as
+    all-null rows."""
+    env = derive.events_envelope(table(spark, sf_dir, "events"), derive.mixed_user_message())
+    return decode.decode_values(env, USER_V1)
+
+
 def derived_ids(spark, sf_dir):
     """F8: stable id from topic/partition/offset."""
     env = derive.events_envelope(table(spark, sf_dir, "events"), derive.user_message())
@@ -64,6 +72,11 @@ def keyed_latest(spark, sf_dir):
     return latest.select(*USER_V1_COLUMNS)
 
 
+def target_row_count(spark, sf_dir):
+    """A2 on the target: SELECT COUNT(*) over the keyed table's view."""
+    return keyed.row_count(keyed_latest(spark, sf_dir))
+
+
 def row_count(spark, sf_dir):
     """A2: SELECT COUNT(*)."""
     return keyed.row_count(table(spark, sf_dir, "events", cpu_heavy=False))
@@ -248,9 +261,11 @@ QUERIES: dict[str, Query] = {
     "json_decode_flatten": json_decode_flatten,
     "envelope_roundtrip": envelope_roundtrip,
     "decode_reject": decode_reject,
+    "decode_permissive": decode_permissive,
     "derived_id": derived_ids,
     "keyed_latest": keyed_latest,
     "row_count": row_count,
+    "target_row_count": target_row_count,
     "word_count": word_count,
     "word_count_conversations": word_count_conversations,
     "profile_reshape": profile_reshape,
