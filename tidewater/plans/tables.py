@@ -18,11 +18,12 @@ FACT_TABLES = ("events", "documents", "conversations", "customer", "orders", "li
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over the cores when it yields fewer splits than
     cores: a file holding one row group is read by one task, and the JSON
-    and text work after it would run on one core.  An input with at least
-    as many files as cores (any input at cluster scale) is returned as is,
-    without even counting its splits, so no shuffle is added there."""
+    and text work after it would run on one core.  The split count comes
+    from the file listing Spark makes for the scan anyway (one integer back
+    to Python, no file list); any input at cluster scale has more splits
+    than cores and is returned as is, so no shuffle is added there."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 
