@@ -24,6 +24,6 @@ def test_log_line_keys_defaults_and_roundtrip(spark, scratch):
 
     write_log_lines(lines, f"{scratch}/logs")
     back = parse_logs(spark.read.text(f"{scratch}/logs"))
-    got = {r.function_name: (r.calls, r.errors, r.max_latency, r.p50_latency)
+    got = {r.function_name: (r.calls, r.errors, r.max_latency, float(r.p50_latency))
            for r in latency_summary(back).collect()}
     assert got == {"fetch": (2, 1, 0.5, 0.3115), "transform": (1, 0, 2.0, 2.0)}

@@ -58,7 +58,7 @@ def latency_summary(logs: DataFrame, exact: bool = True) -> DataFrame:
     return timed.groupBy("function_name").agg(
         F.count(F.lit(1)).alias("calls"),
         F.sum(F.when(F.col("level") == "ERROR", 1).otherwise(0)).cast("long").alias("errors"),
-        F.round(F.avg("latency_s"), 6).alias("avg_latency"),
+        F.round(F.avg("latency_s"), 6).cast("decimal(18,6)").alias("avg_latency"),
         F.max("latency_s").alias("max_latency"),
-        F.round(p50, 6).alias("p50_latency"),
+        F.round(p50, 6).cast("decimal(18,6)").alias("p50_latency"),
     )

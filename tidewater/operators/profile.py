@@ -1,10 +1,10 @@
 """Reshape a raw nested profile (one API response as JSON text) into the
 flat user record.
 
-The response is parsed once with `try_parse_json`; each leaf is then read
-from the variant.  A variant keeps apart what `from_json` merges: a key that
-is missing gives SQL NULL from `variant_get(v, path)`, a key present with
-JSON null gives a variant null.  Rules:
+The response is parsed once with `try_parse_json`, and the first result is
+cast once into a struct whose leaves are typed `variant`.  A variant keeps
+apart what `from_json` merges: a key that is missing gives a SQL NULL leaf,
+a key present with JSON null gives a variant null.  Rules:
 
 * unparsable text (including duplicate keys) -> `bad_json`
 * no first result (`results` empty or absent) -> `no_result`
@@ -45,10 +45,6 @@ NULLABLE = ("gender", "dob", "registered_date", "phone", "picture")
 # ---------------------------------------------------------------------------
 
 
-def _path(leaf: str) -> str:
-    return f"{FIRST}.{leaf}"
-
-
 def _text(leaf: Column) -> Column:
     return F.try_variant_get(leaf, "$", "string")
 

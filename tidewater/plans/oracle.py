@@ -251,8 +251,9 @@ ORACLE["log_latency"] = """
       FROM l)
     SELECT function_name, COUNT(*) AS calls,
            CAST(SUM(CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
-           round(avg(latency_s), 6) AS avg_latency, max(latency_s) AS max_latency,
-           round(quantile_cont(latency_s, 0.5), 6) AS p50_latency
+           CAST(round(avg(latency_s), 6) AS DECIMAL(18, 6)) AS avg_latency,
+           max(latency_s) AS max_latency,
+           CAST(round(quantile_cont(latency_s, 0.5), 6) AS DECIMAL(18, 6)) AS p50_latency
     FROM p WHERE latency_s IS NOT NULL
     GROUP BY function_name"""
 
@@ -268,8 +269,8 @@ ORACLE["daily_anomaly"] = """
       SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS day, COUNT(*) AS n
       FROM events GROUP BY 1, 2)
     SELECT event_type, day, n,
-           round(CASE WHEN stddev_samp(n) OVER w > 0
-                 THEN (n - avg(n) OVER w) / stddev_samp(n) OVER w END, 6) AS z
+           CAST(round(CASE WHEN stddev_samp(n) OVER w > 0
+                 THEN (n - avg(n) OVER w) / stddev_samp(n) OVER w END, 6) AS DECIMAL(18, 6)) AS z
     FROM c WINDOW w AS (PARTITION BY event_type)"""
 
 
