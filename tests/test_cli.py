@@ -26,7 +26,8 @@ def test_ingest_count_sample_from_envelope_files(spark, scratch, capsys):
 def test_wordcount_over_text_files(spark, scratch):
     spark.createDataFrame([("a b a",), ("b",)], "value string").write.text(f"{scratch}/lines")
     assert main(["wordcount", "--lines", f"{scratch}/lines", "--table", f"{scratch}/w",
-                 "--checkpoint", f"{scratch}/ck", "--available-now"], spark) == 0
+                 "--checkpoint", f"{scratch}/ck", "--available-now", "--compact-every", "1"],
+                spark) == 0
     from tidewater.streaming.wordcount import word_count_table
     got = {r.word: r["count"] for r in word_count_table(spark, f"{scratch}/w").current().collect()}
     assert got == {"a": 2, "b": 2}

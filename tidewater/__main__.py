@@ -60,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--table")
     w.add_argument("--checkpoint")
     w.add_argument("--available-now", action="store_true")
+    w.add_argument("--compact-every", type=int)
 
     s = sub.add_parser("setup", help="CREATE SCHEMA / TABLE IF NOT EXISTS")
     s.add_argument("--schema", default=TableSettings.schema)
@@ -104,7 +105,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
             if not (a.table and a.checkpoint):
                 raise SystemExit("wordcount needs --table and --checkpoint (or --console)")
             start_word_count(lines, word_count_table(spark, a.table), a.checkpoint,
-                             available_now=a.available_now).awaitTermination()
+                             available_now=a.available_now,
+                             compact_every=a.compact_every).awaitTermination()
     elif a.cmd == "setup":
         catalog.setup_schema(spark, TableSettings(schema=a.schema, table=a.table), a.location)
     elif a.cmd == "count":

@@ -18,11 +18,20 @@ from tidewater.streaming.ingest import trigger_options
 
 
 def start_word_count(lines: DataFrame, table: KeyedTable, checkpoint: str,
-                     text_col: str = "value", available_now: bool = False) -> StreamingQuery:
+                     text_col: str = "value", available_now: bool = False,
+                     compact_every: int | None = None) -> StreamingQuery:
+    """Each batch writes the words whose count changed; `compact_every=n`
+    folds them into a new base every n batches so reads stay bounded."""
     counts = word_counts(lines, text_col)
+
+    def each_batch(df: DataFrame, batch_id: int) -> None:
+        table.upsert(df, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            table.compact()
+
     return (
         counts.writeStream.outputMode("update")
-        .foreachBatch(lambda df, batch_id: table.upsert(df, batch_id))
+        .foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger_options(available_now))
         .start()
