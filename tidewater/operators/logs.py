@@ -52,13 +52,20 @@ def latency_summary(logs: DataFrame, exact: bool = True) -> DataFrame:
     group holds at most (max latency in ms) counters however many calls it
     has.  `exact=False` uses the mergeable `percentile_approx` sketch.
     """
-    timed = logs.where(F.col("latency_s").isNotNull())
-    p50 = (F.percentile("latency_s", F.lit(0.5)) if exact
-           else F.percentile_approx("latency_s", 0.5, 10_000))
-    return timed.groupBy("function_name").agg(
-        F.count(F.lit(1)).alias("calls"),
-        F.sum(F.when(F.col("level") == "ERROR", 1).otherwise(0)).cast("long").alias("errors"),
-        F.round(F.avg("latency_s"), 6).cast("decimal(18,6)").alias("avg_latency"),
-        F.max("latency_s").alias("max_latency"),
-        F.round(p50, 6).cast("decimal(18,6)").alias("p50_latency"),
+    # No filter on `latency_s` before the aggregate: it would be pushed down
+    # under the parse and evaluate it a second time.  The aggregates skip
+    # null latencies themselves; functions without a timed call are dropped
+    # after the aggregate, where the filter stays.
+    lat = F.col("latency_s")
+    p50 = F.percentile(lat, F.lit(0.5)) if exact else F.percentile_approx(lat, 0.5, 10_000)
+    timed_error = (F.col("level") == "ERROR") & lat.isNotNull()
+    return (
+        logs.groupBy("function_name").agg(
+            F.count(lat).alias("calls"),
+            F.sum(F.when(timed_error, 1).otherwise(0)).cast("long").alias("errors"),
+            F.round(F.avg(lat), 6).cast("decimal(18,6)").alias("avg_latency"),
+            F.max(lat).alias("max_latency"),
+            F.round(p50, 6).cast("decimal(18,6)").alias("p50_latency"),
+        )
+        .where(F.col("calls") > 0)
     )
