@@ -135,13 +135,19 @@ def write_split(decoded: DataFrame, table: KeyedTable, dead_letter_path: str,
                 batch_id: int, columns: Sequence[str]) -> None:
     """Route one decoded batch: accepted rows to the keyed table, rejected
     ones to the dead-letter folder.  The batch is persisted once so the
-    payload is parsed once for both outputs."""
+    payload is parsed once for both outputs, and the two writes run as
+    concurrent Spark jobs (they share nothing but the cached batch)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from tidewater.operators.decode import rejected
 
     decoded.persist()
     try:
         good = decoded.where(F.col("reject_reason").isNull()).select(*columns)
-        table.upsert(good, batch_id)
-        write_dead_letters(rejected(decoded), dead_letter_path, batch_id)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            jobs = [pool.submit(table.upsert, good, batch_id),
+                    pool.submit(write_dead_letters, rejected(decoded), dead_letter_path, batch_id)]
+            for j in jobs:
+                j.result()
     finally:
         decoded.unpersist()
