@@ -90,7 +90,7 @@ def test_fold_is_associative(spark):
     rest = df.where(F.col("seq") >= 4)
     prefix = runs.fold(runs.streak_summaries(first, 3, partitions=2), 3)
     pieces = runs.streak_summaries(rest, 3, partitions=3).unionByName(
-        prefix.select(F.lit(-1).alias("pid"), "run_id", *runs._FIELDS))
+        prefix.select(F.lit(-1).alias("pid"), "run_id", *runs.PIECE))
     step = runs.finish(runs.fold(pieces, 3), 3)
     assert sorted(map(tuple, step.collect())) == sorted(map(tuple, whole.collect()))
 
@@ -142,3 +142,15 @@ def test_streaming_replay_after_state_write_counts_once(spark, scratch):
     assert crashed["done"]
     got = sorted(map(tuple, run_stats_view(state, 3).collect()))
     assert got == sorted(map(tuple, runs.run_stats(df, 3).collect()))
+
+
+def test_streaming_rejects_out_of_order_attempts(spark, scratch):
+    import pytest
+
+    from tidewater.streaming.runs import OutOfOrderAttempts, fold_batch, run_state_table
+
+    df = attempts(spark, ["SEESSE"])
+    state = run_state_table(spark, f"{scratch}/state")
+    fold_batch(df.where(df.seq >= 3), 0, state, 3)
+    with pytest.raises(OutOfOrderAttempts):
+        fold_batch(df.where(df.seq < 3), 1, state, 3)

@@ -28,23 +28,36 @@ scan is distributed instead:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The per-partition scan below runs in Python workers.  Pickle this module's
+# functions by value so the tasks carry them: executors then need only
+# numpy and pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 SUMMARY_SCHEMA = (
     "pid int, run_id long, n_ok long, n_err long, lead long, trail long, "
-    "max_streak long, hit boolean, ok_upto long, err_upto long"
+    "max_streak long, hit boolean, ok_upto long, err_upto long, "
+    "first_ts long, first_seq long, last_ts long, last_seq long"
 )
 _FIELDS = ["n_ok", "n_err", "lead", "trail", "max_streak", "hit", "ok_upto", "err_upto"]
+# First and last attempt of a piece (ts as epoch microseconds): not part of
+# the streak arithmetic, carried so a stream can check arrival order.
+_EDGES = ["first_ts", "first_seq", "last_ts", "last_seq"]
+PIECE = [*_FIELDS, *_EDGES]
 
 
 # --- per-partition scan (runs inside a task, vectorised with numpy) --------
-def _summarise(run: np.ndarray, ok: np.ndarray, limit: int) -> pd.DataFrame:
+def _summarise(run: np.ndarray, ok: np.ndarray, ts: np.ndarray, seq: np.ndarray,
+               limit: int) -> pd.DataFrame:
     """Summaries of each maximal same-run segment of one sorted batch."""
     n = len(run)
     idx = np.arange(n)
@@ -86,6 +99,8 @@ def _summarise(run: np.ndarray, ok: np.ndarray, limit: int) -> pd.DataFrame:
         "run_id": run[seg_start], "n_ok": n_ok, "n_err": n_seg - n_ok, "lead": lead,
         "trail": trail, "max_streak": max_streak, "hit": hit,
         "ok_upto": ok_upto, "err_upto": err_upto,
+        "first_ts": ts[seg_start], "first_seq": seq[seg_start],
+        "last_ts": ts[seg_end], "last_seq": seq[seg_end],
     })
 
 
@@ -100,6 +115,8 @@ def combine(a: dict, b: dict, limit: int) -> dict:
         "lead": a["lead"] + b["lead"] if a_all else a["lead"],
         "trail": a["trail"] + b["trail"] if b_all else b["trail"],
         "max_streak": max(a["max_streak"], b["max_streak"], a["trail"] + b["lead"]),
+        "first_ts": a["first_ts"], "first_seq": a["first_seq"],
+        "last_ts": b["last_ts"], "last_seq": b["last_seq"],
     }
     if a["hit"]:
         out.update(hit=True, ok_upto=a["ok_upto"], err_upto=a["err_upto"])
@@ -116,7 +133,7 @@ def _partition_summaries(limit: int):
     """Per task: summaries of each run in the task's sorted rows.  Only the
     last run of an Arrow batch can continue into the next batch, so only
     that one is carried (as a dict); the rest pass through as frames."""
-    cols = ["run_id", *_FIELDS]
+    cols = ["run_id", *PIECE]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pending = None  # summary of the run still open at the batch edge
@@ -127,7 +144,8 @@ def _partition_summaries(limit: int):
             if pdf.empty:
                 continue
             pid = int(pdf["pid"].iat[0])
-            s = _summarise(pdf["run_id"].to_numpy(np.int64), pdf["ok"].to_numpy(bool), limit)
+            s = _summarise(pdf["run_id"].to_numpy(np.int64), pdf["ok"].to_numpy(bool),
+                           pdf["ts_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64), limit)
             head = s.iloc[0].to_dict()
             if pending is not None:
                 if head["run_id"] == pending["run_id"]:
@@ -157,7 +175,8 @@ def streak_summaries(attempts: DataFrame, max_errors: int, partitions: int | Non
         attempts.select("run_id", "ts", "seq", F.col("ok").cast("boolean").alias("ok"))
         .repartitionByRange(n, "run_id", "ts", "seq")
         .sortWithinPartitions("run_id", "ts", "seq")
-        .select(F.spark_partition_id().alias("pid"), "run_id", "ok")
+        .select(F.spark_partition_id().alias("pid"), "run_id", "ok",
+                F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "seq")
     )
     return ordered.mapInPandas(_partition_summaries(max_errors), SUMMARY_SCHEMA)
 
@@ -186,7 +205,7 @@ def fold(summaries: DataFrame, max_errors: int) -> DataFrame:
     carry, lead, lim = F.col("carry"), F.col("lead"), F.lit(max_errors)
     reach = carry + lead >= lim
     s = s.select(
-        "run_id", "pid", "n_ok", "n_err", "n", "lead", "_cb",
+        "run_id", "pid", "n_ok", "n_err", "n", "lead", "_cb", *_EDGES,
         (reach | F.col("hit")).alias("hit_here"),
         F.when(reach, F.lit(0)).otherwise(F.col("ok_upto")).alias("ok_to"),
         F.when(reach, F.greatest(lim - carry, F.lit(0))).otherwise(F.col("err_upto")).alias("err_to"),
@@ -209,7 +228,9 @@ def fold(summaries: DataFrame, max_errors: int) -> DataFrame:
         F.max(at_hit).alias("hit"),
         F.sum(F.when(at_hit, F.col("ok_to")).when(before_hit, F.col("n_ok")).otherwise(0)).alias("ok_upto"),
         F.sum(F.when(at_hit, F.col("err_to")).when(before_hit, F.col("n_err")).otherwise(0)).alias("err_upto"),
-    )
+        F.min_by(F.struct("first_ts", "first_seq"), "pid").alias("_first"),
+        F.max_by(F.struct("last_ts", "last_seq"), "pid").alias("_last"),
+    ).select("run_id", *_FIELDS, "_first.*", "_last.*")
 
 
 def finish(folded: DataFrame, max_errors: int) -> DataFrame:

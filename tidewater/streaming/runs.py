@@ -10,6 +10,10 @@ run is still split across partitions within each batch.
 Attempts of one run must arrive in order across batches (a later batch
 holds later attempts), as they do when a producer appends them.
 
+The state also keeps each run's last `(ts, seq)`; a batch holding an
+attempt that is not after it fails with `OutOfOrderAttempts` rather than
+folding it into a wrong streak.
+
 Replays: batch `b` always folds onto the state as it was before `b`
 (`KeyedTable.current(before=b)`), so a batch re-run after a crash that
 followed its state write does not count its attempts twice.
@@ -21,11 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewater.operators.runs import _FIELDS, finish, fold, streak_summaries
+from tidewater.operators.runs import PIECE, finish, fold, streak_summaries
 from tidewater.sinks.keyed_table import KeyedTable
 from tidewater.streaming.ingest import trigger_options
 
 
+class OutOfOrderAttempts(ValueError):
+    """A micro-batch holds attempts older than ones already folded."""
+
+
 def run_state_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, key="run_id", order=["batch"])
 
@@ -36,10 +44,18 @@ def fold_batch(batch: DataFrame, batch_id: int, state: KeyedTable, max_errors: i
         pieces = new
         before = state.snapshot(before=batch_id)
         if before is not None:
-            touched = new.select("run_id").distinct()
-            prev = (before.join(touched, "run_id", "left_semi")
-                    .select(F.lit(-1).alias("pid"), "run_id", *_FIELDS))
-            pieces = new.unionByName(prev)
+            # Each run's first attempt in this batch, from the scan's pieces.
+            firsts = new.groupBy("run_id").agg(
+                F.min_by(F.struct("first_ts", "first_seq"), "pid").alias("_first"))
+            prev = before.join(firsts, "run_id", "left_semi")
+            seen = prev.select("run_id", F.struct("last_ts", "last_seq").alias("_seen"))
+            late = firsts.join(seen, "run_id").where(F.col("_first") <= F.col("_seen"))
+            bad = late.select("run_id").limit(5).collect()
+            if bad:
+                raise OutOfOrderAttempts(
+                    f"batch {batch_id}: runs {[r.run_id for r in bad]} received attempts "
+                    "not after ones already counted")
+            pieces = new.unionByName(prev.select(F.lit(-1).alias("pid"), "run_id", *PIECE))
         folded = fold(pieces, max_errors).withColumn("batch", F.lit(int(batch_id)).cast("long"))
         state.upsert(folded, batch_id)
     finally:
