@@ -113,3 +113,13 @@ def test_stream_static_enrichment_equals_batch(spark, scratch):
         .start().awaitTermination())
     want = enrich_events(events, t("customer"), t("nation"), t("region"))
     assert rows(spark.read.parquet(f"{scratch}/out")) == rows(want)
+
+
+def test_daily_counts_stream_has_watermark_and_window(spark, scratch):
+    from tidewater.operators.anomaly import streaming_daily_counts
+
+    ev = table(spark, SF_SMALL, "events", cpu_heavy=False).select("event_type", "ts")
+    ev.write.parquet(f"{scratch}/ev")
+    stream = spark.readStream.schema(ev.schema).parquet(f"{scratch}/ev")
+    plan = streaming_daily_counts(stream)._jdf.queryExecution().analyzed().toString()
+    assert "EventTimeWatermark" in plan

@@ -323,3 +323,4 @@ ORACLE["decode_permissive"] = f"""
     FROM v"""
 
 ORACLE["target_row_count"] = "SELECT COUNT(DISTINCT user_id) AS row_count FROM events"
+ORACLE["daily_counts_stream"] = ORACLE["daily_anomaly"]

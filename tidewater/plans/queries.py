@@ -211,6 +211,24 @@ def word_count_stream(spark, sf_dir):
     return counts.current().select("word", "count")
 
 
+def _arrive_in_slices(df: DataFrame, path: str, run_once, slices: int = STREAM_FILES) -> None:
+    """Append `df` to `path` in `slices` time-ordered slices (cut at
+    approximate quantiles of `ts`), running `run_once()` after each, as if
+    the data arrived in that order."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    probs = [i / slices for i in range(1, slices)]
+    cuts = df.select(micros.alias("m")).approxQuantile("m", probs, 0.01)
+    edges = [None, *cuts, None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = df
+        if lo is not None:
+            part = part.where(micros >= F.lit(int(lo)))
+        if hi is not None:
+            part = part.where(micros < F.lit(int(hi)))
+        part.write.mode("append").parquet(path)
+        run_once()
+
+
 def run_stats_stream(spark, sf_dir):
     """A3, A4 streaming form: attempts arrive in four time slices; after
     each arrival the query runs once (`availableNow`) on the same
@@ -221,23 +239,41 @@ def run_stats_stream(spark, sf_dir):
 
     root = scratch_path(spark, "run_stats_stream")
     attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    cuts = attempts.select(micros.alias("m")).approxQuantile("m", [0.25, 0.5, 0.75], 0.01)
-    edges = [None, *cuts, None]
     state = run_state_table(spark, f"{root}/state")
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        part = attempts
-        if lo is not None:
-            part = part.where(micros >= F.lit(int(lo)))
-        if hi is not None:
-            part = part.where(micros < F.lit(int(hi)))
-        part.write.mode("append").parquet(f"{root}/landing")
+
+    def run_once():
         stream = spark.readStream.schema(ATTEMPTS).parquet(f"{root}/landing")
         start_run_stats(stream, state, f"{root}/checkpoint", RUN_MAX_ERRORS,
                         available_now=True).awaitTermination()
+
+    _arrive_in_slices(attempts, f"{root}/landing", run_once)
     return run_stats_view(state, RUN_MAX_ERRORS)
 
 
+def daily_counts_stream(spark, sf_dir):
+    """X4 streaming form, T3/T6 with a watermark: events arrive in four time
+    slices; a one-day tumbling window with a one-day watermark counts them
+    per type in update mode into a keyed table (key = type and day, the
+    newest count wins); z-scores are computed on the final counts."""
+    from tidewater.session import scratch_path
+    from tidewater.sinks.keyed_table import KeyedTable
+    from tidewater.streaming.ingest import trigger_options
+
+    root = scratch_path(spark, "daily_counts_stream")
+    events = table(spark, sf_dir, "events", cpu_heavy=False).select("event_type", "ts")
+    counts = KeyedTable(spark, f"{root}/counts", key=["event_type", "day"], order=["n"])
+
+    def run_once():
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/landing")
+        (anomaly.streaming_daily_counts(stream).writeStream.outputMode("update")
+            .foreachBatch(lambda df, batch_id: counts.upsert(df, batch_id))
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(**trigger_options(available_now=True)).start().awaitTermination())
+
+    _arrive_in_slices(events, f"{root}/landing", run_once)
+    return anomaly.zscores(counts.current())
+
+
 def profile_landing_stream(spark, sf_dir):
     """S4 as files: raw responses land as text lines; a streaming query
     reads them (`readStream.text`), reshapes each, and appends the result
@@ -281,4 +317,5 @@ QUERIES: dict[str, Query] = {
     "word_count_stream": word_count_stream,
     "run_stats_stream": run_stats_stream,
     "profile_landing_stream": profile_landing_stream,
+    "daily_counts_stream": daily_counts_stream,
 }
