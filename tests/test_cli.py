@@ -31,3 +31,14 @@ def test_wordcount_over_text_files(spark, scratch):
     from tidewater.streaming.wordcount import word_count_table
     got = {r.word: r["count"] for r in word_count_table(spark, f"{scratch}/w").current().collect()}
     assert got == {"a": 2, "b": 2}
+
+
+def test_ingest_with_dob_keeps_twelve_columns(spark, scratch):
+    env = derive.events_envelope(table(spark, SF_SMALL, "events"), derive.user_message())
+    write_envelopes(env, f"{scratch}/in", files=1)
+    main(["ingest", "--envelopes", f"{scratch}/in", "--table", f"{scratch}/t",
+          "--dead-letters", f"{scratch}/dlq", "--checkpoint", f"{scratch}/ck",
+          "--available-now", "--with-dob"], spark)
+    from tidewater.sinks.keyed_table import KeyedTable
+    view = KeyedTable(spark, f"{scratch}/t", "id", ["timestamp", "partition", "offset"]).current()
+    assert "dob" in view.columns and view.where("dob IS NOT NULL").count() > 0

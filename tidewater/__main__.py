@@ -24,6 +24,7 @@ from pyspark.sql import SparkSession
 from tidewater import catalog
 from tidewater.config import KafkaSettings, TableSettings
 from tidewater.operators.keyed import row_count, sample_rows
+from tidewater.schemas import USER_V1, USER_V2
 from tidewater.session import ensure_checkpoint_dir
 from tidewater.sinks.console import to_console
 from tidewater.sinks.keyed_table import KeyedTable
@@ -51,6 +52,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--compact-every", type=int)
     i.add_argument("--available-now", action="store_true")
+    i.add_argument("--with-dob", action="store_true",
+                   help="keep the message's dob field (12 columns instead of 11)")
 
     w = sub.add_parser("wordcount", help="running word count over text lines")
     w.add_argument("--host", default="localhost")
@@ -94,6 +97,7 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
                 max_offsets_per_trigger=a.max_offsets_per_trigger))
         table = KeyedTable(spark, a.table, key="id", order=USER_ORDER)
         start_ingest(source, table, a.dead_letters, a.checkpoint,
+                     schema=USER_V2 if a.with_dob else USER_V1,
                      available_now=a.available_now,
                      compact_every=a.compact_every).awaitTermination()
     elif a.cmd == "wordcount":
