@@ -123,3 +123,12 @@ def test_daily_counts_stream_has_watermark_and_window(spark, scratch):
     stream = spark.readStream.schema(ev.schema).parquet(f"{scratch}/ev")
     plan = streaming_daily_counts(stream)._jdf.queryExecution().analyzed().toString()
     assert "EventTimeWatermark" in plan
+
+
+def test_state_partitions_leave_session_setting(spark, scratch):
+    from tidewater.streaming.ingest import state_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with state_partitions(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -206,7 +206,8 @@ def word_count_stream(spark, sf_dir):
              .parquet(f"{root}/landing"))
     counts = word_count_table(spark, f"{root}/table")
     q = start_word_count(lines, counts, f"{root}/checkpoint", text_col="text",
-                         available_now=True)
+                         available_now=True,
+                         partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return counts.current().select("word", "count")
 
@@ -257,7 +258,7 @@ def daily_counts_stream(spark, sf_dir):
     newest count wins); z-scores are computed on the final counts."""
     from tidewater.session import scratch_path
     from tidewater.sinks.keyed_table import KeyedTable
-    from tidewater.streaming.ingest import trigger_options
+    from tidewater.streaming.ingest import state_partitions, trigger_options
 
     root = scratch_path(spark, "daily_counts_stream")
     events = table(spark, sf_dir, "events", cpu_heavy=False).select("event_type", "ts")
@@ -265,10 +266,12 @@ def daily_counts_stream(spark, sf_dir):
 
     def run_once():
         stream = spark.readStream.schema(events.schema).parquet(f"{root}/landing")
-        (anomaly.streaming_daily_counts(stream).writeStream.outputMode("update")
-            .foreachBatch(lambda df, batch_id: counts.upsert(df, batch_id))
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(**trigger_options(available_now=True)).start().awaitTermination())
+        with state_partitions(spark, spark.sparkContext.defaultParallelism):
+            q = (anomaly.streaming_daily_counts(stream).writeStream.outputMode("update")
+                 .foreachBatch(lambda df, batch_id: counts.upsert(df, batch_id))
+                 .option("checkpointLocation", f"{root}/checkpoint")
+                 .trigger(**trigger_options(available_now=True)).start())
+        q.awaitTermination()
 
     _arrive_in_slices(events, f"{root}/landing", run_once)
     return anomaly.zscores(counts.current())

@@ -10,6 +10,8 @@ re-run harmless.  Record ids must not be random for the same reason
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -19,6 +21,24 @@ from tidewater.schemas import ENVELOPE_COORDS, USER_REQUIRED, USER_V1
 from tidewater.sinks.keyed_table import KeyedTable, write_split
 
 
+@contextmanager
+def state_partitions(spark, n: int | None):
+    """Shuffle partitions for the stateful operators of a query started in
+    this block.  A streaming query copies the session's settings when it
+    starts and keeps its state partition count in the checkpoint from then
+    on, so the setting is applied around `start()` and restored after."""
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def trigger_options(available_now: bool = False, interval: str | None = None) -> dict:
     if available_now:
         return {"availableNow": True}

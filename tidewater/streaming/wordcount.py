@@ -14,14 +14,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.operators.wordcount import word_counts
 from tidewater.sinks.keyed_table import KeyedTable
-from tidewater.streaming.ingest import trigger_options
+from tidewater.streaming.ingest import state_partitions, trigger_options
 
 
 def start_word_count(lines: DataFrame, table: KeyedTable, checkpoint: str,
                      text_col: str = "value", available_now: bool = False,
-                     compact_every: int | None = None) -> StreamingQuery:
+                     compact_every: int | None = None,
+                     partitions: int | None = None) -> StreamingQuery:
     """Each batch writes the words whose count changed; `compact_every=n`
-    folds them into a new base every n batches so reads stay bounded."""
+    folds them into a new base every n batches so reads stay bounded.
+    `partitions` sets the state partitions when the query first starts."""
     counts = word_counts(lines, text_col)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
@@ -29,13 +31,14 @@ def start_word_count(lines: DataFrame, table: KeyedTable, checkpoint: str,
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
 
-    return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(each_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger_options(available_now))
-        .start()
-    )
+    with state_partitions(lines.sparkSession, partitions):
+        return (
+            counts.writeStream.outputMode("update")
+            .foreachBatch(each_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger_options(available_now))
+            .start()
+        )
 
 
 def word_count_table(spark, path: str) -> KeyedTable:
