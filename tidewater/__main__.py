@@ -64,6 +64,8 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--checkpoint")
     w.add_argument("--available-now", action="store_true")
     w.add_argument("--compact-every", type=int)
+    w.add_argument("--state-partitions", type=int,
+                   help="state partitions, fixed when the query first starts")
 
     s = sub.add_parser("setup", help="CREATE SCHEMA / TABLE IF NOT EXISTS")
     s.add_argument("--schema", default=TableSettings.schema)
@@ -110,7 +112,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
                 raise SystemExit("wordcount needs --table and --checkpoint (or --console)")
             start_word_count(lines, word_count_table(spark, a.table), a.checkpoint,
                              available_now=a.available_now,
-                             compact_every=a.compact_every).awaitTermination()
+                             compact_every=a.compact_every,
+                             partitions=a.state_partitions).awaitTermination()
     elif a.cmd == "setup":
         catalog.setup_schema(spark, TableSettings(schema=a.schema, table=a.table), a.location)
     elif a.cmd == "count":
