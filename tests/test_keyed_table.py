@@ -79,3 +79,13 @@ def test_ingest_with_compaction_keeps_view(spark, scratch):
     cols = list(USER_V1_COLUMNS)
     assert sorted(map(tuple, t.current().select(*cols).collect())) == \
         sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_older_write_after_compaction_loses_to_base(spark, scratch):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
+    t.upsert(batch(spark, [("a", "new", 9, 0, 9), ("b", "1", 1, 0, 1)]), 0)
+    t.compact()
+    t.upsert(batch(spark, [("a", "old", 2, 0, 2), ("c", "1", 3, 0, 3)]), 1)
+    assert view(t) == [("a", "new"), ("b", "1"), ("c", "1")]
+    plan = t.current()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan  # untouched base rows skip the shuffle

@@ -19,7 +19,9 @@ a commit log, all written by Spark:
   `(timestamp, partition, offset)`.  The batch number is not part of the
   order, so the result does not depend on how input was cut into batches.
 * `compact()` writes `current()` as a new base and commits it, so later
-  reads scan one base plus the segments committed after it.
+  reads scan one base plus the segments committed after it.  Base rows
+  whose key has no later segment row pass through a broadcast anti-join
+  unshuffled when the touched keys are few; only touched keys are reduced.
 
 When a table format with MERGE INTO is available, `upsert` is the one
 function to replace.
@@ -33,6 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import BROADCAST_MAX_ROWS
 from tidewater.operators.keyed import latest_per_key
 
 COMMIT_SCHEMA = "batch long, attempt string, kind string, committed_at timestamp"
@@ -112,10 +115,22 @@ class KeyedTable:
                     attempts[r["batch"]] = r
         paths = [f"{self.path}/segments/seg_batch={b}/seg_attempt={r['attempt']}"
                  for b, r in sorted(attempts.items())]
-        if base:
-            paths.append(f"{self.path}/base/version={base['attempt']}")
-        rows = self.spark.read.parquet(*paths)
-        return latest_per_key(rows, self.key, self.order)
+        if not base:
+            return latest_per_key(self.spark.read.parquet(*paths), self.key, self.order)
+        base_rows = self.spark.read.parquet(f"{self.path}/base/version={base['attempt']}")
+        if not paths:
+            return base_rows
+        segs = self.spark.read.parquet(*paths)
+        # Only keys written since the base can change.  When they are few,
+        # the rest of the base passes through a broadcast anti-join with no
+        # shuffle, and only the touched keys are reduced again.
+        touched = segs.select(*self.key).distinct()
+        if touched.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+            touched = F.broadcast(touched)
+            kept = base_rows.join(touched, self.key, "left_anti")
+            redo = base_rows.join(touched, self.key, "left_semi").unionByName(segs)
+            return kept.unionByName(latest_per_key(redo, self.key, self.order))
+        return latest_per_key(base_rows.unionByName(segs), self.key, self.order)
 
     def current(self, before: int | None = None) -> DataFrame:
         view = self.snapshot(before)
