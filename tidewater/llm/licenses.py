@@ -76,7 +76,7 @@ def sentences(text: Column) -> Column:
     """Normalised sentences, blank ones left out."""
     cut = F.regexp_replace(F.coalesce(text, F.lit("")), END, "\n")
     plain = F.lower(F.regexp_replace(F.regexp_replace(cut, r"[^A-Za-z0-9\n]+", " "), r" ?\n ?", "\n"))
-    return F.array_remove(F.transform(F.split(plain, "\n"), F.trim), "")
+    return F.array_remove(F.transform(F.split(plain, "\n"), lambda s: F.trim(s)), "")
 
 
 def identifiers(sents: str) -> Column:
