@@ -215,3 +215,9 @@ def arrow_apply(df: DataFrame, fn, schema: str) -> DataFrame:
             if b.num_rows:
                 yield from fn(b)
     return df.mapInArrow(run, schema)
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as this Python worker, over tasks and jobs."""
+    home = sys.modules.setdefault("_tidewater_worker_cache", type(sys)("_tidewater_worker_cache"))
+    return home.__dict__.setdefault(name, {})
