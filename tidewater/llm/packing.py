@@ -38,7 +38,7 @@ LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 4
 KEY_BITS = 15  # bits of each coordinate: 60 in the key
-CACHED_WORDS = 300_000
+CACHED_WORDS = 800_000
 CACHED_WORD_CHARS = 48
 PARTITION_SHIFT = 40  # sequence_id = partition << 40 | number in the partition
 
@@ -122,14 +122,13 @@ class Encoder:
     def encode_all(self, texts: list) -> list:
         split = [_WORD.findall(t) for t in texts]
         known = self.words
-        if len(known) > CACHED_WORDS:
-            known.clear()
         new = [w for w in set().union(*split) if w not in known] if split else []
         passing = {}
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                (known if len(w) <= CACHED_WORD_CHARS else passing)[w] = np.asarray(e.ids, "<u4").tobytes()
+                keep = len(w) <= CACHED_WORD_CHARS and len(known) < CACHED_WORDS
+                (known if keep else passing)[w] = np.asarray(e.ids, "<u4").tobytes()
         if passing:
             look = lambda w: known[w] if w in known else passing[w]
         else:

@@ -234,13 +234,11 @@ class Encoder:
         if self._cut is None:
             return self._search(marked)
         known, out = self.known, []
-        if len(known) > CACHED_WORDS:
-            known.clear()
         for part in self._cut.findall(marked):
             got = known.get(part)
             if got is None:
                 got = self._search(part)
-                if len(part) <= CACHED_CHARS:
+                if len(part) <= CACHED_CHARS and len(known) < CACHED_WORDS:
                     known[part] = got
             out.append(got)
         return b"".join(out)
