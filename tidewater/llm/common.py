@@ -58,6 +58,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << U64(bits)) | (x >> U64(64 - bits))
+
+
+# --- fixed values: the primes of the XXH64 hash --------------------------------
+XX1, XX2, XX3, XX4, XX5 = (U64(0x9E3779B185EBCA87), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9),
+                           U64(0x85EBCA77C2B2AE63), U64(0x27D4EB2F165667C5))
+# --------------------------------------------------------------------------------
+
+
+def xxhash64(values: np.ndarray, seed) -> np.ndarray:
+    """XXH64 of 64-bit numbers, as Spark's function of that name computes it for
+    a long column (seed 42, or the hash of the columns before)."""
+    with np.errstate(over="ignore"):
+        h = (seed + XX5 + U64(8)) ^ (_turn(values.astype(U64) * XX2, 31) * XX1)
+        h = _turn(h, 27) * XX1 + XX4
+        h = (h ^ (h >> U64(33))) * XX2
+        h = (h ^ (h >> U64(29))) * XX3
+        return h ^ (h >> U64(32))
+
+
 class Rolling:
     """Hashes of any slice of a byte or word buffer from one running sum.
 

@@ -38,7 +38,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, hash_bitmap, mix, saved, signed, text_batches)
+from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, hash_bitmap, mix, saved, signed, text_batches,
+                                  xxhash64)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -57,7 +58,8 @@ def text_keys(batch: Batch) -> np.ndarray:
 
 
 def position_keys(text_key: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return mix(text_key ^ mix(at.astype(U64) + U64(1)))
+    """The value of Spark's xxhash64(txt, a)."""
+    return xxhash64(at.astype(U64), xxhash64(text_key, U64(42)))
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -128,7 +130,7 @@ def _ranks(docs: DataFrame) -> DataFrame:
 
 
 def _runs(docs: DataFrame, repeated) -> DataFrame:
-    """The runs whose first rank repeats: `core, span, key, txt, a, lo, hi`."""
+    """The runs whose first rank repeats: `core, span, txt, a, lo, hi`."""
     def emit(b):
         for _, _, batch in text_batches(b.column("text")):
             c = chosen(batch)
@@ -143,11 +145,11 @@ def _runs(docs: DataFrame, repeated) -> DataFrame:
             txt = text_keys(batch)[c["doc"]]
             at = c["a"] - batch.offs[c["doc"]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(c["core"])), pa.array(signed(span)), pa.array(signed(position_keys(txt, at))),
-                 pa.array(signed(txt)), pa.array(at), pa.array(c["lo"].astype(np.int32)), pa.array(c["hi"].astype(np.int32))],
-                ["core", "span", "key", "txt", "a", "lo", "hi"])
+                [pa.array(signed(c["core"])), pa.array(signed(span)), pa.array(signed(txt)), pa.array(at.astype(np.int32)),
+                 pa.array(c["lo"].astype(np.int32)), pa.array(c["hi"].astype(np.int32))],
+                ["core", "span", "txt", "a", "lo", "hi"])
 
-    rows = arrow_apply(docs.select("text"), emit, "core long, span long, key long, txt long, a long, lo int, hi int")
+    rows = arrow_apply(docs.select("text"), emit, "core long, span long, txt long, a int, lo int, hi int")
     return saved(rows.distinct(), "suffix-runs")
 
 
@@ -198,12 +200,12 @@ def _cut(todo: DataFrame, step: int, level: int) -> DataFrame:
             tag = mix(x.astype(U64) + U64(1000 * (level + 1)))
             core = mix(CORE.slices(cores, p - x, p - y + WINDOW) ^ tag)
             span = _span(spans, p, np.maximum(x, near[keep]), np.minimum(y, far[keep]))
-            cols = [b.column(c).take(pa.array(keep)) for c in ("key", "txt", "a", "lo", "hi", "many")]
+            cols = [b.column(c).take(pa.array(keep)) for c in ("txt", "a", "lo", "hi", "many")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(core)), pa.array(signed(span)), *cols, pa.array(x.astype(np.int32)), pa.array(y.astype(np.int32))],
-                ["core", "span", "key", "txt", "a", "lo", "hi", "many", "x", "y"])
+                ["core", "span", "txt", "a", "lo", "hi", "many", "x", "y"])
 
-    return arrow_apply(todo, emit, "core long, span long, key long, txt long, a long, lo int, hi int, many boolean, x int, y int")
+    return arrow_apply(todo, emit, "core long, span long, txt long, a int, lo int, hi int, many boolean, x int, y int")
 
 
 def _rerank(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -211,7 +213,7 @@ def _rerank(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     `many` marks a representative of equal spans that are settled already."""
     one = (runs.groupBy("core", "span").agg(
-        F.count("*").alias("k"), F.max("many").alias("old"), F.min(F.struct("key", "txt", "a")).alias("r"),
+        F.count("*").alias("k"), F.max("many").alias("old"), F.min(F.struct("txt", "a")).alias("r"),
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("x").alias("x"), F.max("y").alias("y"))
         .withColumn("many", F.col("old") | (F.col("k") > 1)))
     one = saved(one, "suffix-classes")
@@ -219,7 +221,8 @@ def _rerank(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
             .select("txt", (F.col("a") - F.least("hi", "y")).alias("first"), (F.col("a") - F.greatest("lo", "x")).alias("last")))
     cores = saved(one.groupBy("core").agg(F.count("*").alias("spans"), F.min("many").alias("settled"))
                   .where("spans > 1 and not settled").select("core"), "suffix-cores")
-    todo = one.join(cores, "core", "left_semi").select("r.key", "r.txt", "r.a", "lo", "hi", "many", "x", "y")
+    todo = one.join(cores, "core", "left_semi").select(
+        F.xxhash64("r.txt", F.col("r.a").cast("long")).alias("key"), "r.txt", "r.a", "lo", "hi", "many", "x", "y")
     return saved(done, "suffix-repeats"), saved(todo, "suffix-open")
 
 
