@@ -1,11 +1,9 @@
-import os
+"""Odd rows for the tests of this folder, as fixtures to import."""
+
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 
 def prose(seed, n, words="the of and to river stone cloud winter maple harbour lantern copper violet engine signal".split()):
     r = random.Random(seed)

@@ -5,6 +5,7 @@ import pytest
 import public_tokenizers as P
 
 import brute
+from odd import empty, odd, odd_rows  # noqa: F401  fixtures
 from tidewater.llm import (embeddings, licenses, ngram_join, packing, phrase_dedup, pieces, quality, sharding,
                            suffix_dedup, toxicity)
 
