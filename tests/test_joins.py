@@ -1,22 +1,17 @@
-from tidewater.operators.joins import bounded_broadcast, join_dimension
+from tidewater.operators.joins import join_dimension
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_only_under_bound(spark):
+def test_broadcast_follows_the_byte_threshold(spark):
+    fact = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.range(10).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in _plan(join_dimension(fact, dim, "k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fact = spark.range(1000).withColumnRenamed("id", "k")
-        dim = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _plan(join_dimension(fact, dim, "k", max_rows=10))
-        assert "BroadcastHashJoin" not in _plan(join_dimension(fact, dim, "k", max_rows=9))
-        assert join_dimension(fact, dim, "k", max_rows=9).count() == 10
+        assert "BroadcastHashJoin" not in _plan(join_dimension(fact, dim, "k"))
+        assert join_dimension(fact, dim, "k").count() == 10
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_streaming_dimension_untouched(spark):
-    s = spark.readStream.format("rate").load()
-    assert bounded_broadcast(s) is s

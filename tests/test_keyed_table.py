@@ -87,5 +87,33 @@ def test_older_write_after_compaction_loses_to_base(spark, scratch):
     t.compact()
     t.upsert(batch(spark, [("a", "old", 2, 0, 2), ("c", "1", 3, 0, 3)]), 1)
     assert view(t) == [("a", "new"), ("b", "1"), ("c", "1")]
-    plan = t.current()._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan  # untouched base rows skip the shuffle
+
+
+def test_two_writers_and_a_new_checkpoint_lose_nothing(spark, scratch):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
+    t.upsert(batch(spark, [("a", "1", 1, 0, 0), ("b", "1", 1, 0, 1)]), 0, writer="first")
+    t.upsert(batch(spark, [("c", "1", 1, 0, 2)]), 0, writer="second")
+    assert view(t) == [("a", "1"), ("b", "1"), ("c", "1")]
+    t.compact()
+    t.upsert(batch(spark, [("z", "1", 2, 0, 3)]), 0, writer="third")
+    t.upsert(batch(spark, [("y", "1", 2, 0, 4)]))
+    assert view(t) == [("a", "1"), ("b", "1"), ("c", "1"), ("y", "1"), ("z", "1")]
+
+
+def test_null_key_keeps_one_row(spark, scratch):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
+    t.upsert(batch(spark, [(None, "old", 1, 0, 0)]), 0)
+    t.compact()
+    t.upsert(batch(spark, [(None, "new", 2, 0, 1)]), 1)
+    assert view(t) == [(None, "new")]
+
+
+def test_unreadable_log_is_an_error(spark, scratch, monkeypatch):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
+
+    def broken():
+        raise OSError("store is down")
+
+    monkeypatch.setattr(t, "_commits", broken)
+    with pytest.raises(OSError):
+        t.snapshot()

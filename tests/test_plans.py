@@ -35,7 +35,7 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<text:string>" in p
 
 
-def test_dimensions_broadcast_behind_check(spark):
+def test_small_dimensions_are_broadcast(spark):
     p = plan(E.queries()["enrich_dim"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p
 
@@ -50,7 +50,9 @@ def test_no_filter_reevaluates_a_parse(spark):
     # parses again (inside each CASE branch); every query must avoid it.
     streaming = {"keyed_stream_upsert", "word_count_stream", "run_stats_stream", "daily_counts_stream",
                  "profile_landing_stream"}
-    for name, fn in E.queries().items():
+    from tidewater.plans.queries import QUERIES
+
+    for name, fn in QUERIES.items():
         if name in streaming:
             continue
         for line in plan(fn(spark, SF_SMALL)).splitlines():

@@ -103,7 +103,7 @@ def test_text_line_stream_word_count(spark, scratch):
 def test_stream_static_enrichment_equals_batch(spark, scratch):
     from tidewater.operators.enrich import enrich_events
 
-    t = lambda n: table(spark, SF_SMALL, n, cpu_heavy=False)
+    t = lambda n: table(spark, SF_SMALL, n)
     events = t("events")
     events.repartition(3).write.parquet(f"{scratch}/ev")
     stream = spark.readStream.schema(events.schema).parquet(f"{scratch}/ev")
@@ -118,7 +118,7 @@ def test_stream_static_enrichment_equals_batch(spark, scratch):
 def test_daily_counts_stream_has_watermark_and_window(spark, scratch):
     from tidewater.operators.anomaly import streaming_daily_counts
 
-    ev = table(spark, SF_SMALL, "events", cpu_heavy=False).select("event_type", "ts")
+    ev = table(spark, SF_SMALL, "events").select("event_type", "ts")
     ev.write.parquet(f"{scratch}/ev")
     stream = spark.readStream.schema(ev.schema).parquet(f"{scratch}/ev")
     plan = streaming_daily_counts(stream)._jdf.queryExecution().analyzed().toString()

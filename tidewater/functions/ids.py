@@ -27,4 +27,7 @@ def derived_id(*coords) -> Column:
     """Id from coordinates such as (topic, partition, offset) of an
     envelope, or (landing path, raw text) of a landed response."""
     parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in coords]
-    return uuid_layout(F.md5(F.concat_ws("|", *parts)))
+    # each part with its length before it, a null as "-": no two coordinate
+    # lists share an encoding
+    coded = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return uuid_layout(F.md5(F.concat(*coded)))

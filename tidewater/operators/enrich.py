@@ -1,8 +1,8 @@
 """Enrichment of a record stream with dimension tables.
 
-Dimensions are joined through `joins.join_dimension`, which broadcasts a
-side only after counting it under a bound; a large dimension (customers at
-scale) stays a shuffle join, which AQE converts or splits at run time.  A
+Dimensions are joined through `joins.join_dimension`: broadcast when they are
+small in bytes; a large dimension (customers at scale) stays a shuffle join,
+which AQE converts or splits at run time.  A
 streaming fact side joined to a static dimension works unchanged
 (stream-static join).
 """

@@ -1,31 +1,13 @@
-"""Joins against dimension tables, broadcast only behind a size check."""
+"""Joins against dimension tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it has at most this many rows;
-# otherwise the join is a shuffle join that AQE may still convert or split.
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """`broadcast(dim)` when `dim` holds at most `max_rows` rows, else `dim`.
-
-    The check runs one count over the dimension only (parquet answers it
-    from footers), never over the fact side.  Use it for stored dimension
-    tables; for a side that is itself computed from the fact table (an
-    aggregate), counting would compute it twice: leave that to AQE, which
-    broadcasts from the materialised size.  Streaming dimensions are
-    returned unchanged.
-    """
-    if dim.isStreaming:
-        return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return fact.join(bounded_broadcast(dim, max_rows), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A plain join: the planner broadcasts a side by its size in bytes
+    (`spark.sql.autoBroadcastJoinThreshold`), AQE again by its measured size, and
+    otherwise a shuffle join runs whose skewed partitions AQE splits.  No job runs
+    while the query is being built."""
+    return fact.join(dim, on, how)

@@ -75,7 +75,9 @@ def _leaf_type(paths: Sequence[str]) -> str:
 
 def reshape_profiles(raw: DataFrame, text_col: str, id_coords: Sequence) -> DataFrame:
     """Columns: the 12 message fields (`id` derived from `id_coords`) and
-    `reject_reason` (null = accepted).
+    `reject_reason` (null = accepted).  A first result, or a part of it, that is
+    not an object where one is needed is rejected as `bad_shape`; a record of the
+    wrong shape never fails the query.
 
     The text is parsed once; the first result is cast once into a struct of
     variant leaves; text, presence and null-ness all read that struct.
@@ -89,7 +91,8 @@ def reshape_profiles(raw: DataFrame, text_col: str, id_coords: Sequence) -> Data
     pulled = parsed.select(
         "id",
         v.isNull().alias("_bad"),
-        F.variant_get(v, FIRST, _leaf_type(leaves)).alias("_r"),
+        F.try_variant_get(v, FIRST, _leaf_type(leaves)).alias("_r"),
+        F.try_variant_get(v, FIRST, "variant").alias("_first"),
     )
 
     def leaf(path: str) -> Column:
@@ -107,7 +110,8 @@ def reshape_profiles(raw: DataFrame, text_col: str, id_coords: Sequence) -> Data
         nulls = nulls | F.is_variant_null(leaf(p))
     reason = (
         F.when(F.col("_bad"), F.lit("bad_json"))
-        .when(F.col("_r").isNull(), F.lit("no_result"))
+        .when(F.col("_first").isNull(), F.lit("no_result"))
+        .when(F.col("_r").isNull(), F.lit("bad_shape"))
         .when(missing, F.lit("missing_field"))
         .when(nulls, F.lit("null_field"))
     )

@@ -25,6 +25,12 @@ def _user_json(drop: str | None = None) -> str:
     return "json_object(" + ", ".join(f"'{k}', {k}" for k in keys if k != drop) + ")::VARCHAR"
 
 
+def _coded(x: str) -> str:
+    """A coordinate with its length before it; a null as a dash."""
+    v = f"CAST({x} AS VARCHAR)"
+    return f"coalesce(length({v}) || ':' || {v}, '-')"
+
+
 ORACLE: dict[str, str] = {
     "json_decode_flatten": f"""
         SELECT {_PART} AS "partition", event_id AS "offset",
@@ -66,8 +72,7 @@ ORACLE: dict[str, str] = {
         FROM c""",
     "derived_id": f"""
         WITH h AS (
-          SELECT event_id, md5(concat_ws('|', 'users_created',
-                 CAST({_PART} AS VARCHAR), CAST(event_id AS VARCHAR))) AS x
+          SELECT event_id, md5('13:users_created' || {_coded(_PART)} || {_coded("event_id")}) AS x
           FROM events)
         SELECT event_id AS "offset",
                substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-' || substr(x, 13, 4)
@@ -168,7 +173,7 @@ _PROFILE_RAW = f"""
       FROM f),
     p AS (SELECT c_custkey, raw, json_valid(raw) AS ok FROM r),
     u AS (
-      SELECT md5('customer|' || CAST(c_custkey AS VARCHAR)) AS x,
+      SELECT md5('8:customer' || {_coded("c_custkey")}) AS x,
         {", ".join(f"{_js(p)} AS {k}" for k, p in _LEAVES.items())},
         {" || ', ' || ".join([_js(_ADDR[0]) + " || ' ' || " + _js(_ADDR[1])] + [_js(a) for a in _ADDR[2:]])} AS address,
         CASE WHEN NOT ok THEN 'bad_json'

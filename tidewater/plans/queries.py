@@ -79,7 +79,7 @@ def target_row_count(spark, sf_dir):
 
 def row_count(spark, sf_dir):
     """A2: SELECT COUNT(*)."""
-    return keyed.row_count(table(spark, sf_dir, "events", cpu_heavy=False))
+    return keyed.row_count(table(spark, sf_dir, "events"))
 
 
 def word_count(spark, sf_dir):
@@ -137,20 +137,20 @@ STREAM_FILES = 4  # landing files replayed one per micro-batch
 
 def run_stats(spark, sf_dir):
     """A3, A4: per run (user) sent / errors with the consecutive-error stop."""
-    attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
     return runs.run_stats(attempts, RUN_MAX_ERRORS)
 
 
 def run_duration_cutoff(spark, sf_dir):
     """A5: the attempts made within the first day of each run."""
-    attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
     return runs.within_duration(attempts, RUN_DURATION_SECONDS).select("run_id", "seq", "ok")
 
 
 def run_stats_limited(spark, sf_dir):
     """A3-A5 together, as the producer loop applies them: duration first,
     then the streak cut-off over what is left."""
-    attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
     kept = runs.within_duration(attempts, RUN_LIMITED_DURATION_SECONDS)
     return runs.run_stats(kept, RUN_MAX_ERRORS)
 
@@ -163,13 +163,13 @@ def log_latency(spark, sf_dir):
 
 def enrich_dim(spark, sf_dir):
     """Events enriched with the customer segment, nation and region."""
-    t = lambda n: table(spark, sf_dir, n, cpu_heavy=False)
+    t = lambda n: table(spark, sf_dir, n)
     return enrich.enrich_events(t("events"), t("customer"), t("nation"), t("region"))
 
 
 def daily_anomaly(spark, sf_dir):
     """Per type and day, event count and z-score."""
-    return anomaly.daily_zscores(table(spark, sf_dir, "events", cpu_heavy=False))
+    return anomaly.daily_zscores(table(spark, sf_dir, "events"))
 
 
 def keyed_stream_upsert(spark, sf_dir):
@@ -214,7 +214,7 @@ def word_count_stream(spark, sf_dir):
 
 def _arrive_in_slices(df: DataFrame, path: str, run_once, slices: int = STREAM_FILES) -> None:
     """Append `df` to `path` in `slices` time-ordered slices (cut at
-    approximate quantiles of `ts`), running `run_once()` after each, as if
+    approximate quantiles of `ts`; rows without one come first), running `run_once()` after each, as if
     the data arrived in that order."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     probs = [i / slices for i in range(1, slices)]
@@ -225,7 +225,7 @@ def _arrive_in_slices(df: DataFrame, path: str, run_once, slices: int = STREAM_F
         if lo is not None:
             part = part.where(micros >= F.lit(int(lo)))
         if hi is not None:
-            part = part.where(micros < F.lit(int(hi)))
+            part = part.where((micros < F.lit(int(hi))) | (micros.isNull() if lo is None else F.lit(False)))
         part.write.mode("append").parquet(path)
         run_once()
 
@@ -239,7 +239,7 @@ def run_stats_stream(spark, sf_dir):
     from tidewater.streaming.runs import run_state_table, run_stats_view, start_run_stats
 
     root = scratch_path(spark, "run_stats_stream")
-    attempts = runs.attempts_from_events(table(spark, sf_dir, "events", cpu_heavy=False))
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
     state = run_state_table(spark, f"{root}/state")
 
     def run_once():
@@ -261,7 +261,7 @@ def daily_counts_stream(spark, sf_dir):
     from tidewater.streaming.ingest import state_partitions, trigger_options
 
     root = scratch_path(spark, "daily_counts_stream")
-    events = table(spark, sf_dir, "events", cpu_heavy=False).select("event_type", "ts")
+    events = table(spark, sf_dir, "events").select("event_type", "ts")
     counts = KeyedTable(spark, f"{root}/counts", key=["event_type", "day"], order=["n"])
 
     def run_once():

@@ -11,25 +11,6 @@ TABLES = (
 )
 
 
-# Tables whose rows carry per-row CPU work (JSON, text) in the queries.
-FACT_TABLES = ("events", "documents", "conversations", "customer", "orders", "lineitem", "pages")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cores when it yields fewer splits than
-    cores: a file holding one row group is read by one task, and the JSON
-    and text work after it would run on one core.  The split count comes
-    from the file listing Spark makes for the scan anyway (one integer back
-    to Python, no file list); any input at cluster scale has more splits
-    than cores and is returned as is, so no shuffle is added there."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = True) -> DataFrame:
-    """`cpu_heavy=False` for queries whose per-row work is light (counts,
-    joins, windows): they gain nothing from spreading the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if cpu_heavy and name in FACT_TABLES else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The whole table, in the splits that Spark's reader makes."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -7,8 +7,6 @@ and command-line use.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,16 +45,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from `spark.checkpoint.dir`, which the cluster sets to a shared
-    file system.  Only when it is unset (tests on one machine) do we make a
-    fresh local folder and register it.
+    Read from `spark.checkpoint.dir`, which the cluster sets to a shared file
+    system; where it is unset, a folder under the session's warehouse.  A plain
+    local path is refused unless the session is local (or one machine's
+    `local-cluster`): on a cluster every node would write its own disk.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not path:
-        path = tempfile.mkdtemp(prefix="tidewater-")
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        if is_local_path(path) and not sc.master.startswith("local"):
+            raise ValueError(f"{path} is local to one node; set spark.checkpoint.dir to a shared folder")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -71,9 +72,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    os.makedirs(p, exist_ok=True)
-    return p

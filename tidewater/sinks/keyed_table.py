@@ -29,16 +29,17 @@ function to replace.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tidewater.operators.joins import BROADCAST_MAX_ROWS
 from tidewater.operators.keyed import latest_per_key
 
-COMMIT_SCHEMA = "batch long, attempt string, kind string, committed_at timestamp"
+COMMIT_SCHEMA = "writer string, batch long, attempt string, kind string, covered array<string>, committed_at timestamp"
 
 
 class KeyedTable:
@@ -50,36 +51,45 @@ class KeyedTable:
         self.order = list(order)
 
     # -- writing ---------------------------------------------------------
-    def _commit(self, batch: int, attempt: str, kind: str) -> None:
-        row = self.spark.createDataFrame([(int(batch), attempt, kind)],
-                                         "batch long, attempt string, kind string")
+    def _commit(self, writer: str, batch: int, attempt: str, kind: str, covered: list) -> None:
+        row = self.spark.createDataFrame(
+            [(writer, int(batch), attempt, kind, covered)],
+            "writer string, batch long, attempt string, kind string, covered array<string>")
         row.withColumn("committed_at", F.current_timestamp()).coalesce(1) \
             .write.mode("append").parquet(f"{self.path}/_commits")
 
-    def upsert(self, df: DataFrame, batch_id: int) -> None:
+    def upsert(self, df: DataFrame, batch_id: int | None = None, writer: str = "") -> None:
+        """Write one batch.  (writer, batch_id) identifies it: only a replay by the
+        same writer replaces it.  A streaming query passes its checkpoint as the
+        writer; a one-off write leaves `batch_id` out and gets a writer of its own."""
+        if batch_id is None:
+            writer, batch_id = "once-" + uuid.uuid4().hex, 0
         # The per-key reduction already hash-partitions the batch by key, so
         # each written file holds one hash range of keys.
         rows = latest_per_key(df, self.key, self.order)
         attempt = "a" + uuid.uuid4().hex
         (rows.write.mode("errorifexists")
             .parquet(f"{self.path}/segments/seg_batch={int(batch_id)}/seg_attempt={attempt}"))
-        self._commit(batch_id, attempt, "segment")
+        self._commit(writer, batch_id, attempt, "segment", [])
 
     def compact(self) -> None:
-        commits = self._commits()
-        if commits is None:
+        """Fold everything committed so far into a new base, which names the
+        attempts it covers; attempts committed meanwhile stay beside it."""
+        log = self._log()
+        if not log:
             return
-        top = commits.agg(F.max("batch")).first()[0]
         version = "v" + uuid.uuid4().hex
-        self.current().write.mode("errorifexists").parquet(f"{self.path}/base/version={version}")
-        self._commit(top, version, "base")
+        self._view(log).write.mode("errorifexists").parquet(f"{self.path}/base/version={version}")
+        self._commit("", max(r["batch"] for r in log), version, "base", sorted(r["attempt"] for r in log))
 
     # -- reading ---------------------------------------------------------
     def _commits(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/_commits")
-        except Exception:  # no commit yet: the folder does not exist
-            return None
+        except AnalysisException as e:  # no commit yet; any other failure is one
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def _log(self, before: int | None = None) -> list:
         """The commit log: table metadata, one small row per committed
@@ -103,34 +113,28 @@ class KeyedTable:
         log = self._log(before)
         if not log:
             return None
+        return self._view(log)
+
+    def _view(self, log: list) -> DataFrame:
         bases = [r for r in log if r["kind"] == "base"]
-        base = max(bases, key=lambda r: (r["batch"], r["committed_at"])) if bases else None
-        since = base["batch"] if base else -1
-        # Last committed attempt of each batch after the base.
+        base = max(bases, key=lambda r: r["committed_at"]) if bases else None
+        covered = set(base["covered"]) if base else set()
+        # Last committed attempt of each (writer, batch).
         attempts: dict = {}
         for r in log:
-            if r["kind"] == "segment" and r["batch"] > since:
-                old = attempts.get(r["batch"])
+            if r["kind"] == "segment":
+                old = attempts.get((r["writer"], r["batch"]))
                 if old is None or r["committed_at"] > old["committed_at"]:
-                    attempts[r["batch"]] = r
-        paths = [f"{self.path}/segments/seg_batch={b}/seg_attempt={r['attempt']}"
-                 for b, r in sorted(attempts.items())]
-        if not base:
-            return latest_per_key(self.spark.read.parquet(*paths), self.key, self.order)
-        base_rows = self.spark.read.parquet(f"{self.path}/base/version={base['attempt']}")
-        if not paths:
-            return base_rows
-        segs = self.spark.read.parquet(*paths)
-        # Only keys written since the base can change.  When they are few,
-        # the rest of the base passes through a broadcast anti-join with no
-        # shuffle, and only the touched keys are reduced again.
-        touched = segs.select(*self.key).distinct()
-        if touched.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
-            touched = F.broadcast(touched)
-            kept = base_rows.join(touched, self.key, "left_anti")
-            redo = base_rows.join(touched, self.key, "left_semi").unionByName(segs)
-            return kept.unionByName(latest_per_key(redo, self.key, self.order))
-        return latest_per_key(base_rows.unionByName(segs), self.key, self.order)
+                    attempts[r["writer"], r["batch"]] = r
+        paths = [f"{self.path}/segments/seg_batch={r['batch']}/seg_attempt={r['attempt']}"
+                 for r in attempts.values() if r["attempt"] not in covered]
+        rows = self.spark.read.parquet(f"{self.path}/base/version={base['attempt']}") if base else None
+        if paths:
+            new = self.spark.read.parquet(*sorted(paths))
+            rows = rows.unionByName(new) if base else new
+        # One rule at every size: the base and the new segments are one union,
+        # reduced to the last row of each key.
+        return latest_per_key(rows, self.key, self.order)
 
     def current(self, before: int | None = None) -> DataFrame:
         view = self.snapshot(before)
@@ -140,29 +144,28 @@ class KeyedTable:
         return view
 
 
-def write_dead_letters(rejected: DataFrame, path: str, batch_id: int) -> None:
-    """Dead-letter rows of one batch; overwriting the batch's folder makes a
-    replay idempotent."""
-    rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={int(batch_id)}")
+def writer_of(checkpoint: str) -> str:
+    """The writer id of a streaming query: fixed by its checkpoint."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+
+
+def write_dead_letters(rejected: DataFrame, path: str, batch_id: int, writer: str = "") -> None:
+    """Dead-letter rows of one batch; overwriting the folder of (writer, batch)
+    makes a replay idempotent and leaves other writers' rows alone."""
+    rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}/writer={writer or 'none'}/batch={int(batch_id)}")
 
 
 def write_split(decoded: DataFrame, table: KeyedTable, dead_letter_path: str,
-                batch_id: int, columns: Sequence[str]) -> None:
+                batch_id: int, columns: Sequence[str], writer: str = "") -> None:
     """Route one decoded batch: accepted rows to the keyed table, rejected
-    ones to the dead-letter folder.  The batch is persisted once so the
-    payload is parsed once for both outputs, and the two writes run as
-    concurrent Spark jobs (they share nothing but the cached batch)."""
-    from concurrent.futures import ThreadPoolExecutor
-
+    ones to the dead-letter folder.  The batch is persisted, and the first write
+    materialises it before the second one reads it."""
     from tidewater.operators.decode import rejected
 
     decoded.persist()
     try:
         good = decoded.where(F.col("reject_reason").isNull()).select(*columns)
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            jobs = [pool.submit(table.upsert, good, batch_id),
-                    pool.submit(write_dead_letters, rejected(decoded), dead_letter_path, batch_id)]
-            for j in jobs:
-                j.result()
+        table.upsert(good, batch_id, writer)
+        write_dead_letters(rejected(decoded), dead_letter_path, batch_id, writer)
     finally:
         decoded.unpersist()

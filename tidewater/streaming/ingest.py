@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from tidewater.operators.decode import decode_envelope
 from tidewater.schemas import ENVELOPE_COORDS, USER_REQUIRED, USER_V1
-from tidewater.sinks.keyed_table import KeyedTable, write_split
+from tidewater.sinks.keyed_table import KeyedTable, write_split, writer_of
 
 
 @contextmanager
@@ -58,7 +58,7 @@ def start_ingest(envelopes: DataFrame, table: KeyedTable, dead_letter_path: str,
                *[f.name for f in schema.fields]]
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        write_split(batch, table, dead_letter_path, batch_id, columns)
+        write_split(batch, table, dead_letter_path, batch_id, columns, writer_of(checkpoint))
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.operators.wordcount import word_counts
-from tidewater.sinks.keyed_table import KeyedTable
+from tidewater.sinks.keyed_table import KeyedTable, writer_of
 from tidewater.streaming.ingest import state_partitions, trigger_options
 
 
@@ -27,7 +27,7 @@ def start_word_count(lines: DataFrame, table: KeyedTable, checkpoint: str,
     counts = word_counts(lines, text_col)
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        table.upsert(df, batch_id)
+        table.upsert(df, batch_id, writer_of(checkpoint))
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
 
