@@ -34,12 +34,18 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back: no lineage behind it,
-    so a lost executor costs a read and not a recomputation."""
+    so a lost executor costs a read and not a recomputation.
+
+    `free` after a large step: the step's shuffle files are needed no more, and
+    Spark's cleaner deletes them once the driver has collected the objects that
+    stand for them, so ask it to collect now and not some time later."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if free:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

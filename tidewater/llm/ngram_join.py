@@ -127,7 +127,7 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     names = ["doc_id", "cls", "n_shingles", "chunk", "cells"]
     both = saved(docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, cls long, n_shingles long, chunk int, cells binary"), "ngram-survey")
+        run, f"doc_id {kind}, cls long, n_shingles long, chunk int, cells binary"), "ngram-survey", free=True)
     return (both.where("chunk is null").select("doc_id", "cls", "n_shingles"),
             both.where("chunk is not null").select("chunk", "cells"))
 
@@ -192,7 +192,7 @@ def _sets(docs: DataFrame, sketch, wanted) -> DataFrame:
 
     lists = ", ".join(f"p{i} array<long>" for i in range(1, len(ORDERS)))
     rows = arrow_apply(docs.select("text"), emit, f"cls long, n long, {lists}, whole array<long>")
-    return saved(rows.dropDuplicates(["cls"]), "ngram-sets")
+    return saved(rows.dropDuplicates(["cls"]), "ngram-sets", free=True)
 
 
 def least_shared(na: Column, nb: Column) -> Column:
@@ -227,7 +227,7 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sketch = _sketch(pieces)
     seen = _tokens(docs, sketch).groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
     shared = hash_bitmap(seen.where("lo < hi"), "token")
-    postings = saved(_tokens(docs, sketch, shared).distinct(), "ngram-postings")
+    postings = saved(_tokens(docs, sketch, shared).distinct(), "ngram-postings", free=True)
 
     # one leader per token group
     leaders = saved(postings.groupBy("token").agg(F.min(F.struct("cls", "n")).alias("l"), F.count("*").alias("k"))
@@ -237,7 +237,7 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             .where(_sizes_fit(F.col("na"), F.col("n")) & (F.col("c") >= least_shared(F.col("na"), F.col("n")))))
     best = saved(star.groupBy("b").agg(F.max(F.struct("c", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"),
                  "ngram-star")
-    links = saved(_verified(best, docs, sketch), "ngram-links")
+    links = saved(_verified(best, docs, sketch), "ngram-links", free=True)
     found = saved(components(links), "ngram-components")
 
     # classes of different components, pair by pair
@@ -253,7 +253,7 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.n").alias("na"),
                       F.col("y.n").alias("nb")).agg(F.count("*").alias("c"))
              .where(F.col("c") >= least_shared(F.col("na"), F.col("nb"))).select("a", "b"))
-    more = saved(_verified(saved(pairs, "ngram-pairs"), docs, sketch), "ngram-links")
+    more = saved(_verified(saved(pairs, "ngram-pairs"), docs, sketch), "ngram-links", free=True)
     return members, saved(components(links.unionByName(more)), "ngram-components")
 
 

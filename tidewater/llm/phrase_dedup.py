@@ -130,7 +130,7 @@ def _passages(docs: DataFrame, recurring) -> DataFrame:
 
     rows = arrow_apply(docs.select("doc_id", "text"), emit,
                        f"seed long, passage string, seq long, at int, doc_id {kind}")
-    return saved(rows.groupBy("seed", "passage", "seq", "at").agg(F.min("doc_id").alias("doc_id")), "phrase-passages")
+    return saved(rows.groupBy("seed", "passage", "seq", "at").agg(F.min("doc_id").alias("doc_id")), "phrase-passages", free=True)
 
 
 def _phrases(passages: DataFrame) -> DataFrame:
@@ -138,21 +138,20 @@ def _phrases(passages: DataFrame) -> DataFrame:
     kind = passages.schema["doc_id"].dataType.simpleString()
 
     def emit(b):
-        seeds, ids, cols = b.column("seed"), b.column("doc_id"), [[], []]
+        seeds, ends, cols = b.column("seed"), [b.column("lo"), b.column("hi")], [[], []]
         for i, text in enumerate(b.column("passage").to_pylist()):
             words = text.split(" ")
             for k in range(len(words) - WINDOW + 1):
                 cols[0].append(i)
                 cols[1].append(" ".join(words[k:k + WINDOW]))
         at = pa.array(cols[0], pa.int64())
-        yield pa.RecordBatch.from_arrays([seeds.take(at), pa.array(cols[1], pa.string()), ids.take(at)],
-                                         ["seed", "phrase", "doc_id"])
+        yield pa.RecordBatch.from_arrays([seeds.take(at), pa.array(cols[1], pa.string()), *[e.take(at) for e in ends]],
+                                         ["seed", "phrase", "lo", "hi"])
 
     once = passages.groupBy("seed", "passage").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    ends = F.explode(F.when(F.col("lo") < F.col("hi"), F.array("lo", "hi")).otherwise(F.array("lo"))).alias("doc_id")
-    rows = arrow_apply(once.select("seed", "passage", ends), emit, f"seed long, phrase string, doc_id {kind}")
-    found = rows.groupBy("seed", "phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    return saved(found.where("first < last").select("seed", "phrase", "first"), "phrase-confirmed")
+    rows = arrow_apply(once, emit, f"seed long, phrase string, lo {kind}, hi {kind}")
+    found = rows.groupBy("seed", "phrase").agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
+    return saved(found.where("first < last").select("seed", "phrase", "first"), "phrase-confirmed", free=True)
 
 
 def locate(passages: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
@@ -184,9 +183,8 @@ def _occurrences(passages: DataFrame, phrases: DataFrame) -> DataFrame:
     dealt = passages.withColumn("shard", shard)
     parts = saved(dealt.groupBy("shard").agg((F.floor((F.count("*") - 1) / TASK_PASSAGES) + 1).cast("int").alias("parts")),
                   "phrase-shards")
-    copies = saved(phrases.withColumn("shard", shard).join(parts, "shard")
-                   .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "phrase", "first"),
-                   "phrase-copies")
+    copies = (phrases.withColumn("shard", shard).join(parts, "shard")
+              .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "phrase", "first"))
     spread = dealt.join(parts, "shard").withColumn(
         "part", F.pmod(F.xxhash64("seq", "at"), F.col("parts")).cast("int")).select(
         "shard", "part", "passage", "seq", "at", "doc_id")
@@ -200,11 +198,11 @@ def _found(docs: DataFrame) -> DataFrame:
     seen = _seeds(docs).groupBy("seed").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     recurring = hash_bitmap(seen.where("lo < hi"), "seed")
     passages = _passages(docs, recurring)
-    starts = (_occurrences(passages, _phrases(passages)).distinct()
-              .groupBy("seq").agg(F.collect_list("word").alias("starts")))
+    located = saved(_occurrences(passages, _phrases(passages)), "phrase-located", free=True)
+    starts = located.distinct().groupBy("seq").agg(F.collect_list("word").alias("starts"))
     firsts = _keyed(docs.select("doc_id", "text")).groupBy("seq").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     both = firsts.where("n > 1").join(starts, "seq", "full_outer")
-    return saved(both.select(F.col("seq").alias("k"), "first", "starts"), "phrase-found")
+    return saved(both.select(F.col("seq").alias("k"), "first", "starts"), "phrase-found", free=True)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ class Vocabulary:
         key = (a, b)
         got = self.pairs.get(key)
         if got is None:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > 1_200_000:
                 self.pairs.clear()
             got = self.pairs[key] = self.merged(a + b) == [a, b]
         return got

@@ -150,7 +150,7 @@ def _runs(docs: DataFrame, repeated) -> DataFrame:
                 ["core", "span", "txt", "a", "lo", "hi"])
 
     rows = arrow_apply(docs.select("text"), emit, "core long, span long, txt long, a int, lo int, hi int")
-    return saved(rows.distinct(), "suffix-runs")
+    return saved(rows.distinct(), "suffix-runs", free=True)
 
 
 def _contexts(docs: DataFrame, wanted) -> DataFrame:
@@ -176,7 +176,7 @@ def _contexts(docs: DataFrame, wanted) -> DataFrame:
                 ["key", "before", "near", "far", "bytes"])
 
     rows = arrow_apply(docs.select("text"), emit, "key long, before int, near int, far int, bytes binary")
-    return saved(rows.dropDuplicates(["key"]), "suffix-contexts")
+    return saved(rows.dropDuplicates(["key"]), "suffix-contexts", free=True)
 
 
 def _cut(todo: DataFrame, step: int, level: int) -> DataFrame:
@@ -223,7 +223,7 @@ def _rerank(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
                   .where("spans > 1 and not settled").select("core"), "suffix-cores")
     todo = one.join(cores, "core", "left_semi").select(
         F.xxhash64("r.txt", F.col("r.a").cast("long")).alias("key"), "r.txt", "r.a", "lo", "hi", "many", "x", "y")
-    return saved(done, "suffix-repeats"), saved(todo, "suffix-open")
+    return saved(done, "suffix-repeats"), saved(todo, "suffix-open", free=True)
 
 
 def repeated_ranges(docs: DataFrame) -> list[DataFrame]:
@@ -264,7 +264,7 @@ def _spans_of(docs: DataFrame) -> DataFrame:
     per_text = ranges.distinct().groupBy("txt").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     copies = _keyed(docs.select("text")).groupBy("txt").agg(F.count("*").alias("copies")).where("copies > 1")
     both = copies.join(per_text, "txt", "full_outer").select(F.col("txt").alias("k"), "copies", "ranges")
-    return saved(both, "suffix-found")
+    return saved(both, "suffix-found", free=True)
 
 
 def covered(size: int, copies, ranges) -> list[tuple[int, int]]:
