@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -45,6 +46,7 @@ def saved(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     if free:
+        gc.collect()  # Python's handles first: they keep the JVM's objects alive
         spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
