@@ -192,6 +192,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """Filter form: the documents that pass, with their own columns, unmoved."""
     plain = docs.select(*[F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)],
                         F.col("text").alias("_text"), F.col("lang").alias("_lang_in"))
-    refs = references(histograms(docs.select("text", "lang")))
-    good = judge(measure(plain, "_text", "_lang_in"), refs).where("kept")
+    m = saved(measure(plain, "_text", "_lang_in").drop("_text", "_lang_in"), "quality")
+    good = judge(m, references(m)).where("kept")
     return good.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)])
