@@ -10,10 +10,11 @@ they are unrelated hashes.  Any such order is valid, so the sketch decides the
 work and never the result.
 
 Copies and hot groups: equal word sequences form one class, which takes part
-once.  Classes first link to one leader per token group; components of these
-links are then taken as known, and only classes of different components are
-compared pair by pair.  So a large group of near copies costs one comparison per
-member, and no link between different texts is lost.
+once.  Classes first link to one leader per token group, those that miss it to one
+of LEADERS others; components of these links are then taken as known, and only
+classes of different components are compared pair by pair.  So a large group of
+near copies costs a few comparisons per member, and no link between different
+texts is lost.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; a text of
 one to four words is one shingle; null text or a text without words has no
@@ -44,6 +45,7 @@ PERCENT = 80  # Jaccard threshold in hundredths
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
 CELL_BITS = 20   # cells of the count sketch: 2**20, at any input size
 CHUNK_CELLS = 1 << 14
+LEADERS = 8      # further leaders of a token group, before pairs are compared
 
 SHINGLE_HASH = Rolling(23)
 
@@ -221,6 +223,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, sketch) -> DataFrame:
     return both.where(100 * same >= PERCENT * (na + nb - same)).select("a", "b")
 
 
+def _mixed(postings: DataFrame, links: DataFrame) -> DataFrame:
+    """`token, cls, n, comp`: the postings of tokens whose classes are of
+    different components under `links`."""
+    found = saved(components(links), "ngram-components")
+    placed = saved(postings.join(found, F.col("cls") == F.col("id"), "left").select(
+        "token", "cls", "n", F.coalesce("component", "cls").alias("comp")), "ngram-placed")
+    mixed = saved(placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                  .where("lo < hi").select("token"), "ngram-mixed")
+    return saved(placed.join(mixed, "token", "left_semi"), "ngram-left", free=True)
+
+
 def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members, and (id, component) over the classes that link with others."""
     members, pieces = _survey(docs)
@@ -238,15 +251,22 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     best = saved(star.groupBy("b").agg(F.max(F.struct("c", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"),
                  "ngram-star")
     links = saved(_verified(best, docs, sketch), "ngram-links", free=True)
-    found = saved(components(links), "ngram-components")
+    left = _mixed(postings, links)
+
+    # members that missed the first leader meet some others
+    lead = lambda s: F.min_by(F.struct("cls", "n", "comp"), F.xxhash64(F.lit(s), "cls"))
+    heads = left.groupBy("token").agg(F.array_distinct(F.array(*[lead(s) for s in range(LEADERS)])).alias("l"))
+    heads = saved(heads.select("token", F.explode("l").alias("l")).select(
+        "token", F.col("l.cls").alias("a"), F.col("l.n").alias("na"), F.col("l.comp").alias("ca")), "ngram-leaders")
+    tries = (left.join(heads, "token").where((F.col("comp") != F.col("ca")) & _sizes_fit(F.col("na"), F.col("n")))
+             .groupBy("a", "ca", F.col("cls").alias("b"), "na", "n").agg(F.count("*").alias("c"))
+             .where(F.col("c") >= least_shared(F.col("na"), F.col("n"))))
+    best = saved(tries.groupBy("b", "ca").agg(F.max(F.struct("c", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"),
+                 "ngram-star")
+    links = saved(links.unionByName(_verified(best, docs, sketch)), "ngram-links", free=True)
+    left = _mixed(postings, links)
 
     # classes of different components, pair by pair
-    placed = postings.join(found, F.col("cls") == F.col("id"), "left").select(
-        "token", "cls", "n", F.coalesce("component", "cls").alias("comp"))
-    placed = saved(placed, "ngram-placed")
-    mixed = saved(placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                  .where("lo < hi").select("token"), "ngram-mixed")
-    left = saved(placed.join(mixed, "token", "left_semi"), "ngram-left")
     x, y = left.alias("x"), left.alias("y")
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls"))
                     & (F.col("x.comp") != F.col("y.comp")) & _sizes_fit(F.col("x.n"), F.col("y.n")))
