@@ -107,6 +107,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        blanks = [c for c in map(chr, range(0x3001)) if c.isspace()]
+        self.odd = [c for c in blanks if ids(f"!{c}!") != ids("!") * 2]
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -115,25 +119,42 @@ class Encoder:
             have[path] = cls(path)
         return have[path]
 
-    def _plain(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
+    def _new(self, words: list) -> dict:
+        """Ids of words not seen before, many in one call of the tokenizer."""
+        if any(token in w for token in self.added for w in words):
+            coded = self.tokenizer.encode_batch(words, add_special_tokens=False)
+            return {w: np.asarray(e.ids, "<u4").tobytes() for w, e in zip(words, coded)}
+        coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.asarray(coded.ids, "<u4").tobytes()
+        ends = 4 * np.searchsorted(np.asarray(coded.word_ids, np.int64), np.arange(len(words) + 1))
+        ends = ends.tolist()
+        return {w: ids[x:y] for w, x, y in zip(words, ends, ends[1:])}
+
+    def _words(self, text: str) -> list:
+        """Words between white space; where Python and the tokenizer differ on
+        what that is, the words of the pattern."""
+        return _WORD.findall(text) if any(c in text for c in self.odd) else text.split()
 
     def encode_all(self, texts: list) -> list:
-        split = [_WORD.findall(t) for t in texts]
-        known = self.words
-        new = [w for w in set().union(*split) if w not in known] if split else []
-        passing = {}
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                keep = len(w) <= CACHED_WORD_CHARS and len(known) < CACHED_WORDS
-                (known if keep else passing)[w] = np.asarray(e.ids, "<u4").tobytes()
-        if passing:
-            look = lambda w: known[w] if w in known else passing[w]
-        else:
-            look = known.__getitem__
-        return [b"".join(map(look, ws)) for ws in split]
+        known, out, open_rows, new = self.words, [], [], {}
+        for i, t in enumerate(texts):
+            words = self._words(t)
+            parts = list(map(known.get, words))
+            if None in parts:
+                open_rows.append((i, words, parts))
+                new.update((w, None) for w, p in zip(words, parts) if p is None)
+                out.append(b"")
+            else:
+                out.append(b"".join(parts))
+        todo = list(new)
+        for at in range(0, len(todo), 4096):
+            new.update(self._new(todo[at:at + 4096]))
+        for i, words, parts in open_rows:
+            out[i] = b"".join([new[w] if p is None else p for w, p in zip(words, parts)])
+        room = CACHED_WORDS - len(known)
+        if room > 0:
+            known.update((w, new[w]) for w in todo[:room] if len(w) <= CACHED_WORD_CHARS)
+        return out
 
 
 class Packer:
