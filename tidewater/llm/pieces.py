@@ -82,6 +82,9 @@ class Vocabulary:
         inner = [p.lstrip(MARK) for p in self.ids]
         self.splits = not any(MARK in p for p in inner)
         self.pairs: dict = {}
+        # beginnings of pieces: True for those that are pieces themselves
+        self.state = {p[:n]: False for p in self.ids for n in range(1, len(p))}
+        self.state.update(dict.fromkeys(self.ids, True))
 
     def merged(self, text: str) -> list[str]:
         """Plain BPE on a short text: best-ranked neighbours first."""
@@ -133,35 +136,47 @@ class Stream:
         self.back = [0]      # backpointer of each position of `text` (0: the boundary)
         self.best = [0.0]
         self.before = ""     # the last piece given out
-
-    def _edge(self, i: int) -> tuple[int, float]:
-        v, text = self.v, self.text
-        low = max(0, i - v.longest)
-        if v.kind == "unigram":
-            at, score = i - 1, self.best[i - 1] + v.worst
-            for j in range(low, i):
-                s = v.scores.get(text[j:i])
-                if s is not None and self.best[j] + s > score:
-                    at, score = j, self.best[j] + s
-            return at, score
-        for j in range(low, i):
-            piece = text[j:i]
-            if i - j > 1 and piece not in v.ids:
-                continue
-            left = text[self.back[j]:j] if j else self.before
-            if v.stays_apart(left, piece) if left else v.whole(piece):
-                return j, 0.0
-        return i - 1, 0.0
+        self.live: list[int] = []
+
+    def _extend(self, chunk: str) -> None:
+        """Add a few characters, each with its surviving edge.  `live` are the
+        starts from which the text so far begins some piece."""
+        v, text, back, best, live = self.v, self.text + chunk, self.back, self.best, self.live
+        state, pairs, bpe = v.state, v.pairs, v.kind == "bpe"
+        for i in range(len(self.text) + 1, len(text) + 1):
+            live.append(i - 1)
+            still, at = [], -1
+            score = 0.0 if bpe else best[i - 1] + v.worst
+            for j in live:
+                piece = text[j:i]
+                whole = state.get(piece)
+                if whole is not None:
+                    still.append(j)
+                if bpe:
+                    if at >= 0 or not (whole or j == i - 1):
+                        continue
+                    left = text[back[j]:j] if j else self.before
+                    if left:
+                        apart = pairs.get((left, piece))
+                        if apart is None:
+                            apart = v.stays_apart(left, piece)
+                    else:
+                        apart = v.whole(piece)
+                    if apart:
+                        at = j
+                elif whole and best[j] + v.scores[piece] > score:
+                    at, score = j, best[j] + v.scores[piece]
+            live = still
+            back.append(at if at >= 0 else i - 1)
+            best.append(score)
+        self.text, self.live = text, live
 
     def feed(self, text: str) -> list[str]:
         """Add characters; the pieces that have become final."""
-        out = []
-        for c in text:
-            self.text += c
-            at, score = self._edge(len(self.text))
-            self.back.append(at)
-            self.best.append(score)
-            if len(self.text) >= 2 * self.v.longest:
+        out, step = [], self.v.longest
+        for at in range(0, len(text), step):
+            self._extend(text[at:at + step])
+            if len(self.text) >= 2 * step:
                 out += self._settle()
         return out
 
@@ -189,6 +204,7 @@ class Stream:
             self.back = [max(b - cut, 0) for b in self.back[cut:]]
             self.best = [s - base for s in self.best[cut:]]
             self.before = pieces[-1]
+            self.live = [j - cut for j in self.live if j >= cut]
         return pieces
 
     def finish(self) -> list[str]:
