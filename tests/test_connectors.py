@@ -18,3 +18,12 @@ def test_kafka_sink_options_and_messages(spark):
     df = spark.createDataFrame([("1", "A")], "id string, first_name string")
     row = to_messages(df, ["id", "first_name"]).first()
     assert row.key is None and bytes(row.value) == b'{"id":"1","first_name":"A"}'
+
+
+def test_cassandra_options():
+    from tidewater.config import TableSettings
+    from tidewater.sinks.cassandra import FORMAT, cassandra_options
+
+    assert FORMAT == "org.apache.spark.sql.cassandra"
+    assert cassandra_options(TableSettings("k", "t"), "/chk") == {
+        "keyspace": "k", "table": "t", "checkpointLocation": "/chk"}

@@ -73,3 +73,17 @@ def test_one_parse_per_record(spark):
     d = decode.decode_envelope(env, USER_V1)
     plan = d._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_format_rules(spark):
+    rest = '"first_name":"A","last_name":"B"'
+    cases = {
+        '{"id":"",' + REQ + '}': "bad_format",
+        '{"id":"1","email":"not-an-email","username":"u",' + rest + '}': "bad_format",
+        '{"id":"1","email":"a b@x","username":"u",' + rest + '}': "bad_format",
+        '{"id":"1","email":"e@x","username":" ",' + rest + '}': "bad_format",
+        "\t\n": "empty",
+        '{"id":"1",' + REQ + '}': None,
+    }
+    out = decode.decode_envelope(envelope(spark, list(cases)), USER_V1, keep=("offset",)).orderBy("offset").collect()
+    assert [r["reject_reason"] for r in out] == list(cases.values())

@@ -154,3 +154,23 @@ def test_streaming_rejects_out_of_order_attempts(spark, scratch):
     fold_batch(df.where(df.seq >= 3), 0, state, 3)
     with pytest.raises(OutOfOrderAttempts):
         fold_batch(df.where(df.seq < 3), 1, state, 3)
+
+
+def test_hot_run_is_dealt_by_salt(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.runs import within_duration
+
+    a = spark.range(20_000).select(F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id")).alias("run_id"),
+                                   F.col("id").alias("seq"), F.timestamp_seconds("id").alias("ts"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = within_duration(a, 100)
+        p = out._jdf.queryExecution().toString()
+        assert "_salt" in p and "hashpartitioning(run_id" in p
+        join = [x for x in p.splitlines() if "Join" in x and "run_id" in x][-1]
+        assert "_salt" in join
+        assert out.where("run_id = 0").count() == a.where("run_id = 0 and seq < 100").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

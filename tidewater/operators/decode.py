@@ -28,7 +28,10 @@ REASON_EMPTY = "empty"
 REASON_ENCODING = "bad_encoding"
 REASON_CORRUPT = "corrupt"
 REASON_MISSING = "missing_required"
-REASONS = (REASON_EMPTY, REASON_ENCODING, REASON_CORRUPT, REASON_MISSING)
+REASON_FORMAT = "bad_format"
+REASONS = (REASON_EMPTY, REASON_ENCODING, REASON_CORRUPT, REASON_MISSING, REASON_FORMAT)
+BLANK = r"^\s*$"
+FORMATS = {"id": r"\S", "username": r"\S", "email": r"^[^@\s]+@[^@\s]+$"}  # what a required field must match
 # ---------------------------------------------------------------------------
 
 
@@ -42,14 +45,17 @@ def decode_values(raw: DataFrame, schema: StructType = USER_V1) -> DataFrame:
 
 
 def reject_reason(text: Column, data: Column, required: Sequence[str]) -> Column:
-    missing = F.lit(False)
+    missing = unfit = F.lit(False)
     for name in required:
         missing = missing | data[name].isNull()
+        if name in FORMATS:
+            unfit = unfit | ~data[name].rlike(FORMATS[name])
     return (
-        F.when(text.isNull() | (F.trim(text) == ""), F.lit(REASON_EMPTY))
+        F.when(text.isNull() | text.rlike(BLANK), F.lit(REASON_EMPTY))
         .when(~F.is_valid_utf8(text), F.lit(REASON_ENCODING))
         .when(data[CORRUPT_COLUMN].isNotNull(), F.lit(REASON_CORRUPT))
         .when(missing, F.lit(REASON_MISSING))
+        .when(unfit, F.lit(REASON_FORMAT))
     )
 
 

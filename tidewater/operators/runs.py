@@ -168,11 +168,13 @@ def _partition_summaries(limit: int):
 
 # --- the operators ---------------------------------------------------------
 def streak_summaries(attempts: DataFrame, max_errors: int, partitions: int | None = None) -> DataFrame:
-    """Step 1-2: one summary row per (partition, run)."""
+    """Step 1-2: one summary row per (partition, run).  Attempts that lack the
+    run, the time, the number or the outcome have no place in a run's order
+    and are left out."""
     spark = attempts.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
-        attempts.select("run_id", "ts", "seq", F.col("ok").cast("boolean").alias("ok"))
+        attempts.select("run_id", "ts", "seq", F.col("ok").cast("boolean").alias("ok")).dropna()
         .repartitionByRange(n, "run_id", "ts", "seq")
         .sortWithinPartitions("run_id", "ts", "seq")
         .select(F.spark_partition_id().alias("pid"), "run_id", "ok",
@@ -251,19 +253,22 @@ def run_stats(attempts: DataFrame, max_errors: int, partitions: int | None = Non
     return finish(fold(streak_summaries(attempts, max_errors, partitions), max_errors), max_errors)
 
 
-def within_duration(attempts: DataFrame, seconds: int) -> DataFrame:
+def within_duration(attempts: DataFrame, seconds: int, salts: int = 32) -> DataFrame:
     """Attempts made before `first attempt + seconds` of their run.
 
     The start of each run is a grouped min (partial aggregation absorbs a
-    hot run) joined back on the run.  Its size is only known once computed,
-    and counting it first would read the attempts twice, so the choice is
-    left to AQE: it broadcasts the materialised starts when they are small
-    and otherwise keeps a shuffle join, splitting a hot run's partition.
+    hot run) joined back on the run.  AQE broadcasts the starts when they turn
+    out small.  Otherwise the join is dealt by the run and one of `salts`
+    salts, so a hot run spreads over that many partitions; the starts, one
+    row per run, are repeated for each salt.  Attempts without a run or a
+    time are outside every duration.
     """
-    starts = attempts.groupBy("run_id").agg(F.min("ts").alias("_start"))
-    joined = attempts.join(starts, "run_id")
+    starts = (attempts.groupBy("run_id").agg(F.min("ts").alias("_start"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    salted = attempts.withColumn("_salt", F.pmod(F.xxhash64("ts", "seq"), F.lit(salts)).cast("int"))
+    joined = salted.join(starts, ["run_id", "_salt"])
     end = F.col("_start") + F.make_dt_interval(secs=F.lit(seconds))
-    return joined.where(F.col("ts") < end).drop("_start")
+    return joined.where(F.col("ts") < end).drop("_start", "_salt")
 
 
 def attempts_from_events(events: DataFrame) -> DataFrame:

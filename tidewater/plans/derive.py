@@ -89,6 +89,21 @@ def mixed_user_message() -> Column:
     )
 
 
+def unfit_user_message() -> Column:
+    """`mixed_user_message` with format faults as well: a purchase of under 25
+    has an e-mail without its @, a signup of under 25 an empty id, and an
+    error only white space."""
+    fields = user_message_fields()
+    name = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    low, kind = F.col("value") < 25, F.col("event_type")
+    return (
+        F.when((kind == "purchase") & low, message_json(MESSAGE_KEYS, {**fields, "email": name}))
+        .when((kind == "signup") & low, message_json(MESSAGE_KEYS, {**fields, "id": F.lit("")}))
+        .when(kind == "error", F.lit("\t\n "))
+        .otherwise(mixed_user_message())
+    )
+
+
 def customer_raw_profiles(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One raw API response per customer, as JSON text in column `raw`.
 

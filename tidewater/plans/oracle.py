@@ -329,3 +329,25 @@ ORACLE["decode_permissive"] = f"""
 
 ORACLE["target_row_count"] = "SELECT COUNT(DISTINCT user_id) AS row_count FROM events"
 ORACLE["daily_counts_stream"] = ORACLE["daily_anomaly"]
+ORACLE["keyed_two_writers"] = ORACLE["keyed_latest"]
+ORACLE["word_count_complete"] = ORACLE["word_count"]
+ORACLE["catalog_target"] = f"SELECT id, first_name, last_name, email FROM ({ORACLE['keyed_latest']})"
+ORACLE["publish_envelopes"] = f"""
+    WITH {_PROFILE_RAW}
+    SELECT {_UUID} AS id, first_name, last_name, gender, address, post_code, email,
+           username, registered_date, phone, picture
+    FROM u WHERE reject_reason IS NULL"""
+ORACLE["dead_letters"] = f"""
+    WITH u AS (SELECT event_id, user_id, event_type, value, {_USER_FIELDS} FROM events),
+    p AS (
+      SELECT event_id, user_id, CASE
+          WHEN event_type = 'purchase' AND value < 25 THEN {_user_json().replace("'email', email", "'email', username")}
+          WHEN event_type = 'signup' AND value < 25 THEN {_user_json().replace("'id', id", "'id', ''")}
+          WHEN event_type = 'view' THEN {_user_json('email')}
+          WHEN event_type = 'click' THEN left({_user_json()}, length({_user_json()}) - 1)
+          WHEN event_type NOT IN ('purchase', 'signup') THEN chr(9) || chr(10) || ' ' END AS raw,
+        CASE event_type WHEN 'purchase' THEN 'bad_format' WHEN 'signup' THEN 'bad_format'
+          WHEN 'view' THEN 'missing_required' WHEN 'click' THEN 'corrupt' ELSE 'empty' END AS reject_reason
+      FROM u)
+    SELECT {_PART} AS "partition", event_id AS "offset", raw, reject_reason
+    FROM p WHERE raw IS NOT NULL"""

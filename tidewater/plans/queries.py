@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidewater.config import RunLimits, TableSettings
 from tidewater.functions.ids import derived_id
 from tidewater.operators import anomaly, decode, enrich, keyed, logs, profile, runs, wordcount
 from tidewater.plans import derive
@@ -128,8 +129,7 @@ def sample_limit(spark, sf_dir):
 
 
 # --- fixed values: run limits used on the events table ----------------------
-RUN_MAX_ERRORS = 3
-RUN_DURATION_SECONDS = 86_400
+RUN_LIMITS = RunLimits(max_errors=3, duration_seconds=86_400)
 RUN_LIMITED_DURATION_SECONDS = 7 * 86_400
 STREAM_FILES = 4  # landing files replayed one per micro-batch
 # ---------------------------------------------------------------------------
@@ -138,13 +138,13 @@ STREAM_FILES = 4  # landing files replayed one per micro-batch
 def run_stats(spark, sf_dir):
     """A3, A4: per run (user) sent / errors with the consecutive-error stop."""
     attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
-    return runs.run_stats(attempts, RUN_MAX_ERRORS)
+    return runs.run_stats(attempts, RUN_LIMITS.max_errors)
 
 
 def run_duration_cutoff(spark, sf_dir):
     """A5: the attempts made within the first day of each run."""
     attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
-    return runs.within_duration(attempts, RUN_DURATION_SECONDS).select("run_id", "seq", "ok")
+    return runs.within_duration(attempts, RUN_LIMITS.duration_seconds).select("run_id", "seq", "ok")
 
 
 def run_stats_limited(spark, sf_dir):
@@ -152,7 +152,7 @@ def run_stats_limited(spark, sf_dir):
     then the streak cut-off over what is left."""
     attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
     kept = runs.within_duration(attempts, RUN_LIMITED_DURATION_SECONDS)
-    return runs.run_stats(kept, RUN_MAX_ERRORS)
+    return runs.run_stats(kept, RUN_LIMITS.max_errors)
 
 
 def log_latency(spark, sf_dir):
@@ -244,11 +244,11 @@ def run_stats_stream(spark, sf_dir):
 
     def run_once():
         stream = spark.readStream.schema(ATTEMPTS).parquet(f"{root}/landing")
-        start_run_stats(stream, state, f"{root}/checkpoint", RUN_MAX_ERRORS,
+        start_run_stats(stream, state, f"{root}/checkpoint", RUN_LIMITS.max_errors,
                         available_now=True).awaitTermination()
 
     _arrive_in_slices(attempts, f"{root}/landing", run_once)
-    return run_stats_view(state, RUN_MAX_ERRORS)
+    return run_stats_view(state, RUN_LIMITS.max_errors)
 
 
 def daily_counts_stream(spark, sf_dir):
@@ -296,7 +296,90 @@ def profile_landing_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+def dead_letters(spark, sf_dir):
+    """The rows the ingest query sets aside, with coordinates, raw
+    value and reason; accepted ones go to the keyed table."""
+    from tidewater.session import scratch_path
+    from tidewater.sinks.keyed_table import KeyedTable
+    from tidewater.sources.replay import read_envelopes, write_envelopes
+    from tidewater.streaming.ingest import start_ingest
+
+    root = scratch_path(spark, "dead_letters")
+    env = derive.events_envelope(table(spark, sf_dir, "events"), derive.unfit_user_message())
+    write_envelopes(env, f"{root}/landing")
+    stream = read_envelopes(spark, f"{root}/landing", streaming=True)
+    users = KeyedTable(spark, f"{root}/table", key="id", order=["timestamp", "partition", "offset"])
+    start_ingest(stream, users, f"{root}/dead_letters", f"{root}/checkpoint",
+                 available_now=True).awaitTermination()
+    rows = spark.read.parquet(f"{root}/dead_letters")
+    return rows.select("partition", "offset", F.decode("raw_value", "UTF-8").alias("raw"), "reject_reason")
+
+
+def keyed_two_writers(spark, sf_dir):
+    """Two writers that both number their batch 0, a compaction, and a
+    one-off write after it; nothing replaces or hides another's rows."""
+    from tidewater.session import scratch_path
+    from tidewater.sinks.keyed_table import KeyedTable
+
+    users = KeyedTable(spark, scratch_path(spark, "keyed_two_writers"), key="id",
+                       order=["timestamp", "partition", "offset"])
+    events, kind = table(spark, sf_dir, "events"), F.col("event_type")
+
+    def part(where):
+        env = derive.events_envelope(events.where(where), derive.user_message())
+        return decode.decode_envelope(env, USER_V1).select("timestamp", "partition", "offset", *USER_V1_COLUMNS)
+
+    users.upsert(part(kind == "purchase"), 0, "first")
+    users.upsert(part(kind == "view"), 0, "second")
+    users.compact()
+    users.upsert(part(~kind.isin("purchase", "view")))
+    return users.current().select(*USER_V1_COLUMNS)
+
+
+def publish_envelopes(spark, sf_dir):
+    """Landed responses -> accepted users -> messages -> decode."""
+    from tidewater.session import scratch_path
+    from tidewater.streaming.publish import publish_responses
+
+    messages = publish_responses(_raw_profiles(spark, sf_dir), "raw", [F.lit("customer"), "c_custkey"],
+                                 scratch_path(spark, "publish_envelopes"))
+    return decode.decode_values(spark.read.parquet(messages), USER_V1)
+
+
+def word_count_complete(spark, sf_dir):
+    """The word count in complete mode; each batch replaces the result."""
+    from tidewater.session import scratch_path
+    from tidewater.streaming.wordcount import start_word_count_complete
+
+    root = scratch_path(spark, "word_count_complete")
+    docs = table(spark, sf_dir, "documents").select("text")
+    lines = spark.readStream.schema(docs.schema).parquet(f"{sf_dir.rstrip('/')}/documents.parquet*")
+    start_word_count_complete(lines, f"{root}/out", f"{root}/checkpoint", text_col="text", available_now=True,
+                              partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+def catalog_target(spark, sf_dir):
+    """Schema and table set up, the keyed view published into it,
+    and the table read back with chosen columns."""
+    from uuid import uuid4
+
+    from tidewater import catalog
+    from tidewater.session import scratch_path
+    from tidewater.sources.tables import read_table
+
+    target = TableSettings(table=f"created_users_{uuid4().hex[:12]}")
+    catalog.setup_schema(spark, target, location=scratch_path(spark, "catalog_target"))
+    catalog.publish_view(spark, keyed_latest(spark, sf_dir), target.schema, target.table)
+    return read_table(spark, f"{target.schema}.{target.table}", ["id", "first_name", "last_name", "email"])
+
+
 QUERIES: dict[str, Query] = {
+    "dead_letters": dead_letters,
+    "keyed_two_writers": keyed_two_writers,
+    "publish_envelopes": publish_envelopes,
+    "word_count_complete": word_count_complete,
+    "catalog_target": catalog_target,
     "json_decode_flatten": json_decode_flatten,
     "envelope_roundtrip": envelope_roundtrip,
     "decode_reject": decode_reject,

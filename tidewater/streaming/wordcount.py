@@ -41,5 +41,20 @@ def start_word_count(lines: DataFrame, table: KeyedTable, checkpoint: str,
         )
 
 
+def start_word_count_complete(lines: DataFrame, path: str, checkpoint: str, text_col: str = "value",
+                              available_now: bool = False, partitions: int | None = None) -> StreamingQuery:
+    """Complete mode: every batch writes the whole result, which replaces the
+    folder at `path`.  For a large vocabulary use `start_word_count`."""
+    counts = word_counts(lines, text_col)
+    with state_partitions(lines.sparkSession, partitions):
+        return (
+            counts.writeStream.outputMode("complete")
+            .foreachBatch(lambda df, batch_id: df.write.mode("overwrite").parquet(path))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger_options(available_now))
+            .start()
+        )
+
+
 def word_count_table(spark, path: str) -> KeyedTable:
     return KeyedTable(spark, path, key="word", order=["count"])
