@@ -191,3 +191,12 @@ def test_toxicity_held_out(spark):
     got = toxicity.toxicity_rows(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert np.mean([r.predicted == r.toxic for r in got]) > 0.97
     assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_capital_rate_is_per_letter_at_every_length():
+    at = toxicity.FEATURES.index("capital_rate")
+    line = "Mixed Case and SHOUT 123 don't ÀÉ ǅ日A ªx ß4U, "
+    for text in ("", "12 34", line, line * 40, line * 41, line * 400, "plain words " * 500, "Title " * 500, "日本 " * 900):
+        letters = sum(map(str.isalpha, text))
+        want = sum(map(str.isupper, text)) / max(letters, 1)
+        assert toxicity.features(text, frozenset())[at] == want

@@ -2,8 +2,8 @@
 isotonic regression.
 
 Features of a text (never its label, language, source or id): densities of a
-lexicon, second-person words near lexicon words, capitals, punctuation, and the
-rate of obfuscated words.  The lexicon is a short fixed list plus words and word
+lexicon, second-person words near lexicon words, capitals per letter, punctuation,
+and the rate of obfuscated words, each counted in the same way at every length.  The lexicon is a short fixed list plus words and word
 beginnings that the training labels single out.
 
 Training uses at most MAX_PER_CLASS labelled rows of each class (the first by a
@@ -75,9 +75,12 @@ def features(text: str, lexicon: frozenset) -> tuple[float, ...]:
     words = text.split()
     n = max(len(words), 1)
     counts = Counter(words)
-    hits = fixed = shout = obscured = unmasked = you = 0
+    hits = fixed = shout = obscured = unmasked = you = letters = capitals = 0
     found, hit_words, you_words = set(), set(), set()
     for w, c in counts.items():
+        letters += c * (len(w) if w.isalpha() else sum(map(str.isalpha, w)))
+        if not w.islower():  # a word in lower case holds no capital
+            capitals += c * sum(map(str.isupper, w))
         k = core(w)
         if not k:
             continue
@@ -107,8 +110,6 @@ def features(text: str, lexicon: frozenset) -> tuple[float, ...]:
                 last_you = i
                 near += i - last_hit <= NEAR
     chars = max(len(text), 1)
-    letters = sum(map(str.isalpha, text)) if len(text) < 2000 else chars
-    capitals = sum(map(str.isupper, text)) if len(text) < 2000 else sum(len(w) * c for w, c in counts.items() if w.isupper())
     punct = sum(text.count(p) for p in ".,;:!?'\"()-")
     return (float(hits), 100.0 * hits / n, float(len(found)), 100.0 * fixed / n, near / n * 100.0, 100.0 * you / n,
             capitals / max(letters, 1), shout / n, text.count("!") / chars, punct / chars, obscured / n,
