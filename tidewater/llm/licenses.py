@@ -6,6 +6,10 @@ document becomes the sequence of identifiers it holds, and ordered licence
 rules are matched against that sequence: a rule names the identifiers that must
 follow each other, with at most GAP unknown sentences in between.
 
+A text is read twice.  By lines every line break ends a sentence, as notices on a
+line of their own need.  As a whole a line break is a blank, as wrapped licence
+texts need; there the sentences of whole licences are known too.
+
 Defined results: null or empty text holds no sentence and no licence; repeated
 sentences repeat in the sequence but a rule is reported once; rules are reported
 in the order of RULES and `license` is the first of them; an empty table gives
@@ -66,6 +70,62 @@ RULES = (  # (licence, identifiers in order); longer evidence first
     ("Proprietary", ("rights",)),
 )
 END = r"[.!?]+([\x20\x09-\x0D]+|$)|[\n\r]+"  # ends a sentence
+
+# Sentences of whole licence texts, wrapped or not.
+_APACHE_TERMS = SENTENCES["apache_grant"] + " " + SENTENCES["apache_use"]
+_APACHE_AT = "you may obtain a copy of the license at"
+_APACHE_URLS = ("http www apache org licenses license 2 0", "https www apache org licenses license 2 0")
+FULL_SENTENCES = {
+    "apache_terms": (_APACHE_TERMS,),
+    "apache_at": (_APACHE_AT, *_APACHE_URLS, *(f"{_APACHE_AT} {u}" for u in _APACHE_URLS)),
+    "apache_at_law": tuple(f"{u} {SENTENCES['apache_law']}" for u in (*_APACHE_URLS, *(f"{_APACHE_AT} {u}" for u in _APACHE_URLS))),
+    "mit_full_grant": (
+        SENTENCES["mit_grant"] + " including without limitation the rights to use copy modify merge publish distribute "
+        "sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions",),
+    "mit_keep": ("the above copyright notice and this permission notice shall be included in all copies or substantial "
+                 "portions of the software",
+                 "the above copyright notice and this permission notice including the next paragraph shall be included in "
+                 "all copies or substantial portions of the software"),
+    "mit_full_warranty": (
+        SENTENCES["mit_warranty"] + " including but not limited to the warranties of merchantability fitness for a "
+        "particular purpose and noninfringement",),
+    "mit_liable": ("in no event shall the authors or copyright holders be liable for any claim damages or other liability "
+                   "whether in an action of contract tort or otherwise arising from out of or in connection with the "
+                   "software or the use or other dealings in the software",),
+    "gpl_details": ("see the gnu general public license for more details",),
+    "gpl_copy": ("you should have received a copy of the gnu general public license along with this program",),
+    "gpl_see": ("if not see http www gnu org licenses", "if not see https www gnu org licenses"),
+    "bsd_source": ("redistributions of source code must retain the above copyright notice this list of conditions and the "
+                   "following disclaimer",),
+    "bsd_binary": ("redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+                   "the following disclaimer in the documentation and or other materials provided with the distribution",),
+    "bsd_name": tuple(
+        f"neither the name of {holder} nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission"
+        for holder in ("the copyright holder", "the copyright holders", "the organization")),
+    "bsd_warranty": tuple(
+        f"this software is provided by the copyright {holders} and contributors as is and any express or implied "
+        "warranties including but not limited to the implied warranties of merchantability and fitness for a particular "
+        "purpose are disclaimed" for holders in ("holders", "holder")),
+    "bsd_liable": tuple(
+        f"in no event shall the copyright {holder} or contributors be liable for any direct indirect incidental special "
+        "exemplary or consequential damages including but not limited to procurement of substitute goods or services loss "
+        "of use data or profits or business interruption however caused and on any theory of liability whether in contract "
+        "strict liability or tort including negligence or otherwise arising in any way out of the use of this software even "
+        "if advised of the possibility of such damage" for holder in ("holder", "holders", "owner")),
+}
+FULL_RULES = (  # matched beside RULES, on whole sentences
+    ("Apache-2.0", ("apache_terms",)),
+    ("Apache-2.0", ("apache_at_law", "apache_see")),
+    ("MIT", ("mit_full_grant", "mit_keep", "mit_full_warranty")),
+    ("MIT", ("mit_full_grant", "mit_full_warranty")),
+)
+# Ends a whole sentence: an end mark, the head of a list of conditions, a blank line.
+FULL_END = (r"[.!?]+([\x20\x09-\x0D]+|$)|:(?<=(?i:conditions|are met):)[\x20\x09-\x0D]+"
+            r"|(?>\r\n|\r|\n)[^A-Za-z0-9]*[\r\n]")
+# A copyright line is a sentence of its own.
+COPYRIGHT = r"(?im)^([^A-Za-z0-9\r\n]*copyright[\x20\t]+(?:\(c\)|[\d©<\[])[^\r\n]*)$"
 # -------------------------------------------------------------------------------
 
 GAP = 2
@@ -79,16 +139,30 @@ def sentences(text: Column) -> Column:
     return F.array_remove(F.transform(F.split(plain, "\n"), lambda s: F.trim(s)), "")
 
 
-def identifiers(sents: str) -> Column:
+def full_sentences(text: Column) -> Column:
+    """Normalised sentences of a text in which a line break is a blank: only end
+    marks, blank lines and heads of lists end one."""
+    own = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT, "\n\n$1\n\n")
+    # \x00 stands for an end, as line breaks are blanks here
+    cut = F.regexp_replace(F.translate(own, "\x00", " "), FULL_END, "\x00")
+    plain = F.lower(F.regexp_replace(cut, r"[^A-Za-z0-9\x00]+", " "))
+    return F.array_remove(F.transform(F.split(plain, "\x00"), lambda s: F.trim(s)), "")
+
+
+_NAMES = {words: ident for ident, words in SENTENCES.items()}
+_FULL_NAMES = _NAMES | {words: ident for ident, forms in FULL_SENTENCES.items() for words in forms}
+
+
+def identifiers(sents: str, names: dict[str, str] = _NAMES) -> Column:
     """`sents` as a text of identifiers with blanks around each, `.` where unknown."""
     known = F.lit(None).cast("string")
     def name(s):
         out = F.lit(UNKNOWN)
-        for ident, words in SENTENCES.items():
+        for words, ident in names.items():
             out = F.when(s == words, ident).otherwise(out)
         return out
-    any_known = F.arrays_overlap(sents, F.array(*[F.lit(w) for w in SENTENCES.values()]))
-    ids = F.transform(sents, lambda s: F.when(s.isin(*SENTENCES.values()), name(s)).otherwise(UNKNOWN))
+    any_known = F.arrays_overlap(sents, F.array(*[F.lit(w) for w in names]))
+    ids = F.transform(sents, lambda s: F.when(s.isin(*names), name(s)).otherwise(UNKNOWN))
     return F.when(any_known, F.concat(F.lit(" "), F.array_join(ids, " "), F.lit(" "))).otherwise(known)
 
 
@@ -101,23 +175,37 @@ OUTPUTS = ("n_sentences", "licenses", "license")
 
 
 def scan(df: DataFrame, text: str = "text") -> DataFrame:
-    """`df` with `n_sentences` (licence sentences found), `licenses` (all that
-    match, joined by commas, in the order of RULES) and `license` (the first)."""
+    """`df` with `n_sentences` (licence sentences found, by the reading that finds
+    more), `licenses` (all that match in either reading, joined by commas, in the
+    order of RULES) and `license` (the first)."""
     own = [c for c in df.columns if c not in OUTPUTS]
-    out = df.select(*own).withColumn("_sents", sentences(F.col(text)))
-    out = out.withColumn("_ids", identifiers("_sents"))
-    named = F.array(*[F.when(F.col("_ids").rlike(rule_pattern(i)), F.lit(n)) for n, i in RULES])
-    out = out.withColumn("_all", F.when(F.col("_ids").isNotNull(), F.array_distinct(F.array_compact(named)))
-                         .otherwise(F.array().cast("array<string>")))
-    count = F.size(F.filter("_sents", lambda s: s.isin(*SENTENCES.values())))
+    out = df.select(*own).withColumn("_sents", sentences(F.col(text))).withColumn("_full", full_sentences(F.col(text)))
+    out = out.withColumn("_ids", identifiers("_sents")).withColumn("_full_ids", identifiers("_full", _FULL_NAMES))
+    order = list(dict.fromkeys(n for n, _ in RULES))
+    named = F.array(*[F.when(F.coalesce(_matches(n), F.lit(False)), F.lit(n)) for n in order])
+    known = F.col("_ids").isNotNull() | F.col("_full_ids").isNotNull()
+    out = out.withColumn("_all", F.when(known, F.array_compact(named)).otherwise(F.array().cast("array<string>")))
+    count = lambda c, names: F.size(F.filter(c, lambda s: s.isin(*names)))
     return out.select(
         *own,
-        F.when(F.col("_ids").isNotNull(), count).otherwise(0).cast("long").alias("n_sentences"),
+        F.when(known, F.greatest(count("_sents", _NAMES), count("_full", _FULL_NAMES))).otherwise(0).cast("long").alias("n_sentences"),
         F.array_join("_all", ",").alias("licenses"),
         F.get("_all", F.lit(0)).alias("license"),
     )
 
 
+def _matches(license: str) -> Column:
+    """Does a rule of `license` match in either reading?"""
+    found = F.lit(False)
+    for name, idents in (*RULES, *FULL_RULES):
+        if name == license:
+            pattern = rule_pattern(idents)
+            if (name, idents) in RULES:
+                found = found | F.coalesce(F.col("_ids").rlike(pattern), F.lit(False))
+            found = found | F.coalesce(F.col("_full_ids").rlike(pattern), F.lit(False))
+    return found
+
+
 def license_rows(docs: DataFrame) -> DataFrame:
     """Query form over `documents`, one row per document."""
     return scan(docs.select("doc_id", "text")).select("doc_id", *OUTPUTS)
