@@ -174,3 +174,41 @@ def test_hot_run_is_dealt_by_salt(spark):
         assert out.where("run_id = 0").count() == a.where("run_id = 0 and seq < 100").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_new_checkpoint_goes_on_from_the_state(spark, scratch):
+    from tidewater.schemas import ATTEMPTS
+    from tidewater.streaming.runs import fold_batch, run_state_table, run_stats_view, start_run_stats
+
+    df = attempts(spark, ["SEESSEES" * 3, "EEEEE", "SESESE" * 4])
+    state = run_state_table(spark, f"{scratch}/state")
+    cut = [(0, 7), (7, 11), (11, 16), (16, 40)]
+    for k, (lo, hi) in enumerate(cut):  # two batches under each of two checkpoints
+        where = f"{scratch}/in{k // 2}"
+        df.where((df.seq >= lo) & (df.seq < hi)).write.mode("append").parquet(where)
+        stream = spark.readStream.schema(ATTEMPTS).parquet(where)
+        start_run_stats(stream, state, f"{scratch}/ckpt{k // 2}", 3, available_now=True).awaitTermination()
+        if k == 2:
+            state.compact()
+    want = sorted(map(tuple, runs.run_stats(df, 3).collect()))
+    assert sorted(map(tuple, run_stats_view(state, 3).collect())) == want
+    # a replay of any batch, also one that others have folded upon, changes nothing
+    from tidewater.sinks.keyed_table import writer_of
+    for k, (lo, hi) in [(3, cut[3]), (1, cut[1])]:
+        fold_batch(df.where((df.seq >= lo) & (df.seq < hi)), k % 2, state, 3, writer_of(f"{scratch}/ckpt{k // 2}"))
+        assert sorted(map(tuple, run_stats_view(state, 3).collect())) == want
+
+
+def test_folds_at_the_same_time_are_reported(spark, scratch):
+    import pytest
+
+    from tidewater.streaming.runs import ConcurrentFolds, fold_batch, run_state_table, run_stats_view
+
+    df = attempts(spark, ["SEESSE"])
+    state = run_state_table(spark, f"{scratch}/state")
+    fold_batch(df.where(df.seq < 3), 0, state, 3, "one")
+    state.upsert(state.current(), 0, "two/0")
+    with pytest.raises(ConcurrentFolds):
+        fold_batch(df.where(df.seq >= 3), 1, state, 3, "one")
+    with pytest.raises(ConcurrentFolds):
+        run_stats_view(state, 3)

@@ -104,6 +104,13 @@ class KeyedTable:
     def exists(self, before: int | None = None) -> bool:
         return bool(self._log(before))
 
+    def written(self) -> list:
+        """(batch, writer) of the committed segments."""
+        commits = self._commits()
+        if commits is None:
+            return []
+        return [tuple(r) for r in commits.where("kind = 'segment'").select("batch", "writer").distinct().collect()]
+
     def snapshot(self, before: int | None = None) -> DataFrame | None:
         """The table as of its last committed batch, or, with `before=b`, as
         it was before batch `b` (bases and segments of batches < b only;

@@ -14,9 +14,15 @@ The state also keeps each run's last `(ts, seq)`; a batch holding an
 attempt that is not after it fails with `OutOfOrderAttempts` rather than
 folding it into a wrong streak.
 
-Replays: batch `b` always folds onto the state as it was before `b`
-(`KeyedTable.current(before=b)`), so a batch re-run after a crash that
-followed its state write does not count its attempts twice.
+Folds are numbered over all checkpoints of a state table.  A state row holds
+its fold number, and the commit log names the checkpoint and its batch beside
+it.  A batch that was not folded yet starts from the last committed state, of
+whichever checkpoint, and takes the next number.  A replay takes the number it
+had and folds onto the state as it was before (`KeyedTable.snapshot(before=n)`),
+so a batch re-run after a crash that followed its state write does not count
+its attempts twice.  Checkpoints may follow each other or take turns; two that
+fold at the same moment take the same number, which the next fold and the view
+report as `ConcurrentFolds`.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.operators.runs import PIECE, finish, fold, streak_summaries
-from tidewater.sinks.keyed_table import KeyedTable
+from tidewater.sinks.keyed_table import KeyedTable, writer_of
 from tidewater.streaming.ingest import trigger_options
 
 
@@ -34,15 +40,31 @@ class OutOfOrderAttempts(ValueError):
     """A micro-batch holds attempts older than ones already folded."""
 
 
+class ConcurrentFolds(RuntimeError):
+    """Two batches were folded onto the same state at the same time."""
+
+
 def run_state_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, key="run_id", order=["batch"])
 
 
-def fold_batch(batch: DataFrame, batch_id: int, state: KeyedTable, max_errors: int) -> None:
+def _folds(state: KeyedTable) -> dict[int, str]:
+    """Fold number -> the writer and batch that made it."""
+    folds: dict[int, str] = {}
+    for number, by in state.written():
+        if folds.setdefault(number, by) != by:
+            raise ConcurrentFolds(f"fold {number} of {state.path} was written by {folds[number]} and by {by}")
+    return folds
+
+
+def fold_batch(batch: DataFrame, batch_id: int, state: KeyedTable, max_errors: int, writer: str = "") -> None:
+    by = f"{writer}/{int(batch_id)}"
+    folds = _folds(state)
+    number = next((n for n, who in folds.items() if who == by), max(folds, default=-1) + 1)
     new = streak_summaries(batch, max_errors).persist()
     try:
         pieces = new
-        before = state.snapshot(before=batch_id)
+        before = state.snapshot(before=number)
         if before is not None:
             # Each run's first attempt in this batch, from the scan's pieces.
             firsts = new.groupBy("run_id").agg(
@@ -56,8 +78,8 @@ def fold_batch(batch: DataFrame, batch_id: int, state: KeyedTable, max_errors: i
                     f"batch {batch_id}: runs {[r.run_id for r in bad]} received attempts "
                     "not after ones already counted")
             pieces = new.unionByName(prev.select(F.lit(-1).alias("pid"), "run_id", *PIECE))
-        folded = fold(pieces, max_errors).withColumn("batch", F.lit(int(batch_id)).cast("long"))
-        state.upsert(folded, batch_id)
+        folded = fold(pieces, max_errors).withColumn("batch", F.lit(number).cast("long"))
+        state.upsert(folded, number, by)
     finally:
         new.unpersist()
 
@@ -66,7 +88,7 @@ def start_run_stats(attempts: DataFrame, state: KeyedTable, checkpoint: str,
                     max_errors: int, available_now: bool = False) -> StreamingQuery:
     return (
         attempts.writeStream.foreachBatch(
-            lambda df, batch_id: fold_batch(df, batch_id, state, max_errors))
+            lambda df, batch_id: fold_batch(df, batch_id, state, max_errors, writer_of(checkpoint)))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger_options(available_now))
         .start()
@@ -74,4 +96,5 @@ def start_run_stats(attempts: DataFrame, state: KeyedTable, checkpoint: str,
 
 
 def run_stats_view(state: KeyedTable, max_errors: int) -> DataFrame:
+    _folds(state)
     return finish(state.current(), max_errors)
