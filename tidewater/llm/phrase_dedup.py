@@ -15,7 +15,9 @@ words also start in a document with a smaller doc_id.
    shard, and each shard is compiled into one automaton.  All passages of all
    documents are streamed through the automaton of their shard, which locates
    every phrase.  A shard with many passages is read by several tasks, each with
-   its own copy of the automaton.
+   its own copy of the automaton.  Where a seed has more than SHARD_PHRASES
+   phrases, its passages are cut into their windows, and windows and phrases are
+   dealt by the hash of seed and words, so no seed is bound to one shard.
 
 Equal word sequences take part once, with the smallest doc_id; the other copies
 are removed as a whole when they hold a window.
@@ -176,18 +178,33 @@ def locate(passages: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out).astype({"seq": "int64", "word": "int64"})
 
 
-def _occurrences(passages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """`seq, word`: first words of the windows that go, by sharded automata."""
+def _dealt(passages: DataFrame, phrases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Passages and phrases with the `shard` and `part` of their automaton."""
     shards = max(1, -(-phrases.count() // SHARD_PHRASES))
-    shard = F.pmod(F.col("seed"), F.lit(shards)).cast("int")
-    dealt = passages.withColumn("shard", shard)
+    # a row for every SHARD_PHRASES phrases at most
+    hot = F.broadcast(saved(phrases.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_PHRASES)
+                            .select("seed", F.lit(True).alias("hot")), "phrase-hot-seeds"))
+    split = F.coalesce(F.col("hot"), F.lit(False))
+    shard = lambda words: F.pmod(F.when(split, F.xxhash64("seed", words)).otherwise(F.col("seed")), F.lit(shards)).cast("int")
+    words = F.split("passage", " ")
+    windows = F.transform(F.sequence(F.lit(0), F.size(words) - WINDOW), lambda k: F.struct(
+        F.array_join(F.slice(words, k + 1, WINDOW), " ").alias("passage"), (F.col("at") + k).cast("int").alias("at")))
+    pieces = F.when(split, windows).otherwise(F.array(F.struct("passage", "at")))
+    dealt = (passages.join(hot, "seed", "left").select("seed", "hot", "seq", "doc_id", F.explode(pieces).alias("piece"))
+             .select("seed", "hot", "piece.passage", "seq", "piece.at", "doc_id").withColumn("shard", shard("passage")))
     parts = saved(dealt.groupBy("shard").agg((F.floor((F.count("*") - 1) / TASK_PASSAGES) + 1).cast("int").alias("parts")),
                   "phrase-shards")
-    copies = (phrases.withColumn("shard", shard).join(parts, "shard")
+    copies = (phrases.join(hot, "seed", "left").withColumn("shard", shard("phrase")).join(parts, "shard")
               .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "phrase", "first"))
     spread = dealt.join(parts, "shard").withColumn(
         "part", F.pmod(F.xxhash64("seq", "at"), F.col("parts")).cast("int")).select(
         "shard", "part", "passage", "seq", "at", "doc_id")
+    return spread, copies
+
+
+def _occurrences(passages: DataFrame, phrases: DataFrame) -> DataFrame:
+    """`seq, word`: first words of the windows that go, by sharded automata."""
+    spread, copies = _dealt(passages, phrases)
     return (spread.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part"))
             .applyInPandas(locate, "seq long, word long"))
 
