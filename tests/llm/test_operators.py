@@ -200,3 +200,13 @@ def test_capital_rate_is_per_letter_at_every_length():
         letters = sum(map(str.isalpha, text))
         want = sum(map(str.isupper, text)) / max(letters, 1)
         assert toxicity.features(text, frozenset())[at] == want
+
+
+def test_repeated_ids_do_not_fill_the_sample(spark):
+    data = [(1, "same text")] * 300 + [(1, f"text {i}") for i in range(50)] + [(2, "two"), (2, "two"), (3, None), (3, ""), (4, "no label")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    picked = spark.createDataFrame([(1, 1, 1), (2, 0, 2), (3, 0, 4)], "doc_id long, toxic int, fold int")
+    got = [tuple(r) for r in toxicity.training_rows(docs, picked).collect()]
+    assert len(got) == len(set(got)) == toxicity.ROWS_PER_ID + 2
+    assert {r for r in got if r[0] > 1} == {(2, "two", 0, 2), (3, "", 0, 4)}
+    assert {r[2:] for r in got if r[0] == 1} == {(1, 1)}

@@ -6,8 +6,9 @@ lexicon, second-person words near lexicon words, capitals per letter, punctuatio
 and the rate of obfuscated words, each counted in the same way at every length.  The lexicon is a short fixed list plus words and word
 beginnings that the training labels single out.
 
-Training uses at most MAX_PER_CLASS labelled rows of each class (the first by a
-hash of doc_id) and only rows whose crc32(doc_id as text) mod 5 is not 0.
+Training uses at most MAX_PER_CLASS labelled doc_ids of each class (the first by a
+hash of doc_id), of each of them at most ROWS_PER_ID different texts (the first by
+a hash of the text), and only doc_ids whose crc32(doc_id as text) mod 5 is not 0.
 Remainders 1 to 3 train the trees, remainder 4 the calibration.  Features and
 scores are computed for every row.
 
@@ -31,7 +32,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import arrow_apply, saved
@@ -47,6 +48,7 @@ LEET = str.maketrans("013457@$!", "oieastasi")
 # -------------------------------------------------------------------------------
 
 MAX_PER_CLASS = 4000
+ROWS_PER_ID = 4        # different texts of one doc_id that are trained on
 FOLDS = 5
 PREFIXES = (4, 5, 6)   # lengths of word beginnings that may enter the lexicon
 MIN_RATIO = 12.0       # how much more often a lexicon entry is in toxic rows
@@ -129,6 +131,16 @@ def training_labels(labels: DataFrame, most: int = MAX_PER_CLASS) -> DataFrame:
     return pick(1).unionByName(pick(0)).select("doc_id", "toxic", "fold")
 
 
+def training_rows(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """`doc_id, text, toxic, fold`: different texts of the picked ids, at most
+    ROWS_PER_ID of each."""
+    # at most 2 * MAX_PER_CLASS rows of three numbers: safe to broadcast
+    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+            .select("doc_id", "text", "toxic", "fold").distinct())
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    return rows.withColumn("_nth", nth).where(F.col("_nth") <= ROWS_PER_ID).drop("_nth")
+
+
 def _learn_lexicon(rows: DataFrame, positive: int, negative: int) -> frozenset:
     """Entries found in far more toxic than other training rows."""
     def emit(batch):
@@ -195,8 +207,7 @@ def _raw(trees, featured: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on the bounded, labelled sample."""
     picked = saved(training_labels(labels), "toxic-labels")
-    # at most 2 * MAX_PER_CLASS rows of three numbers: safe to broadcast
-    rows = saved(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), "toxic-sample")
+    rows = saved(training_rows(docs, picked), "toxic-sample")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     positive, negative = n.get(1, 0), n.get(0, 0)
     if not positive or not negative:
