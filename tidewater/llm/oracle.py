@@ -82,7 +82,95 @@ def quality_sql(columns: str = "doc_id, n_words, word_chars, n_symbols, n_dup_li
     """
 
 
+_OP11 = r"""
+    WITH piece AS (
+      SELECT row_number() OVER () AS p, lang, string_split_regex(piece, '[ \t]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+    word AS (
+      SELECT p, lang, w, row_number() OVER (PARTITION BY p ORDER BY i) AS i
+      FROM (SELECT p, lang, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i FROM piece) WHERE w <> ''),
+    runs AS (
+      SELECT lang, w AS w1, lead(w) OVER s AS w2, lead(w, 2) OVER s AS w3 FROM word WINDOW s AS (PARTITION BY p ORDER BY i)),
+    f1 AS (SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL),
+    f2 AS (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    longer AS (
+      SELECT lang, w1, w2, max(f) AS f
+      FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+    scored AS (
+      SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.f AS a, x.f AS l, y.f AS r
+      FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+              LEFT JOIN longer g ON g.lang = f2.lang AND g.w1 = f2.w1 AND g.w2 = f2.w2
+      WHERE g.f IS NULL OR 100 * g.f < 50 * f2.f
+      UNION ALL
+      SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END FROM (
+        SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2,
+               (1000000::HUGEINT * t.f * t.f) // (x.f::HUGEINT * yz.f) AS s1,
+               (1000000::HUGEINT * t.f * t.f) // (xy.f::HUGEINT * z.f) AS s2
+        FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.w1 = t.w1 JOIN f1 z ON z.lang = t.lang AND z.w1 = t.w3
+             JOIN f2 xy ON xy.lang = t.lang AND xy.w1 = t.w1 AND xy.w2 = t.w2
+             JOIN f2 yz ON yz.lang = t.lang AND yz.w1 = t.w2 AND yz.w2 = t.w3)),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM scored))
+    SELECT lang, rank, phrase, a, l, r, n, score
+    FROM ranked JOIN (SELECT lang, count(*) AS n FROM word GROUP BY lang) USING (lang) WHERE rank <= 2000"""
+
+_OP12 = r"""
+    WITH rules(verdict, rhost, rpath) AS (VALUES
+        ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+        ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM r),
+    u AS (
+      SELECT row_number() OVER () AS n, page_id,
+             coalesce(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+             coalesce(regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*'), '') AS path
+      FROM h),
+    m AS (
+      SELECT n, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+      FROM u JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+      GROUP BY n)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (n)"""
+
+_OP13 = """
+    WITH own AS (
+      SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    h AS (  -- CRC-32 of the decimal id, bit by bit
+      SELECT c, turns, xor(list_reduce(
+          [4294967295::BIGINT] || list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ord(substr(c::VARCHAR, i, 1))::BIGINT),
+          lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                     lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+      FROM own),
+    seq AS (
+      SELECT a.c, coalesce(f.turns, [])[:a.h::INT] || a.turns[a.h::INT + 1:] AS s
+      FROM h a LEFT JOIN own f ON f.c = a.c - a.c % 100),
+    node AS (
+      SELECT s[:d] AS k, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+             string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(s) = d) AS ends
+      FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seq) GROUP BY ALL),
+    kids AS (SELECT k[:depth - 1] AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+    own_sums AS (
+      SELECT n.*, coalesce(n_children, 0) AS n_children,
+             CASE WHEN depth > 0 THEN (n_convs - 1) * length(n.k[depth].t) ELSE 0 END AS own
+      FROM node n LEFT JOIN kids USING (k)),
+    sums AS (
+      SELECT k[:up] AS k, sum(own) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM own_sums) GROUP BY 1)
+    SELECT o.conv_id, o.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, o.n_convs::BIGINT AS n_convs,
+           o.n_children::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+           sha256(coalesce(o.ends, '')) AS ends_sha256
+    FROM own_sums o JOIN sums USING (k) LEFT JOIN node p ON o.depth > 0 AND p.k = o.k[:o.depth - 1]"""
+
+
 ORACLE: dict[str, str] = {
     "op5_quality_divergence": quality_sql(),
     "op9_license_sentences": _licenses(),
+    "op11_collocation_filters": _OP11,
+    "op12_url_digests": _OP12,
+    "op13_prefix_trie": _OP13,
 }

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidewater.llm import (embeddings, licenses, ngram_join, packing, phrase_dedup, pieces, quality, sharding,
-                           suffix_dedup, toxicity)
+from tidewater.llm import (collocations, conversation_trie, embeddings, licenses, ngram_join, packing, phrase_dedup,
+                           pieces, quality, sharding, suffix_dedup, toxicity, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,5 +37,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity_trees": lambda spark, d: toxicity.toxicity_rows(_documents(spark, d), _read(spark, d, "labels")),
     "op9_license_sentences": lambda spark, d: licenses.license_rows(_documents(spark, d)),
     "op10_phrase_automata": lambda spark, d: phrase_dedup.dedup_rows(_documents(spark, d)),
+    "op11_collocation_filters": lambda spark, d: collocations.collocations(_documents(spark, d)),
+    "op12_url_digests": lambda spark, d: url_filter.url_rows(_read(spark, d, "pages")),
+    "op13_prefix_trie": lambda spark, d: conversation_trie.trie_rows(_read(spark, d, "conversations")),
     "pipeline": corpus_pipeline.run,
 }
