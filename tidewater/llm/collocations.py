@@ -49,9 +49,9 @@ PIECE_END[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
 GAP = PIECE_END.copy()
 GAP[[0x20, 0x09]] = True
 
-TEXT_BYTES = 8 << 20    # text bytes tokenised at once
-SHARD_WORDS = 8 << 20   # words of the corpus for one shard of merged filters
-TASK_PHRASES = 4 << 20  # phrases that a task gathers before it counts them
+TEXT_BYTES = 2 << 20    # text bytes tokenised at once
+SHARD_WORDS = 2 << 20   # words of the corpus for one shard of merged filters
+TASK_PHRASES = 3 << 19  # phrases that a task gathers before it counts them
 UNKNOWN_LANG = "und"
 
 
