@@ -42,9 +42,9 @@ def test_replayed_batch_changes_nothing(spark, scratch):
 def test_uncommitted_attempt_is_invisible(spark, scratch):
     t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
     t.upsert(batch(spark, [("a", "1", 1, 0, 0)]), 0)
-    # A half-done retry of batch 1: files written, commit never made.
+    # A half-done write of batch 1: Spark's staging folder, never put in place.
     batch(spark, [("a", "ghost", 5, 0, 5)]).write.parquet(
-        f"{scratch}/segments/seg_batch=1/seg_attempt=aZZ")
+        f"{scratch}/segments/.spark-staging-1/seg_writer=w-/seg_batch=1")
     assert view(t) == [("a", "1")]
 
 
@@ -74,7 +74,7 @@ def test_ingest_with_compaction_keeps_view(spark, scratch):
     start_ingest(read_envelopes(spark, f"{scratch}/in", streaming=True, max_files_per_trigger=1),
                  t, f"{scratch}/dlq", f"{scratch}/ck", available_now=True,
                  compact_every=2).awaitTermination()
-    assert t._commits().where("kind = 'base'").count() >= 1
+    assert t._base_versions() and len(t.written()) == 1  # batch 2 came after the compaction
     want = keyed.latest_per_key(decode.accepted(decode.decode_envelope(env, USER_V1)), "id", order)
     cols = list(USER_V1_COLUMNS)
     assert sorted(map(tuple, t.current().select(*cols).collect())) == \
@@ -108,12 +108,81 @@ def test_null_key_keeps_one_row(spark, scratch):
     assert view(t) == [(None, "new")]
 
 
-def test_unreadable_log_is_an_error(spark, scratch, monkeypatch):
+def test_unreadable_store_is_an_error(spark, scratch):
     t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"])
+    with pytest.raises(ValueError):
+        t.current()
+    import os
+    os.makedirs(f"{scratch}/segments/seg_writer=w-/seg_batch=0")
+    with open(f"{scratch}/segments/seg_writer=w-/seg_batch=0/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        t.current().collect()
+
+
+def crash_in(t, monkeypatch, step, after):
+    """Let `t` fail at the call number `after` of one of its steps."""
+    real, calls = getattr(t, step), [0]
+
+    def stop(*a, **k):
+        calls[0] += 1
+        if calls[0] > after:
+            raise RuntimeError("driver lost")
+        return real(*a, **k)
+
+    monkeypatch.setattr(t, step, stop)
+
+
+@pytest.mark.parametrize("after", [0, 1, 2, 3])
+def test_a_crash_while_deleting_loses_nothing(spark, scratch, monkeypatch, after):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=2)
+    rows = [(chr(97 + i), "1", i, 0, i) for i in range(6)]
+    t.upsert(batch(spark, rows), 0)
+    t.compact()
+    t.upsert(batch(spark, [("a", "2", 20, 0, 20), ("g", "1", 21, 0, 21)]), 1)
+    t.upsert(batch(spark, [("b", "old", -1, 0, 0)]), 2)
+    want = view(t)
+    with monkeypatch.context() as m:
+        crash_in(t, m, "_delete", after)
+        try:
+            t.compact()
+        except RuntimeError:
+            pass
+    assert view(t) == want
+    t.compact()
+    t.upsert(batch(spark, []), 3)
+    t.compact()
+    assert view(t) == want
 
-    def broken():
-        raise OSError("store is down")
 
-    monkeypatch.setattr(t, "_commits", broken)
-    with pytest.raises(OSError):
-        t.snapshot()
+def test_only_touched_buckets_are_rewritten(spark, scratch):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=8)
+    t.upsert(batch(spark, [(f"k{i}", "1", i, 0, i) for i in range(200)]), 0)
+    t.compact()
+    assert t._base_versions() == {k: {1} for k in range(8)} and t.written() == []
+    t.upsert(batch(spark, [("k5", "2", 900, 0, 900)]), 1)
+    t.compact()
+    versions = sorted(v for vs in t._base_versions().values() for v in vs)
+    assert versions == [1] * 7 + [2]
+    assert dict(view(t))["k5"] == "2" and len(view(t)) == 200
+
+
+def test_folders_stay_few_over_many_batches(spark, scratch):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], buckets=2)
+    for b in range(12):
+        t.upsert(batch(spark, [(f"k{b % 3}", str(b), b, 0, b)]), b, "w")
+        if b % 4 == 3:
+            t.compact()
+    assert t.written() == [] and all(len(v) == 1 for v in t._base_versions().values())
+    assert view(t) == [("k0", "9"), ("k1", "10"), ("k2", "11")]
+
+
+def test_history_goes_back(spark, scratch):
+    t = KeyedTable(spark, scratch, "id", ["timestamp", "partition", "offset"], history=True)
+    t.upsert(batch(spark, [("a", "1", 1, 0, 0)]), 0, "x/1")
+    t.upsert(batch(spark, [("a", "2", 2, 0, 1)]), 1, "12")
+    t.compact()  # keeps what it has
+    assert sorted(t.written()) == [(0, "x/1"), (1, "12")]
+    assert [r.v for r in t.snapshot(before=1).collect()] == ["1"] and t.snapshot(before=0) is None
+    with pytest.raises(ValueError):
+        KeyedTable(spark, scratch, "id", ["timestamp"]).snapshot(before=1)

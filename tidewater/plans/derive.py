@@ -21,6 +21,8 @@ from tidewater.schemas import DEFAULT_TOPIC, MESSAGE_KEYS
 TOPIC_PARTITIONS = 4          # events are spread over 4 topic partitions by user
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 EVENT_MESSAGE_KEYS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+DELAY_SECONDS = 3 * 86_400    # messages arrive up to three days after they were made
+DELAY_STEP = 7919             # by this many seconds per number
 # ---------------------------------------------------------------------------
 
 
@@ -194,3 +196,14 @@ def event_log_lines(events: DataFrame) -> DataFrame:
         "latency": latency,
     })
     return events.select(line.alias("value"))
+
+
+def arriving_slices(rows: DataFrame, ts: str, number: str, slices: int) -> list[DataFrame]:
+    """`rows` as they arrive: each up to `DELAY_SECONDS` after its time, by its
+    number; cut into `slices` equal stretches of arrival time.  Rows without a
+    time or number arrive first."""
+    at = F.unix_micros(ts) + F.pmod(F.col(number) * DELAY_STEP, F.lit(DELAY_SECONDS)) * 1_000_000
+    timed = rows.withColumn("_at", at)
+    lo, hi = timed.agg(F.min("_at"), F.max("_at")).first()
+    part = F.coalesce(F.call_function("div", (F.col("_at") - F.lit(lo or 0)) * slices, F.lit((hi or 0) - (lo or 0) + 1)), F.lit(0))
+    return [timed.where(part == k).drop("_at") for k in range(slices)]

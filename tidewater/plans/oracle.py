@@ -199,14 +199,14 @@ ORACLE["sample_limit"] = f"""
 
 
 # --- run statistics: the plain per-run window formulation --------------------
-def _run_stats(limit: int, duration_s: int | None) -> str:
+def _run_stats(limit: int, duration_s: int | None, events: str = "events") -> str:
     keep = "TRUE" if duration_s is None else (
         f"ts < min(ts) OVER (PARTITION BY user_id) + INTERVAL {duration_s} SECOND")
     return f"""
         WITH a0 AS (
           SELECT user_id AS run_id, event_id AS seq, ts, event_type <> 'error' AS ok,
                  {keep} AS inside
-          FROM events),
+          FROM {events}),
         a AS (SELECT * FROM a0 WHERE inside),
         b AS (
           SELECT *, CASE WHEN ok THEN 0 ELSE 1 END AS err,
@@ -351,3 +351,37 @@ ORACLE["dead_letters"] = f"""
       FROM u)
     SELECT {_PART} AS "partition", event_id AS "offset", raw, reject_reason
     FROM p WHERE raw IS NOT NULL"""
+
+
+# --- streams that arrive late ------------------------------------------------
+ORACLE["run_stats_late"] = ORACLE["run_stats"]
+# An attempt is late when, as its slice arrives, the watermark (the newest time of
+# the slices before, less 12 hours, in milliseconds) has passed the end of its day.
+_SLICED = """
+    SELECT *, max(ms) OVER (ORDER BY slice RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 12 * 3600000 AS watermark
+    FROM (SELECT *, epoch_us(ts) // 1000 AS ms, (arrival - min(arrival) OVER ()) * 2
+                 // (max(arrival) OVER () - min(arrival) OVER () + 1) AS slice
+          FROM (SELECT *, epoch_us(ts) + (event_id * 7919 % 259200) * 1000000 AS arrival FROM events))"""
+_TIMED = f"SELECT *, coalesce((ms // 86400000 + 1) * 86400000 <= watermark, false) AS is_late FROM ({_SLICED})"
+ORACLE["late_attempts"] = f"""
+    WITH t AS ({_TIMED}),
+    s AS ({_run_stats(3, None, "(SELECT * FROM t WHERE NOT is_late)")})
+    SELECT run_id, arrived, late, messages_sent, errors, longest_streak, stopped
+    FROM (SELECT user_id AS run_id, COUNT(*) AS arrived, COUNT(*) FILTER (WHERE is_late) AS late FROM t GROUP BY 1)
+    LEFT JOIN s USING (run_id)"""
+ORACLE["dedup_stream"] = f"""
+    SELECT d.id, d."offset", e.event_type FROM ({ORACLE['derived_id']}) d JOIN events e ON d."offset" = e.event_id"""
+ORACLE["attempt_sessions"] = """
+    WITH a AS (
+      SELECT user_id AS run_id, ts, event_type <> 'error' AS ok,
+             CASE WHEN ts <= lag(ts) OVER w + INTERVAL 36 HOUR THEN 0 ELSE 1 END AS opens
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    s AS (SELECT *, SUM(opens) OVER (PARTITION BY run_id ORDER BY ts) AS session FROM a)
+    SELECT run_id, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) AS last_us, COUNT(*) AS attempts,
+           COUNT(*) FILTER (WHERE ok) AS messages_sent, COUNT(*) FILTER (WHERE NOT ok) AS errors
+    FROM s GROUP BY run_id, session"""
+ORACLE["publish_confirmed"] = """
+    SELECT user_id AS run_id, event_id AS seq,
+           event_type <> 'error' AND CAST(floor(value * 200000) AS BIGINT) BETWEEN 0 AND 10000000 AS ok
+    FROM events"""
+ORACLE["word_count_state"] = ORACLE["word_count"]

@@ -131,7 +131,7 @@ def sample_limit(spark, sf_dir):
 # --- fixed values: run limits used on the events table ----------------------
 RUN_LIMITS = RunLimits(max_errors=3, duration_seconds=86_400)
 RUN_LIMITED_DURATION_SECONDS = 7 * 86_400
-STREAM_FILES = 4  # landing files replayed one per micro-batch
+ARRIVALS = 4  # how often rows arrive; the query runs once after each
 # ---------------------------------------------------------------------------
 
 
@@ -173,46 +173,56 @@ def daily_anomaly(spark, sf_dir):
 
 
 def keyed_stream_upsert(spark, sf_dir):
-    """U1, T1, T2, T4, T5, S1f, X2: user messages (some faulty) stored as
-    envelope files, replayed one file per micro-batch through the ingest
-    query into a keyed table and a dead-letter folder; result = the
-    table's current view."""
+    """U1, T1, T2, T4, T5, S1f, X2: user messages (some faulty) arrive as
+    envelope files; after each arrival the ingest query runs once into a
+    keyed table (compacted on the way) and a dead-letter folder; result =
+    the table's current view."""
     from tidewater.session import scratch_path
     from tidewater.sinks.keyed_table import KeyedTable
-    from tidewater.sources.replay import read_envelopes, write_envelopes
+    from tidewater.sources.replay import read_envelopes
     from tidewater.streaming.ingest import start_ingest
 
     root = scratch_path(spark, "keyed_stream_upsert")
     env = derive.events_envelope(table(spark, sf_dir, "events"), derive.mixed_user_message())
-    write_envelopes(env, f"{root}/landing", files=STREAM_FILES)
-    stream = read_envelopes(spark, f"{root}/landing", streaming=True, max_files_per_trigger=1)
     users = KeyedTable(spark, f"{root}/table", key="id", order=["timestamp", "partition", "offset"])
-    q = start_ingest(stream, users, f"{root}/dead_letters", f"{root}/checkpoint",
-                     available_now=True)
-    q.awaitTermination()
+
+    def run_once():
+        stream = read_envelopes(spark, f"{root}/landing", streaming=True)
+        start_ingest(stream, users, f"{root}/dead_letters", f"{root}/checkpoint", available_now=True,
+                     compact_every=3).awaitTermination()
+
+    _arrive_in_parts(env, "offset", f"{root}/landing", run_once)
     return users.current().select(*USER_V1_COLUMNS)
 
 
 def word_count_stream(spark, sf_dir):
     """Streaming word count in update mode into a keyed table
-    (key = word, newest count wins), documents replayed over 4 batches."""
+    (key = word, newest count wins), documents arrive in four parts."""
     from tidewater.session import scratch_path
     from tidewater.streaming.wordcount import start_word_count, word_count_table
 
     root = scratch_path(spark, "word_count_stream")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs.repartitionByRange(STREAM_FILES, "doc_id").write.parquet(f"{root}/landing")
-    lines = (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", "1")
-             .parquet(f"{root}/landing"))
     counts = word_count_table(spark, f"{root}/table")
-    q = start_word_count(lines, counts, f"{root}/checkpoint", text_col="text",
-                         available_now=True,
-                         partitions=spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
+
+    def run_once():
+        lines = spark.readStream.schema(docs.schema).parquet(f"{root}/landing")
+        start_word_count(lines, counts, f"{root}/checkpoint", text_col="text", available_now=True,
+                         partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+
+    _arrive_in_parts(docs, "doc_id", f"{root}/landing", run_once)
     return counts.current().select("word", "count")
 
 
-def _arrive_in_slices(df: DataFrame, path: str, run_once, slices: int = STREAM_FILES) -> None:
+def _arrive_in_parts(df: DataFrame, number: str, path: str, run_once, parts: int = ARRIVALS) -> None:
+    """Append `df` to `path` in `parts` parts dealt by `number`, each in the files
+    that the reader's own splits make, running `run_once()` after each."""
+    for k in range(parts):
+        df.where(F.pmod(F.xxhash64(number), F.lit(parts)) == k).write.mode("append").parquet(path)
+        run_once()
+
+
+def _arrive_in_slices(df: DataFrame, path: str, run_once, slices: int = ARRIVALS) -> None:
     """Append `df` to `path` in `slices` time-ordered slices (cut at
     approximate quantiles of `ts`; rows without one come first), running `run_once()` after each, as if
     the data arrived in that order."""
@@ -332,7 +342,7 @@ def keyed_two_writers(spark, sf_dir):
     users.upsert(part(kind == "purchase"), 0, "first")
     users.upsert(part(kind == "view"), 0, "second")
     users.compact()
-    users.upsert(part(~kind.isin("purchase", "view")))
+    users.upsert(part(~F.coalesce(kind.isin("purchase", "view"), F.lit(False))))
     return users.current().select(*USER_V1_COLUMNS)
 
 
@@ -374,7 +384,161 @@ def catalog_target(spark, sf_dir):
     return read_table(spark, f"{target.schema}.{target.table}", ["id", "first_name", "last_name", "email"])
 
 
+# --- fixed values: streams that arrive late ------------------------------------
+LATE_SLICES = 2                      # the query runs once after each arrival
+WEEK_SECONDS, DAY_SECONDS = 7 * 86_400, 86_400
+SHORT_LATENESS_HOURS = 12            # too short for some attempts
+SESSION_GAP_HOURS = 36
+# ---------------------------------------------------------------------------
+
+
+def _utc_attempts(spark, sf_dir):
+    attempts = runs.attempts_from_events(table(spark, sf_dir, "events"))
+    return attempts.withColumn("ts", anomaly.utc_instant("ts"))
+
+
+def _after_all(rows: DataFrame, ts: str = "ts"):
+    """A time far enough behind all of `rows` to close every slot and session."""
+    from datetime import timedelta
+
+    return rows.agg(F.max(ts)).first()[0] + timedelta(days=60)
+
+
+def _late_runs(spark, sf_dir, name, slot_seconds, lateness):
+    """Attempts arrive delayed and out of order; a heartbeat comes with the last."""
+    from tidewater.schemas import ATTEMPTS
+    from tidewater.session import scratch_path
+    from tidewater.streaming.late_runs import heartbeats, start_late_run_stats
+
+    root = scratch_path(spark, name)
+    attempts = _utc_attempts(spark, sf_dir)
+    parts = derive.arriving_slices(attempts, "ts", "seq", LATE_SLICES)
+    parts[-1] = parts[-1].unionByName(heartbeats(spark, [_after_all(attempts)]))
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(ATTEMPTS).parquet(f"{root}/landing")
+        start_late_run_stats(stream, f"{root}/out", f"{root}/checkpoint", RUN_LIMITS.max_errors, slot_seconds, lateness,
+                             available_now=True, partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return attempts, f"{root}/out"
+
+
+def run_stats_late(spark, sf_dir):
+    """A4 as state per run: attempts up to three days late and out of order wait
+    in slots until the watermark has passed; the result is that of all attempts."""
+    from tidewater.streaming.late_runs import late_run_stats_view
+
+    _, out = _late_runs(spark, sf_dir, "run_stats_late", WEEK_SECONDS, "3 days")
+    return late_run_stats_view(spark, out, RUN_LIMITS.max_errors)
+
+
+def late_attempts(spark, sf_dir):
+    """Late data: the same with a watermark too short for some attempts.  Per run:
+    the statistics of what came in time, and how many came too late;
+    counted + late = arrived."""
+    from tidewater.streaming.late_runs import late_run_stats_view, rejected_attempts
+
+    attempts, out = _late_runs(spark, sf_dir, "late_attempts", DAY_SECONDS, f"{SHORT_LATENESS_HOURS} hours")
+    stats = late_run_stats_view(spark, out, RUN_LIMITS.max_errors)
+    late = rejected_attempts(spark, out).where("reason = 'late'").groupBy("run_id").agg(F.count(F.lit(1)).alias("late"))
+    arrived = attempts.groupBy("run_id").agg(F.count(F.lit(1)).alias("arrived"))
+    return (arrived.join(stats, "run_id", "left").join(late, "run_id", "left")
+            .select("run_id", "arrived", F.coalesce("late", F.lit(0)).alias("late"), "messages_sent", "errors",
+                    "longest_streak", "stopped"))
+
+
+def dedup_stream(spark, sf_dir):
+    """F8, streaming: every message is delivered twice, the second time up to three
+    days later; the copies are recognised by the derived id."""
+    from tidewater.schemas import ENVELOPE
+    from tidewater.session import scratch_path
+    from tidewater.streaming.dedup import start_dedup
+
+    root = scratch_path(spark, "dedup_stream")
+    events = table(spark, sf_dir, "events").withColumn("ts", anomaly.utc_instant("ts"))
+    env = derive.events_envelope(events, F.col("event_type")).select(*ENVELOPE.fieldNames())
+    once, again = (derive.arriving_slices(env, "timestamp", n, LATE_SLICES) for n in ("timestampType", "offset"))
+    for part, copies in zip(once, again):
+        part.unionByName(copies).write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(ENVELOPE).parquet(f"{root}/landing")
+        start_dedup(stream, f"{root}/out", f"{root}/checkpoint", "4 days", available_now=True,
+                    partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.select(F.col("message_id").alias("id"), "offset", F.decode("value", "UTF-8").alias("event_type"))
+
+
+def attempt_sessions(spark, sf_dir):
+    """Session windows over attempts that arrive late and out of order: the runs of a
+    user when no run id is given."""
+    from tidewater.schemas import ATTEMPTS
+    from tidewater.session import scratch_path
+    from tidewater.streaming.late_runs import heartbeats
+    from tidewater.streaming.sessions import start_sessions
+
+    root = scratch_path(spark, "attempt_sessions")
+    attempts = _utc_attempts(spark, sf_dir)
+    parts = derive.arriving_slices(attempts, "ts", "seq", LATE_SLICES)
+    parts[-1] = parts[-1].unionByName(heartbeats(spark, [_after_all(attempts)]))
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(ATTEMPTS).parquet(f"{root}/landing")
+        start_sessions(stream, f"{root}/out", f"{root}/checkpoint", f"{SESSION_GAP_HOURS} hours", "3 days",
+                       available_now=True, partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    rows = spark.read.parquet(f"{root}/out").where("run_id is not null")
+    return rows.select("run_id", F.unix_micros("started").alias("started_us"), F.unix_micros("last_attempt").alias("last_us"),
+                       "attempts", "messages_sent", "errors")
+
+
+def publish_confirmed(spark, sf_dir):
+    """U3's waiting time as a stream-stream join: each attempt with the confirmation
+    that came within ten seconds; attempts without one are errors."""
+    from datetime import timedelta
+
+    from tidewater.session import scratch_path
+    from tidewater.streaming.confirm import start_confirmed
+
+    root = scratch_path(spark, "publish_confirmed")
+    attempts = _utc_attempts(spark, sf_dir)
+    events = table(spark, sf_dir, "events").where("event_type <> 'error'")
+    delay = F.floor(F.col("value") * 200_000).cast("long")  # a fifth of the value, in seconds
+    confirmations = events.select(F.col("event_id").alias("seq"), F.timestamp_micros(
+        F.unix_micros(anomaly.utc_instant("ts")) + delay).alias("confirmed_at"))
+    end = _after_all(attempts)
+    first = derive.arriving_slices(attempts.drop("ok"), "ts", "seq", LATE_SLICES)
+    second = derive.arriving_slices(confirmations, "confirmed_at", "seq", LATE_SLICES)
+    # heartbeats; an inner side's rows without a key never reach its watermark, so that one has a number
+    first[-1] = first[-1].unionByName(spark.createDataFrame([(None, None, end)], first[-1].schema))
+    second[-1] = second[-1].unionByName(spark.createDataFrame([(-1, end + timedelta(days=1))], second[-1].schema))
+    for a, c in zip(first, second):
+        a.write.mode("append").parquet(f"{root}/attempts")
+        c.write.mode("append").parquet(f"{root}/confirmations")
+        start_confirmed(spark.readStream.schema(a.schema).parquet(f"{root}/attempts"),
+                        spark.readStream.schema(c.schema).parquet(f"{root}/confirmations"), f"{root}/out",
+                        f"{root}/checkpoint", lateness="11 days", available_now=True,
+                        partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return spark.read.parquet(f"{root}/out").where("seq is not null").select("run_id", "seq", "ok")
+
+
+def word_count_state(spark, sf_dir):
+    """The state of a finished word count, read back from its checkpoint."""
+    from tidewater.session import scratch_path
+    from tidewater.streaming.audit import state_rows
+    from tidewater.streaming.wordcount import start_word_count_complete
+
+    root = scratch_path(spark, "word_count_state")
+    docs = table(spark, sf_dir, "documents").select("text")
+    lines = spark.readStream.schema(docs.schema).parquet(f"{sf_dir.rstrip('/')}/documents.parquet*")
+    start_word_count_complete(lines, f"{root}/out", f"{root}/checkpoint", text_col="text", available_now=True,
+                              partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return state_rows(spark, f"{root}/checkpoint").select("word", "count")
+
+
 QUERIES: dict[str, Query] = {
+    "run_stats_late": run_stats_late,
+    "late_attempts": late_attempts,
+    "dedup_stream": dedup_stream,
+    "attempt_sessions": attempt_sessions,
+    "publish_confirmed": publish_confirmed,
+    "word_count_state": word_count_state,
     "dead_letters": dead_letters,
     "keyed_two_writers": keyed_two_writers,
     "publish_envelopes": publish_envelopes,

@@ -8,7 +8,8 @@ are folded, and the new summaries are upserted into a keyed state table
 run is still split across partitions within each batch.
 
 Attempts of one run must arrive in order across batches (a later batch
-holds later attempts), as they do when a producer appends them.
+holds later attempts), as they do when a producer appends them; where they do
+not, `streaming.late_runs` keeps them in Spark's state store until their time.
 
 The state also keeps each run's last `(ts, seq)`; a batch holding an
 attempt that is not after it fails with `OutOfOrderAttempts` rather than
@@ -45,7 +46,7 @@ class ConcurrentFolds(RuntimeError):
 
 
 def run_state_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, key="run_id", order=["batch"])
+    return KeyedTable(spark, path, key="run_id", order=["batch"], history=True)
 
 
 def _folds(state: KeyedTable) -> dict[int, str]:
