@@ -59,8 +59,4 @@ def zscores(counts: DataFrame, key: str = "event_type") -> DataFrame:
 
 
 def daily_zscores(df: DataFrame, ts_col: str = "ts", key: str = "event_type") -> DataFrame:
-    counts = daily_counts(df, ts_col, key)
-    w = Window.partitionBy(key)
-    mean, sd = F.avg("n").over(w), F.stddev_samp("n").over(w)
-    z = F.when(sd > 0, (F.col("n") - mean) / sd)
-    return counts.select(key, "day", "n", F.round(z, 6).cast("decimal(18,6)").alias("z"))
+    return zscores(daily_counts(df, ts_col, key), key)

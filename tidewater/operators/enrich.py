@@ -9,14 +9,17 @@ streaming fact side joined to a static dimension works unchanged
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.joins import join_dimension
 
 
 def enrich_events(events: DataFrame, customer: DataFrame, nation: DataFrame,
-                  region: DataFrame) -> DataFrame:
+                  region: DataFrame, where: Column | None = None) -> DataFrame:
+    """`where` filters the events first; on columns of a file it reaches the scan."""
+    if where is not None:
+        events = events.where(where)
     cust = customer.select("c_custkey", "c_mktsegment", "c_nationkey")
     geo = join_dimension(
         nation.select("n_nationkey", "n_name", "n_regionkey"),

@@ -385,3 +385,16 @@ ORACLE["publish_confirmed"] = """
            event_type <> 'error' AND CAST(floor(value * 200000) AS BIGINT) BETWEEN 0 AND 10000000 AS ok
     FROM events"""
 ORACLE["word_count_state"] = ORACLE["word_count"]
+ORACLE["daily_baseline_stream"] = """
+    WITH c AS (
+      SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS day, COUNT(*) AS n
+      FROM events GROUP BY 1, 2)
+    SELECT event_type, day, n,
+           CAST(round(CASE WHEN stddev_samp(n) OVER w > 0
+                 THEN (n - avg(n) OVER w) / stddev_samp(n) OVER w END, 6) AS DECIMAL(18, 6)) AS z
+    FROM c WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+ORACLE["latency_sketch"] = """
+    SELECT event_type AS function_name, COUNT(*) AS calls, COUNT(DISTINCT date_trunc('hour', ts)) AS hours, TRUE AS near
+    FROM events GROUP BY 1"""
+ORACLE["heavy_words"] = f"SELECT word, count FROM ({ORACLE['word_count']}) ORDER BY count DESC, word LIMIT 100"
+ORACLE["enrich_filtered"] = ORACLE["enrich_dim"] + " WHERE e.event_type IN ('purchase', 'signup') AND e.value >= 50"

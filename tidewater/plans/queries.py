@@ -532,7 +532,62 @@ def word_count_state(spark, sf_dir):
     return state_rows(spark, f"{root}/checkpoint").select("word", "count")
 
 
+def daily_baseline_stream(spark, sf_dir):
+    """X4 incremental: days close with the watermark and are scored against the days
+    before them, from three sums per type kept as state."""
+    from tidewater.session import scratch_path
+    from tidewater.streaming.baseline import scores_view, start_daily_scores
+
+    root = scratch_path(spark, "daily_baseline_stream")
+    events = table(spark, sf_dir, "events").select("event_type", "ts", "event_id").withColumn("at", anomaly.utc_instant("ts"))
+    parts = [p.select("event_type", "ts") for p in derive.arriving_slices(events, "at", "event_id", LATE_SLICES)]
+    # the newest day's own window never closes, so a far event only moves the watermark
+    far = spark.createDataFrame([("", _after_all(events))], parts[-1].schema)
+    parts[-1] = parts[-1].unionByName(far)
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/landing")
+        start_daily_scores(spark.readStream.schema(part.schema).parquet(f"{root}/landing"), f"{root}/out",
+                           f"{root}/checkpoint", lateness="4 days", available_now=True,
+                           partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return scores_view(spark.read.parquet(f"{root}/out"))
+
+
+def latency_sketch(spark, sf_dir):
+    """A6 mergeable: KLL sketches per function and hour, merged on read.  `near` says
+    that the merged median's rank is within the sketch's error of a half."""
+    from tidewater.operators import sketches
+
+    parsed = logs.parse_logs(derive.event_log_lines(table(spark, sf_dir, "events")))
+    merged = sketches.merged_sketches(sketches.latency_sketches(parsed), "function_name")
+    medians = sketches.quantiles(merged, p50=0.5).select("function_name", "calls", "parts", "p50")
+    ranks = parsed.select("function_name", "latency_s").join(medians, "function_name").groupBy("function_name").agg(
+        F.first("calls").alias("calls"), F.first("parts").alias("hours"),
+        F.sum(F.when(F.col("latency_s") < F.col("p50"), 1).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("latency_s") <= F.col("p50"), 1).otherwise(0)).alias("upto"))
+    e = 2 * sketches.RANK_ERROR  # an interval that holds the true median's rank has two sides
+    near = (F.col("below") <= (0.5 + e) * F.col("calls")) & (F.col("upto") >= (0.5 - e) * F.col("calls"))
+    return ranks.select("function_name", "calls", "hours", near.alias("near"))
+
+
+def heavy_words(spark, sf_dir):
+    """A1 without growing state: the 100 most frequent words from a bounded summary."""
+    from tidewater.operators import sketches
+
+    return sketches.heavy_words(table(spark, sf_dir, "documents"), "text", 100)
+
+
+def enrich_filtered(spark, sf_dir):
+    """X3, filter and enrichment: large purchases and sign-ups with their dimensions."""
+    t = lambda n: table(spark, sf_dir, n)
+    wanted = F.col("event_type").isin("purchase", "signup") & (F.col("value") >= 50)
+    return enrich.enrich_events(t("events"), t("customer"), t("nation"), t("region"), wanted)
+
+
 QUERIES: dict[str, Query] = {
+    "daily_baseline_stream": daily_baseline_stream,
+    "latency_sketch": latency_sketch,
+    "heavy_words": heavy_words,
+    "enrich_filtered": enrich_filtered,
     "run_stats_late": run_stats_late,
     "late_attempts": late_attempts,
     "dedup_stream": dedup_stream,

@@ -44,7 +44,7 @@ def trigger_options(available_now: bool = False, interval: str | None = None) ->
         return {"availableNow": True}
     if interval:
         return {"processingTime": interval}
-    return {}  # default: next batch as soon as the last one ends
+    return {"processingTime": "0 seconds"}  # Spark's default: next batch as soon as the last one ends
 
 
 def start_ingest(envelopes: DataFrame, table: KeyedTable, dead_letter_path: str,
