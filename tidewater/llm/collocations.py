@@ -51,7 +51,8 @@ GAP[[0x20, 0x09]] = True
 
 TEXT_BYTES = 2 << 20    # text bytes tokenised at once
 SHARD_WORDS = 2 << 20   # words of the corpus for one shard of merged filters
-TASK_PHRASES = 3 << 19  # phrases that a task gathers before it counts them
+TASK_PHRASES = 1 << 20  # phrases that a task gathers before it counts them
+RANK_SALTS = 64
 UNKNOWN_LANG = "und"
 
 
@@ -363,6 +364,13 @@ def _score(a, left, right):
     return F.call_function("div", top, under)
 
 
+def _best(rows: DataFrame, top: int, *by) -> DataFrame:
+    """The first `top` rows of each group with their rank.  A language with a third
+    of all phrases is ranked within salts first, so few of its rows meet in one task."""
+    order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
 def collocations(docs: DataFrame, least: int = 10, top: int = 2000, inside_percent: int = 50) -> DataFrame:
     """Phrases of 2 to 3 words per language by how much more often their words stand
     together than apart: lang, rank, phrase, a, l, r, n, score.  A phrase that lies in
@@ -385,7 +393,6 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, inside_perce
     alone = pairs.join(longer, ["i1", "i2"], "left").where(
         F.col("_longer").isNull() | (100 * F.col("_longer") < inside_percent * F.col("a")))
     rows = alone.select("lang", "phrase", "a", "l", "r").unionByName(triple_rows).withColumn("score", _score("a", "l", "r"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = _best(_best(rows, top, "lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SALTS))), top, "lang")
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return best.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
