@@ -210,3 +210,52 @@ def test_repeated_ids_do_not_fill_the_sample(spark):
     assert len(got) == len(set(got)) == toxicity.ROWS_PER_ID + 2
     assert {r for r in got if r[0] > 1} == {(2, "two", 0, 2), (3, "", 0, 4)}
     assert {r[2:] for r in got if r[0] == 1} == {(1, 1)}
+
+
+def thue_morse(n, flip):
+    return [(bin(i).count("1") + flip) % 2 for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def flags():
+    """Two documents that differ in every n-th word or byte by the pattern that a
+    polynomial modulo 2**64 cannot see."""
+    import random
+    r = random.Random(9)
+    filler = [f"w{r.randrange(10 ** 9)}" for _ in range(2048 * 12)]
+    plain = [r.randbytes(99).hex() for _ in range(2048)]
+
+    def by_words(n):
+        return [" ".join(w for i, f in enumerate(thue_morse(2048, x)) for w in [("yes", "no")[f], *filler[i * (n - 1):(i + 1) * (n - 1)]])
+                for x in (0, 1)]
+    return {"5": by_words(5), "13": by_words(13),
+            "199": ["".join("yn"[f] + t for f, t in zip(thue_morse(2048, x), plain)) for x in (0, 1)],
+            "word": ["a b c d " + "".join("yn"[f] for f in thue_morse(4096, x)) + " e f g h i j k l m" for x in (0, 1)]}
+
+
+def pair(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+
+
+def test_different_word_sequences_are_not_merged(spark, flags):
+    got = rows(ngram_join.ngram_groups(pair(spark, flags["5"])).select("doc_id", "n_shingles", "component_id"))
+    assert got == brute.ngram_rows(list(enumerate(flags["5"], 1))) and [r[2] for r in got] == [1, 2]
+
+
+@pytest.mark.parametrize("which", ["13", "word"])
+def test_different_word_sequences_keep_their_words(spark, flags, which):
+    got = rows(phrase_dedup.dedup_rows(pair(spark, flags[which])))
+    assert got == brute.phrase_rows(list(enumerate(flags[which], 1))) and [r[2] for r in got] == [0, 0]
+
+
+def test_different_texts_keep_their_bytes(spark, flags):
+    got = rows(suffix_dedup.dedup_rows(pair(spark, flags["199"])))
+    assert [r[:4] for r in got] == [(i, 199 * 2048, 0, 0) for i in (1, 2)]
+
+
+def test_long_words_are_told_apart(flags):
+    import pyarrow as pa
+    from tidewater.llm.common import text_batches
+    (_, _, b), = text_batches(pa.array([t.split()[4] for t in flags["word"]]))
+    start, end, _ = b.words()
+    assert len(set(b.word_hashes(start, end).tolist())) == 2

@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import gc
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -91,6 +92,10 @@ class Rolling:
     """Hashes of any slice of a byte or word buffer from one running sum.
 
     H(s, e) = sum(table[x_k] * B**(k-s)) modulo 2**64 for odd B, then mixed.
+
+    Only for slices of bounded length: from 2,048 values on, sequences that differ
+    in the Thue-Morse pattern have one hash whatever the table and base are.  Whole
+    texts and word sequences are named by `digests`, long words as well.
     """
 
     _powers: dict = {}
@@ -135,6 +140,15 @@ def _power_table(base: int, n: int) -> np.ndarray:
 
 
 WORD_HASH = Rolling(11)
+LONG_WORD = 256  # bytes from which on a word is named by its digest
+
+
+def digests(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of a cryptographic digest of each slice of a buffer."""
+    raw = np.ascontiguousarray(values).view(np.uint8).data
+    w = values.dtype.itemsize
+    return np.frombuffer(b"".join([hashlib.blake2b(raw[s * w:e * w], digest_size=8).digest()
+                                   for s, e in zip(start.tolist(), end.tolist())]), U64)
 
 
 class Batch:
@@ -170,7 +184,11 @@ class Batch:
         return start, end, np.searchsorted(self.offs, start, "right") - 1
 
     def word_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return WORD_HASH.slices(WORD_HASH.sums(self.data), start, end)
+        out = WORD_HASH.slices(WORD_HASH.sums(self.data), start, end)
+        long = np.flatnonzero(end - start >= LONG_WORD)
+        if len(long):
+            out[long] = digests(self.data, start[long], end[long])
+        return out
 
 
 def text_batches(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Batch]]:

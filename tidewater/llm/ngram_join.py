@@ -19,8 +19,9 @@ Defined results: words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; a text
 one to four words is one shingle; null text or a text without words has no
 shingles and links with nothing (its component is its own doc_id); the component
 of a group is its smallest doc_id that is not null; repeated rows are copies; an
-empty table gives an empty table; other columns are not read.  Equality of
-shingles and of word sequences is that of 64-bit hashes.
+empty table gives an empty table; other columns are not read; long texts are read
+whole.  Equality of shingles is that of 64-bit hashes, equality of word sequences that
+of 64 bits of a cryptographic digest.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, hash_bitmap, mix, saved, signed,
+from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, digests, hash_bitmap, mix, saved, signed,
                                   text_batches, windows_of)
 from tidewater.llm.components import components
 
@@ -53,10 +54,11 @@ def shingle_sets(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     number of shingles and the hash of its word sequence."""
     low = batch.lowered()
     start, end, doc = low.words()
-    sums = SHINGLE_HASH.sums(low.word_hashes(start, end))
+    words = low.word_hashes(start, end)
+    sums = SHINGLE_HASH.sums(words)
     n_words = np.bincount(doc, minlength=low.n)
     first = np.concatenate(([0], np.cumsum(n_words)))
-    whole = SHINGLE_HASH.slices(sums, first[:-1], first[1:]) + n_words.astype(U64)
+    whole = digests(words, first[:-1], first[1:])
     at = windows_of(doc, WORDS)
     short = np.flatnonzero((n_words > 0) & (n_words < WORDS))
     h = np.concatenate((SHINGLE_HASH.slices(sums, at, at + WORDS), whole[short]))

@@ -25,9 +25,9 @@ are removed as a whole when they hold a window.
 Defined results: words are `[^\\x20\\x09-\\x0D]+`, unchanged; null text has no
 words; a null doc_id is not smaller than any and loses nothing; rows that share a
 doc_id do not remove each other's words; documents of under WINDOW words keep
-all; an empty table gives an empty table; only doc_id and text are read.  Word
-sequences, and seeds, are equal when their 64-bit hashes are; phrases are
-compared as text.
+all; an empty table gives an empty table; only doc_id and text are read; long texts
+are read whole.  Word sequences are equal when 64 bits of a cryptographic digest are,
+seeds when their 64-bit hashes are; phrases are compared as text.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, hash_bitmap, mix, saved, signed, text_batches,
+from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, digests, hash_bitmap, saved, signed, text_batches,
                                   windows_of)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -64,12 +64,13 @@ class Words:
     def __init__(self, batch: Batch):
         self.batch = batch
         self.start, self.end, self.doc = batch.words()
-        self.sums = SEQUENCE.sums(batch.word_hashes(self.start, self.end))
+        self.hashes = batch.word_hashes(self.start, self.end)
+        self.sums = SEQUENCE.sums(self.hashes)
         self.count = np.bincount(self.doc, minlength=batch.n)
         self.first = np.concatenate(([0], np.cumsum(self.count)))
 
     def keys(self) -> np.ndarray:
-        return mix(SEQUENCE.slices(self.sums, self.first[:-1], self.first[1:]) + self.count.astype(U64))
+        return digests(self.hashes, self.first[:-1], self.first[1:])
 
     def chosen(self) -> dict | None:
         """Seeds of all windows: `seed`, `doc`, and the words from..to (behind

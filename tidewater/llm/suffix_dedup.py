@@ -23,8 +23,9 @@ Defined results: null text is empty; matches never cross texts, nor cut a text
 short; overlapping occurrences count; a text of under WINDOW bytes keeps all its
 bytes; a text that occurs again as a whole (WINDOW bytes or more) is removed as a
 whole; repeated rows are texts of their own; a null doc_id stays null; an empty
-table gives an empty table; only doc_id and text are read.  Texts and strings are
-equal when their 64-bit fingerprints are (two independent ones for strings).
+table gives an empty table; only doc_id and text are read; long texts are read whole.  Texts are equal
+when 64 bits of a cryptographic digest are, strings when two independent 64-bit
+fingerprints are.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, hash_bitmap, mix, saved, signed, text_batches,
+from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, digests, hash_bitmap, mix, saved, signed, text_batches,
                                   xxhash64)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -53,8 +54,7 @@ SPAN = Rolling(37)
 
 
 def text_keys(batch: Batch) -> np.ndarray:
-    sums = SPAN.sums(batch.data)
-    return mix(SPAN.slices(sums, batch.offs[:-1], batch.offs[1:]) + np.diff(batch.offs).astype(U64))
+    return digests(batch.data, batch.offs[:-1], batch.offs[1:])
 
 
 def position_keys(text_key: np.ndarray, at: np.ndarray) -> np.ndarray:
