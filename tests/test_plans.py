@@ -49,7 +49,8 @@ def test_no_filter_reevaluates_a_parse(spark):
     # A filter on a parse output gets pushed under the parse projection and
     # parses again (inside each CASE branch); every query must avoid it.
     streaming = {"keyed_stream_upsert", "word_count_stream", "run_stats_stream", "daily_counts_stream",
-                 "profile_landing_stream"}
+                 "profile_landing_stream", "run_stats_late", "late_attempts", "dedup_stream", "attempt_sessions",
+                 "publish_confirmed", "daily_baseline_stream"}
     from tidewater.plans.queries import QUERIES
 
     for name, fn in QUERIES.items():

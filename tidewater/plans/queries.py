@@ -559,8 +559,10 @@ def latency_sketch(spark, sf_dir):
 
     parsed = logs.parse_logs(derive.event_log_lines(table(spark, sf_dir, "events")))
     merged = sketches.merged_sketches(sketches.latency_sketches(parsed), "function_name")
-    medians = sketches.quantiles(merged, p50=0.5).select("function_name", "calls", "parts", "p50")
-    ranks = parsed.select("function_name", "latency_s").join(medians, "function_name").groupBy("function_name").agg(
+    medians = sketches.quantiles(merged, p50=0.5).select(F.col("function_name").alias("_fn"), "calls", "parts", "p50")
+    # null-safe: a plain join would filter for a name below the parse, and parse twice
+    same = F.col("function_name").eqNullSafe(F.col("_fn"))
+    ranks = parsed.select("function_name", "latency_s").join(medians, same).groupBy("function_name").agg(
         F.first("calls").alias("calls"), F.first("parts").alias("hours"),
         F.sum(F.when(F.col("latency_s") < F.col("p50"), 1).otherwise(0)).alias("below"),
         F.sum(F.when(F.col("latency_s") <= F.col("p50"), 1).otherwise(0)).alias("upto"))
