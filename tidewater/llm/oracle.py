@@ -167,9 +167,42 @@ _OP13 = """
     FROM own_sums o JOIN sums USING (k) LEFT JOIN node p ON o.depth > 0 AND p.k = o.k[:o.depth - 1]"""
 
 
+_WORDS = """SELECT row_number() OVER () AS r, doc_id,
+             list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents"""
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# words hold no blank, so words joined by one are their sequence
+_OP4 = f"""
+    WITH RECURSIVE w AS ({_WORDS.format(text=_LOWERED)}),
+    s AS (
+      SELECT DISTINCT r, k FROM (
+        SELECT r, array_to_string(ws[i:i + 4], ' ') AS k FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)
+        UNION ALL SELECT r, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4)),
+    n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+    shared AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.r < b.r GROUP BY ALL),
+    link AS (SELECT a, b FROM shared JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (SELECT r, r AS other FROM w UNION SELECT reach.r, b FROM reach JOIN ways ON a = other),
+    least AS (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN w ON w.r = other GROUP BY reach.r)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+    FROM w JOIN least USING (r) LEFT JOIN n USING (r)"""
+_OP10 = f"""
+    WITH w AS ({_WORDS.format(text="coalesce(text, '')")}),
+    win AS (SELECT r, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
+            FROM (SELECT *, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+    first AS (SELECT k, min(doc_id) AS f FROM win GROUP BY k),
+    gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM win JOIN first USING (k) WHERE f < doc_id),
+    word AS (SELECT r, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w),
+    kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (r)"""
+
+
 ORACLE: dict[str, str] = {
+    "op4_ngram_jaccard_join": _OP4,
     "op5_quality_divergence": quality_sql(),
     "op9_license_sentences": _licenses(),
+    "op10_phrase_automata": _OP10,
     "op11_collocation_filters": _OP11,
     "op12_url_digests": _OP12,
     "op13_prefix_trie": _OP13,
