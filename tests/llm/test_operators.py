@@ -1,5 +1,7 @@
 """Each operator on odd rows and on an empty table, against brute force."""
 
+import random
+
 import numpy as np
 import pytest
 import public_tokenizers as P
@@ -259,3 +261,16 @@ def test_long_words_are_told_apart(flags):
     (_, _, b), = text_batches(pa.array([t.split()[4] for t in flags["word"]]))
     start, end, _ = b.words()
     assert len(set(b.word_hashes(start, end).tolist())) == 2
+
+
+def test_words_by_letters_equal_the_tokenizer():
+    r = random.Random(3)
+    letters = "abcdefgABCDEFGéÉßÿÀñstlmvre'"
+    words = ["".join(r.choice(letters) for _ in range(r.randrange(1, 12))) + r.choice(["", "", *packing.ENDS, ".,", "7", "\u0301", "\u4e2d"])
+             for _ in range(4000)]
+    texts = [" ".join(words[i:i + 9]) for i in range(0, len(words), 9)] + ["", "a\u3000b. c\u00a0d,", "\ufb01x. \u0130a \u212a!"]
+    encoder = packing.Encoder(WORDS)
+    assert encoder.letters
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):  # the second time from the kept words
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(texts)] == want

@@ -23,6 +23,7 @@ import os
 import re
 import sys
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import U64, mix, text_batches, worker_cache
+from tidewater.llm.common import U64, mix, saved, text_batches, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -40,11 +41,11 @@ DIMENSIONS = 4
 KEY_BITS = 15  # bits of each coordinate: 60 in the key
 CACHED_WORDS = 800_000
 CACHED_WORD_CHARS = 48
+ENDS = ".,;:!?"
 PARTITION_SHIFT = 40  # sequence_id = partition << 40 | number in the partition
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
-
 def project(word_hash: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     """DIMENSIONS coordinates in [-1, 1] per document: every word votes with a
     sign bit of its hash, divided by the number of words."""
@@ -111,6 +112,24 @@ class Encoder:
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         blanks = [c for c in map(chr, range(0x3001)) if c.isspace()]
         self.odd = [c for c in blanks if ids(f"!{c}!") != ids("!") * 2]
+        self.letters = self._letters()
+        self.plain = re.compile("[" + "".join(map(chr, self.letters)) + "]+").fullmatch if self.letters else lambda w: None
+        self.marks = {c: np.asarray(ids(c), "<u4").tobytes() for c in ENDS} if self.letters else {}
+
+    def _letters(self) -> dict:
+        """How the tokenizer spells the letters of ASCII and Latin-1 for its merges;
+        empty where it does not treat them one by one or keeps end marks with them."""
+        letters = "".join(c for c in map(chr, range(0x100)) if c.isalpha() and c.lower() != c.upper() and len(c.upper()) == 1)
+        norm, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if norm is None or cut is None or any(t.isalpha() for t in self.added):
+            return {}
+        spell = {ord(c): "".join(p for p, _ in cut.pre_tokenize_str(norm.normalize_str(c))) for c in letters}
+        for probe in (letters, letters[::-1]):
+            pieces = [p for p, _ in cut.pre_tokenize_str(norm.normalize_str(probe))]
+            if pieces != [probe.translate(spell)] or any(
+                    [p for p, _ in cut.pre_tokenize_str(norm.normalize_str(probe + c))] != [*pieces, c] for c in ENDS):
+                return {}
+        return spell
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -135,25 +154,44 @@ class Encoder:
         what that is, the words of the pattern."""
         return _WORD.findall(text) if any(c in text for c in self.odd) else text.split()
 
+    def _spelled(self, words: list) -> dict:
+        """Ids of words of plain letters, straight from the merges: `letters` gives
+        each as the tokenizer spells it for them."""
+        tokens, spell = self.tokenizer.model.tokenize, self.letters
+        return {w: np.asarray([t.id for t in tokens(w.translate(spell))], "<u4").tobytes() for w in words}
+
+    def _open(self, words: list) -> dict:
+        """Ids of words not seen before.  One with an end mark behind its letters is
+        cut there, as the tokenizer does."""
+        known, plain = self.words, self.plain
+        heads = {w: w[:-1] for w in words if w[-1] in self.marks and plain(w[:-1])}
+        cores = set(heads.values()).union(w for w in words if w not in heads).difference(known)
+        coded = self._spelled([w for w in cores if plain(w)]) if self.letters else {}
+        rest = [w for w in cores if w not in coded]
+        for at in range(0, len(rest), 4096):
+            coded.update(self._new(rest[at:at + 4096]))
+        marks = self.marks
+        for w, head in heads.items():
+            coded[w] = (coded[head] if head in coded else known[head]) + marks[w[-1]]
+        return coded
+
     def encode_all(self, texts: list) -> list:
-        known, out, open_rows, new = self.words, [], [], {}
+        known, out, open_rows, new = self.words, [], [], set()
         for i, t in enumerate(texts):
             words = self._words(t)
             parts = list(map(known.get, words))
             if None in parts:
                 open_rows.append((i, words, parts))
-                new.update((w, None) for w, p in zip(words, parts) if p is None)
+                new.update([w for w, p in zip(words, parts) if p is None])
                 out.append(b"")
             else:
                 out.append(b"".join(parts))
-        todo = list(new)
-        for at in range(0, len(todo), 4096):
-            new.update(self._new(todo[at:at + 4096]))
+        coded = self._open(new)
         for i, words, parts in open_rows:
-            out[i] = b"".join([new[w] if p is None else p for w, p in zip(words, parts)])
-        room = CACHED_WORDS - len(known)
-        if room > 0:
-            known.update((w, new[w]) for w in todo[:room] if len(w) <= CACHED_WORD_CHARS)
+            out[i] = b"".join([coded[w] if p is None else p for w, p in zip(words, parts)])
+        room = max(CACHED_WORDS - len(known), 0)
+        if room:
+            known.update([x for x in islice(coded.items(), room) if len(x[0]) <= CACHED_WORD_CHARS])
         return out
 
 
@@ -250,6 +288,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int
 
     ordered = (docs.select("doc_id", "text").mapInArrow(keyed, f"doc_id {kind}, text string, curve long")
                .withColumn("_crc", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))))
+    ordered = saved(ordered, "packing-keys")  # the bounds are sampled from the keys alone
     ordered = ordered.repartitionByRange("curve", "doc_id", "_crc").sortWithinPartitions("curve", "doc_id", "_crc")
     return ordered.select("doc_id", "text").mapInArrow(
         lay, PIECE.format(kind) + (", ids array<int>" if with_ids else ""))
