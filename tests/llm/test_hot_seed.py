@@ -18,11 +18,11 @@ def tables(spark):
         for doc in (2 * k, 2 * k + 1):
             rows.append((seed, " ".join(words), doc + 10_000, k, doc))
         for i in range(len(words) - P.WINDOW + 1):
-            phrases[seed, " ".join(words[i:i + P.WINDOW])] = 2 * k
+            phrases[seed, P.window_key(" ".join(words[i:i + P.WINDOW]).encode())] = 2 * k
     want = sorted((doc + 10_000, at + i) for _, text, _, at, doc in rows if doc % 2
                   for i in range(len(text.split()) - P.WINDOW + 1))
     return (spark.createDataFrame(rows, "seed long, passage string, seq long, at int, doc_id long"),
-            spark.createDataFrame([(*k, v) for k, v in phrases.items()], "seed long, phrase string, first long"), want)
+            spark.createDataFrame([(*k, v) for k, v in phrases.items()], "seed long, phrase long, first long"), want)
 
 
 def test_hot_seed_is_split(spark, monkeypatch):
@@ -43,3 +43,11 @@ def test_small_seeds_keep_whole_passages(spark):
     passages, phrases, want = tables(spark)
     assert sorted(map(tuple, P._occurrences(passages, phrases).distinct().collect())) == want
     assert P._dealt(passages, phrases)[0].count() == passages.count()
+
+
+def test_window_keys_are_the_same_in_columns(spark):
+    texts = [" ".join(f"wé{i * k}" for i in range(P.WINDOW + k)) for k in range(4)]
+    rows = [(text, k, " ".join(text.split(" ")[k:k + P.WINDOW])) for text in texts
+            for k in range(len(text.split(" ")) - P.WINDOW + 1)]
+    got = spark.createDataFrame(rows, "text string, k int, window string").select("text", "k", P._key_of(F.col("window")))
+    assert all(P.window_keys(text.encode())[k] == key for text, k, key in got.collect())

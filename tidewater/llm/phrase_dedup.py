@@ -9,12 +9,12 @@ words also start in a document with a smaller doc_id.
    bitmap, later exactly).
 2. The windows that share a seed form a passage of WINDOW to WINDOW + RUN - 1
    words.  Passages of recurring seeds from all documents give the windows with
-   their smallest and largest doc_id; those with two different ones are the
-   confirmed phrases.
+   their smallest and largest doc_id, grouped by seed and digest and not by text;
+   those with two different ones are the confirmed phrases.
 3. Confirmed phrases are dealt to shards by their seed, about SHARD_PHRASES to a
-   shard, and each shard is compiled into one automaton.  All passages of all
-   documents are streamed through the automaton of their shard, which locates
-   every phrase.  A shard with many passages is read by several tasks, each with
+   shard, and each shard is compiled into one automaton over word numbers.  All
+   passages of all documents are streamed through the automaton of their shard,
+   which locates every phrase.  A shard with many passages is read by several tasks, each with
    its own copy of the automaton.  Where a seed has more than SHARD_PHRASES
    phrases, its passages are cut into their windows, and windows and phrases are
    dealt by the hash of seed and words, so no seed is bound to one shard.
@@ -27,7 +27,8 @@ words; a null doc_id is not smaller than any and loses nothing; rows that share
 doc_id do not remove each other's words; documents of under WINDOW words keep
 all; an empty table gives an empty table; only doc_id and text are read; long texts
 are read whole.  Word sequences are equal when 64 bits of a cryptographic digest are,
-seeds when their 64-bit hashes are; phrases are compared as text.
+seeds when their 64-bit hashes are, phrases when seed and
+64 bits of a cryptographic digest are.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, digests, hash_bitmap, saved, signed, text_batches,
@@ -56,6 +57,7 @@ TASK_PASSAGES = 50_000
 
 SEQUENCE = Rolling(41)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_BLANK = re.compile(rb" ")
 
 
 class Words:
@@ -136,46 +138,66 @@ def _passages(docs: DataFrame, recurring) -> DataFrame:
     return saved(rows.groupBy("seed", "passage", "seq", "at").agg(F.min("doc_id").alias("doc_id")), "phrase-passages", free=True)
 
 
+def window_key(words: bytes) -> int:
+    """64 bits of the MD5 of a window's words, as `_key_of` computes them in columns."""
+    return int.from_bytes(hashlib.md5(words, usedforsecurity=False).digest()[:8], "big", signed=True)
+
+
+def _key_of(words: Column) -> Column:
+    return F.conv(F.substring(F.md5(words.cast("binary")), 1, 16), 16, -10).cast("long")
+
+
+def window_keys(passage: bytes) -> list:
+    """`window_key` of every window of a passage, cut from its bytes."""
+    stops = [m.start() for m in _BLANK.finditer(passage)]
+    starts = [0, *[e + 1 for e in stops]]
+    stops.append(len(passage))
+    return [window_key(passage[s:e]) for s, e in zip(starts, stops[WINDOW - 1:])]
+
+
 def _phrases(passages: DataFrame) -> DataFrame:
-    """`seed, phrase, first`: windows found in documents with different doc_id."""
+    """`seed, phrase, first`: windows found in documents with different doc_id, by
+    their keys; no text is shuffled."""
     kind = passages.schema["doc_id"].dataType.simpleString()
 
     def emit(b):
-        seeds, ends, cols = b.column("seed"), [b.column("lo"), b.column("hi")], [[], []]
-        for i, text in enumerate(b.column("passage").to_pylist()):
-            words = text.split(" ")
-            for k in range(len(words) - WINDOW + 1):
-                cols[0].append(i)
-                cols[1].append(" ".join(words[k:k + WINDOW]))
-        at = pa.array(cols[0], pa.int64())
-        yield pa.RecordBatch.from_arrays([seeds.take(at), pa.array(cols[1], pa.string()), *[e.take(at) for e in ends]],
-                                         ["seed", "phrase", "lo", "hi"])
-
-    once = passages.groupBy("seed", "passage").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    rows = arrow_apply(once, emit, f"seed long, phrase string, lo {kind}, hi {kind}")
-    found = rows.groupBy("seed", "phrase").agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
+        keys = [window_keys(p) for p in b.column("passage").cast(pa.binary()).to_pylist()]
+        at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+        yield pa.RecordBatch.from_arrays([b.column("seed").take(at), pa.array([k for ks in keys for k in ks], pa.int64()),
+                                          b.column("doc_id").take(at)], ["seed", "phrase", "doc_id"])
+
+    rows = arrow_apply(passages.select("seed", "passage", "doc_id"), emit, f"seed long, phrase long, doc_id {kind}")
+    found = rows.groupBy("seed", "phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     return saved(found.where("first < last").select("seed", "phrase", "first"), "phrase-confirmed", free=True)
 
 
 def locate(passages: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
     """Windows of `passages` found by the automaton of `phrases` whose first
-    document is a smaller one: `seq, word`."""
+    document is a smaller one: `seq, word`.  The automaton reads numbers of words;
+    the words of a phrase are taken from the first passage that holds it."""
     import ahocorasick
 
-    automaton = ahocorasick.Automaton()
-    for phrase, first in zip(phrases["phrase"], phrases["first"]):
-        automaton.add_word(f" {phrase} ", first)
+    firsts = dict(zip(zip(phrases["seed"], phrases["phrase"]), phrases["first"]))
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    numbers: dict = {}
+    texts = []
+    for text, seed in zip(passages["passage"], passages["seed"]):
+        raw = text.encode()
+        texts.append(tuple([numbers.setdefault(w, len(numbers)) for w in raw.split(b" ")]))
+        for k, key in enumerate(window_keys(raw)):
+            first = firsts.pop((seed, key), None)
+            if first is not None:
+                automaton.add_word(texts[-1][k:k + WINDOW], first)
     out: dict = {"seq": [], "word": []}
     if len(automaton):
         automaton.make_automaton()
-        for text, seq, at, doc_id in zip(passages["passage"], passages["seq"], passages["at"], passages["doc_id"]):
+        for words, seq, at, doc_id in zip(texts, passages["seq"], passages["at"], passages["doc_id"]):
             if pd.isna(doc_id):
                 continue
-            text = f" {text} "
-            for end, first in automaton.iter(text):
+            for end, first in automaton.iter(words):
                 if first < doc_id:
                     out["seq"].append(seq)
-                    out["word"].append(at + text.count(" ", 0, end) - WINDOW)
+                    out["word"].append(at + end + 1 - WINDOW)
     return pd.DataFrame(out).astype({"seq": "int64", "word": "int64"})
 
 
@@ -186,20 +208,21 @@ def _dealt(passages: DataFrame, phrases: DataFrame) -> tuple[DataFrame, DataFram
     hot = F.broadcast(saved(phrases.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_PHRASES)
                             .select("seed", F.lit(True).alias("hot")), "phrase-hot-seeds"))
     split = F.coalesce(F.col("hot"), F.lit(False))
-    shard = lambda words: F.pmod(F.when(split, F.xxhash64("seed", words)).otherwise(F.col("seed")), F.lit(shards)).cast("int")
+    shard = lambda key: F.pmod(F.when(split, F.xxhash64("seed", key)).otherwise(F.col("seed")), F.lit(shards)).cast("int")
     words = F.split("passage", " ")
     windows = F.transform(F.sequence(F.lit(0), F.size(words) - WINDOW), lambda k: F.struct(
         F.array_join(F.slice(words, k + 1, WINDOW), " ").alias("passage"), (F.col("at") + k).cast("int").alias("at")))
     pieces = F.when(split, windows).otherwise(F.array(F.struct("passage", "at")))
     dealt = (passages.join(hot, "seed", "left").select("seed", "hot", "seq", "doc_id", F.explode(pieces).alias("piece"))
-             .select("seed", "hot", "piece.passage", "seq", "piece.at", "doc_id").withColumn("shard", shard("passage")))
+             .select("seed", "hot", "piece.passage", "seq", "piece.at", "doc_id")
+             .withColumn("shard", shard(_key_of(F.col("passage")))))
     parts = saved(dealt.groupBy("shard").agg((F.floor((F.count("*") - 1) / TASK_PASSAGES) + 1).cast("int").alias("parts")),
                   "phrase-shards")
-    copies = (phrases.join(hot, "seed", "left").withColumn("shard", shard("phrase")).join(parts, "shard")
-              .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "phrase", "first"))
+    copies = (phrases.join(hot, "seed", "left").withColumn("shard", shard(F.col("phrase"))).join(parts, "shard")
+              .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "seed", "phrase", "first"))
     spread = dealt.join(parts, "shard").withColumn(
         "part", F.pmod(F.xxhash64("seq", "at"), F.col("parts")).cast("int")).select(
-        "shard", "part", "passage", "seq", "at", "doc_id")
+        "shard", "part", "seed", "passage", "seq", "at", "doc_id")
     return spread, copies
 
 
