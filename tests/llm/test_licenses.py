@@ -40,7 +40,29 @@ Redistribution and use in source and binary forms, with or without modification,
 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
-TEXTS = {"Apache-2.0": (APACHE, 4), "MIT": (MIT, 4), "GPL-3.0": (GPL, 5), "BSD": (BSD, 6)}
+HEAD = "Copyright (c) 2024 The Authors\n\n"
+BSD2 = "\n\n".join(p for p in BSD.split("\n\n") if not p.startswith("3. "))
+GPL2 = GPL.replace("either version 3", "either version 2")
+AGPL = GPL.replace("GNU General", "GNU Affero General")
+LGPL3 = GPL.replace("GNU General", "GNU Lesser General")
+LGPL21 = HEAD + """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU Lesser General Public License for more details."""
+MPL = HEAD + """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+EPL = HEAD + """This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"""
+ISC = HEAD + """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+ZERO = ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", "")
+CC0 = HEAD + """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."""
+FREE = HEAD + """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""
+SHARE = HEAD + """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."""
+TEXTS = {"Apache-2.0": (APACHE, 4), "MIT": (MIT, 4), "GPL-3.0": (GPL, 5), "BSD-3-Clause": (BSD, 6), "BSD-2-Clause": (BSD2, 5),
+         "GPL-2.0": (GPL2, 5), "AGPL-3.0": (AGPL, 3), "LGPL-3.0": (LGPL3, 3), "LGPL-2.1": (LGPL21, 3), "MPL-2.0": (MPL, 2),
+         "EPL-2.0": (EPL, 1), "ISC": (ISC, 2), "0BSD": (ZERO, 2), "CC0-1.0": (CC0, 1), "Unlicense": (FREE, 2),
+         "CC-BY-SA-4.0": (SHARE, 1)}
 
 
 def wrapped(text, width):
@@ -81,3 +103,14 @@ def test_wrapped_notices_and_neighbours(spark):
     got = {r.doc_id: (r.n_sentences, r.licenses, r.license) for r in licenses.license_rows(df).collect()}
     none = (0, "", None)
     assert got == {0: (1, "GPL-3.0", "GPL-3.0"), 1: (1, "CC-BY-4.0", "CC-BY-4.0"), 2: none, 3: none, 4: none, 5: none, 6: none}
+
+
+def test_marks_general_licences_and_clashing_columns(spark):
+    cases = ["// SPDX-License-Identifier: GPL-2.0-or-later\nint main;", "# SPDX-License-Identifier: BSD-2-Clause",
+             "All rights reserved.", "Licensed under the MIT License.\nAll rights reserved.",
+             "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+             "following conditions are met:\nAll rights reserved.", "SPDX-License-Identifier: Apache-2.0\nSPDX-License-Identifier: MIT"]
+    df = spark.createDataFrame([(i, t, 7, "x") for i, t in enumerate(cases)], "doc_id long, text string, _ids int, _all string")
+    got = licenses.scan(df).orderBy("doc_id").collect()
+    assert [r.licenses for r in got] == ["GPL-2.0", "BSD-2-Clause", "Proprietary", "MIT", "BSD", "Apache-2.0,MIT"]
+    assert {(r._ids, r._all) for r in got} == {(7, "x")}

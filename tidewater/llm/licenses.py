@@ -12,7 +12,8 @@ texts need; there the sentences of whole licences are known too.
 
 Defined results: null or empty text holds no sentence and no licence; repeated
 sentences repeat in the sequence but a rule is reported once; rules are reported
-in the order of RULES and `license` is the first of them; an empty table gives
+in the order of RULES and `license` is the first of them; "all rights reserved" alone
+counts only where no licence is found, BSD's grant only where its clauses are not; an empty table gives
 an empty table; repeated rows get equal results; other columns pass through.
 """
 
@@ -52,6 +53,39 @@ SENTENCES = {
                   "provided that the following conditions are met"),
     "rights": "all rights reserved",
 }
+# Notices of one sentence, by licence.
+NOTICES = {
+    "GPL-2.0": ("licensed under the gnu general public license version 2",),
+    "LGPL-2.1": ("licensed under the gnu lesser general public license version 2 1",),
+    "LGPL-3.0": ("licensed under the gnu lesser general public license version 3",),
+    "AGPL-3.0": ("licensed under the gnu affero general public license version 3",),
+    "MPL-2.0": ("licensed under the mozilla public license version 2 0",),
+    "EPL-2.0": ("licensed under the eclipse public license version 2 0",),
+    "ISC": ("licensed under the isc license",),
+    "BSD-3-Clause": ("licensed under the bsd 3 clause license",),
+    "BSD-2-Clause": ("licensed under the bsd 2 clause license",),
+    "CC-BY-SA-4.0": ("licensed under cc by sa 4 0",
+                     "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+                     "this work is licensed under the creative commons attribution sharealike 4 0 international license"),
+}
+# Identifiers that may follow "SPDX-License-Identifier:", by licence.
+_GNU = ("", "-only", "-or-later")
+SPDX = {
+    **{name: (name,) for name in ("Apache-2.0", "MIT", "CC-BY-NC-4.0", "CC-BY-4.0", "MPL-2.0", "EPL-2.0", "ISC", "0BSD",
+                                  "BSD-3-Clause", "BSD-2-Clause", "CC-BY-SA-4.0", "CC0-1.0", "Unlicense")},
+    **{name: tuple(name + end for end in _GNU) for name in ("GPL-3.0", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")},
+}
+
+
+def _spoken(identifier: str) -> str:
+    return "".join(c if c.isalnum() else " " for c in identifier.lower())
+
+
+_MARKED = [(name, f"{kind}_{_spoken(name).replace(' ', '_')}_{i}", words)
+           for kind, table in (("notice", NOTICES),
+                               ("spdx", {n: tuple(f"spdx license identifier {_spoken(x)}" for x in ids) for n, ids in SPDX.items()}))
+           for name, forms in table.items() for i, words in enumerate(forms)]
+SENTENCES |= {ident: words for _, ident, words in _MARKED}
 RULES = (  # (licence, identifiers in order); longer evidence first
     ("Apache-2.0", ("apache_grant", "apache_use", "apache_copy")),
     ("Apache-2.0", ("apache_law", "apache_see")),
@@ -66,15 +100,23 @@ RULES = (  # (licence, identifiers in order); longer evidence first
     ("CC-BY-NC-4.0", ("ccbync_notice2",)),
     ("CC-BY-4.0", ("ccby_notice",)),
     ("CC-BY-4.0", ("ccby_notice2",)),
+    *((name, (ident,)) for name, ident, _ in _MARKED),
     ("BSD", ("bsd_grant",)),
     ("Proprietary", ("rights",)),
 )
+GENERAL = {  # licences that count only where none of the others is found (no list: none at all)
+    "BSD": ("BSD-3-Clause", "BSD-2-Clause"),
+    "Proprietary": (),
+}
 END = r"[.!?]+([\x20\x09-\x0D]+|$)|[\n\r]+"  # ends a sentence
 
 # Sentences of whole licence texts, wrapped or not.
 _APACHE_TERMS = SENTENCES["apache_grant"] + " " + SENTENCES["apache_use"]
 _APACHE_AT = "you may obtain a copy of the license at"
 _APACHE_URLS = ("http www apache org licenses license 2 0", "https www apache org licenses license 2 0")
+_GPL = ("this {0} is free software you can redistribute it and or modify it under the terms of the gnu {1} public license as "
+        "published by the free software foundation {2}")
+_LATER = " of the license or at your option any later version"
 FULL_SENTENCES = {
     "apache_terms": (_APACHE_TERMS,),
     "apache_at": (_APACHE_AT, *_APACHE_URLS, *(f"{_APACHE_AT} {u}" for u in _APACHE_URLS)),
@@ -114,12 +156,55 @@ FULL_SENTENCES = {
         "of use data or profits or business interruption however caused and on any theory of liability whether in contract "
         "strict liability or tort including negligence or otherwise arising in any way out of the use of this software even "
         "if advised of the possibility of such damage" for holder in ("holder", "holders", "owner")),
+    "gpl2_free": (_GPL.format("program", "general", "either version 2") + _LATER,
+                  "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+                  "general public license version 2 as published by the free software foundation"),
+    "lgpl21_free": tuple(_GPL.format(what, "lesser general", "either version 2 1") + _LATER for what in ("library", "program")),
+    "lgpl3_free": tuple(_GPL.format(what, "lesser general", "either version 3") + _LATER for what in ("library", "program")),
+    "agpl3_free": tuple(_GPL.format("program", "affero general", f"{version} 3") + _LATER for version in ("either version", "version")),
+    "lgpl_hope": (SENTENCES["gpl_hope"].replace("this program", "this library"),),
+    "lgpl_details": ("see the gnu lesser general public license for more details",),
+    "agpl_details": ("see the gnu affero general public license for more details",),
+    "mpl_terms": ("this source code form is subject to the terms of the mozilla public license v",),
+    "mpl_copy": tuple("if a copy of the mpl was not distributed with this file you can obtain one at "
+                      f"{http} mozilla org mpl 2 0" for http in ("http", "https")),
+    "epl_terms": tuple("this program and the accompanying materials are made available under the terms of the eclipse public "
+                       f"license {v} which is available at {http} www eclipse org legal epl 2 0"
+                       for v in ("2 0", "v 2 0", "v2 0") for http in ("http", "https")),
+    "isc_grant": tuple(f"permission to use copy modify {how} distribute this software for any purpose with or without fee is "
+                       "hereby granted provided that the above copyright notice and this permission notice appear in all copies"
+                       for how in ("and or", "and")),
+    "0bsd_grant": ("permission to use copy modify and or distribute this software for any purpose with or without fee is "
+                   "hereby granted",),
+    "isc_warranty": tuple(f"the software is provided as is and {who} all warranties with regard to this software including "
+                          "all implied warranties of merchantability and fitness"
+                          for who in ("the author disclaims", "the authors disclaim")),
+    "un_free": ("this is free and unencumbered software released into the public domain",),
+    "un_anyone": ("anyone is free to copy modify publish use compile sell or distribute this software either in source code "
+                  "form or as a compiled binary for any purpose commercial or non commercial and by any means",),
+    "cc0_dedicate": tuple(f"to the extent possible under law {who} dedicated all copyright and related and neighboring rights "
+                          "to this software to the public domain worldwide"
+                          for who in ("the author s have", "the author has", "the authors have")),
 }
 FULL_RULES = (  # matched beside RULES, on whole sentences
     ("Apache-2.0", ("apache_terms",)),
     ("Apache-2.0", ("apache_at_law", "apache_see")),
     ("MIT", ("mit_full_grant", "mit_keep", "mit_full_warranty")),
     ("MIT", ("mit_full_grant", "mit_full_warranty")),
+    ("GPL-2.0", ("gpl2_free", "gpl_hope")),
+    ("LGPL-2.1", ("lgpl21_free", "lgpl_hope")),
+    ("LGPL-2.1", ("lgpl21_free", "gpl_hope")),
+    ("LGPL-3.0", ("lgpl3_free", "lgpl_hope")),
+    ("LGPL-3.0", ("lgpl3_free", "gpl_hope")),
+    ("AGPL-3.0", ("agpl3_free", "gpl_hope")),
+    ("MPL-2.0", ("mpl_terms", "mpl_copy")),
+    ("EPL-2.0", ("epl_terms",)),
+    ("ISC", ("isc_grant", "isc_warranty")),
+    ("0BSD", ("0bsd_grant", "isc_warranty")),
+    ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_name")),
+    ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_warranty")),
+    ("CC0-1.0", ("cc0_dedicate",)),
+    ("Unlicense", ("un_free", "un_anyone")),
 )
 # Ends a whole sentence: an end mark, the head of a list of conditions, a blank line.
 FULL_END = (r"[.!?]+([\x20\x09-\x0D]+|$)|:(?<=(?i:conditions|are met):)[\x20\x09-\x0D]+"
@@ -179,21 +264,32 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     more), `licenses` (all that match in either reading, joined by commas, in the
     order of RULES) and `license` (the first)."""
     own = [c for c in df.columns if c not in OUTPUTS]
-    out = df.select(*own).withColumn("_sents", sentences(F.col(text))).withColumn("_full", full_sentences(F.col(text)))
+    out = df.select(*[F.col(c).alias(f"own_{i}") for i, c in enumerate(own)], F.col(text).alias("_text"))
+    out = out.withColumn("_sents", sentences(F.col("_text"))).withColumn("_full", full_sentences(F.col("_text")))
     out = out.withColumn("_ids", identifiers("_sents")).withColumn("_full_ids", identifiers("_full", _FULL_NAMES))
     order = list(dict.fromkeys(n for n, _ in RULES))
     named = F.array(*[F.when(F.coalesce(_matches(n), F.lit(False)), F.lit(n)) for n in order])
     known = F.col("_ids").isNotNull() | F.col("_full_ids").isNotNull()
-    out = out.withColumn("_all", F.when(known, F.array_compact(named)).otherwise(F.array().cast("array<string>")))
+    out = out.withColumn("_found", F.when(known, F.array_compact(named)).otherwise(F.array().cast("array<string>")))
+    out = out.withColumn("_all", F.filter("_found", _counts))
     count = lambda c, names: F.size(F.filter(c, lambda s: s.isin(*names)))
     return out.select(
-        *own,
+        *[F.col(f"own_{i}").alias(c) for i, c in enumerate(own)],
         F.when(known, F.greatest(count("_sents", _NAMES), count("_full", _FULL_NAMES))).otherwise(0).cast("long").alias("n_sentences"),
         F.array_join("_all", ",").alias("licenses"),
         F.get("_all", F.lit(0)).alias("license"),
     )
 
 
+def _counts(name: Column) -> Column:
+    """A licence of GENERAL counts only without a licence that says more."""
+    out = F.lit(True)
+    for general, others in GENERAL.items():
+        more = F.arrays_overlap("_found", F.array(*map(F.lit, others))) if others else F.size("_found") > 1
+        out = out & ((name != general) | ~more)
+    return out
+
+
 def _matches(license: str) -> Column:
     """Does a rule of `license` match in either reading?"""
     found = F.lit(False)

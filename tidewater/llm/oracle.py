@@ -19,6 +19,9 @@ def _licenses() -> str:
     name = "CASE s " + " ".join(f"WHEN {_text(w)} THEN {_text(i)}" for i, w in L.SENTENCES.items()) + f" ELSE '{L.UNKNOWN}' END"
     named = "[" + ", ".join(
         f"CASE WHEN regexp_matches(ids, {_text(L.rule_pattern(i))}) THEN {_text(n)} END" for n, i in L.RULES) + "]"
+    counts = " AND ".join(
+        f"(x <> {_text(general)} OR NOT " + (f"list_has_any(found, {_list(others)}))" if others else "len(found) > 1)")
+        for general, others in L.GENERAL.items())
     return f"""
     WITH cut AS (
       SELECT doc_id, regexp_replace(coalesce(text, ''), {_text(L.END)}, chr(10), 'g') AS t FROM documents),
@@ -31,8 +34,10 @@ def _licenses() -> str:
     ruled AS (
       SELECT doc_id, len(found) AS n, list_filter({named}, lambda x: x IS NOT NULL) AS hits FROM seq),
     firsts AS (
-      SELECT doc_id, n, list_filter(hits, lambda x, i: list_position(hits, x) = i) AS hits FROM ruled)
-    SELECT doc_id, n AS n_sentences, coalesce(array_to_string(hits, ','), '') AS licenses, hits[1] AS license FROM firsts
+      SELECT doc_id, n, list_filter(hits, lambda x, i: list_position(hits, x) = i) AS found FROM ruled),
+    counted AS (
+      SELECT doc_id, n, list_filter(found, lambda x: {counts}) AS hits FROM firsts)
+    SELECT doc_id, n AS n_sentences, coalesce(array_to_string(hits, ','), '') AS licenses, hits[1] AS license FROM counted
     """
 
 
