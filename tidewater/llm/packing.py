@@ -23,7 +23,8 @@ import os
 import re
 import sys
 import zlib
-from itertools import islice
+from itertools import chain, compress, islice
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +159,10 @@ class Encoder:
         """Ids of words of plain letters, straight from the merges: `letters` gives
         each as the tokenizer spells it for them."""
         tokens, spell = self.tokenizer.model.tokenize, self.letters
-        return {w: np.asarray([t.id for t in tokens(w.translate(spell))], "<u4").tobytes() for w in words}
+        ids = [[t.id for t in tokens(w.translate(spell))] for w in words]
+        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = (4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))).tolist()
+        return {w: raw[x:y] for w, x, y in zip(words, [0, *ends], ends)}
 
     def _open(self, words: list) -> dict:
         """Ids of words not seen before.  One with an end mark behind its letters is
@@ -176,23 +180,21 @@ class Encoder:
         return coded
 
     def encode_all(self, texts: list) -> list:
-        known, out, open_rows, new = self.words, [], [], set()
-        for i, t in enumerate(texts):
+        known, rows, new = self.words, [], set()
+        for t in texts:
             words = self._words(t)
             parts = list(map(known.get, words))
-            if None in parts:
-                open_rows.append((i, words, parts))
-                new.update([w for w, p in zip(words, parts) if p is None])
-                out.append(b"")
-            else:
-                out.append(b"".join(parts))
+            open_at = list(compress(range(len(words)), map(not_, parts)))
+            new.update([words[i] for i in open_at])
+            rows.append((words, parts, open_at))
         coded = self._open(new)
-        for i, words, parts in open_rows:
-            out[i] = b"".join([coded[w] if p is None else p for w, p in zip(words, parts)])
+        for words, parts, open_at in rows:
+            for i in open_at:
+                parts[i] = coded[words[i]]
         room = max(CACHED_WORDS - len(known), 0)
         if room:
             known.update([x for x in islice(coded.items(), room) if len(x[0]) <= CACHED_WORD_CHARS])
-        return out
+        return [b"".join(parts) for _, parts, _ in rows]
 
 
 class Packer:
