@@ -10,10 +10,10 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +36,28 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def saved(df: DataFrame, name: str, free: bool = False) -> DataFrame:
-    """Write `df` to the shared folder and read it back: no lineage behind it,
-    so a lost executor costs a read and not a recomputation.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside give their shuffle files back as they end."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
-    `free` after a large step: the step's shuffle files are needed no more, and
-    Spark's cleaner deletes them once the driver has collected the objects that
-    stand for them, so ask it to collect now and not some time later."""
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back: no lineage behind it,
+    so a lost executor costs a read and not a recomputation, and the shuffle
+    files of the step are needed no more."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    if free:
-        gc.collect()  # Python's handles first: they keep the JVM's objects alive
-        spark.sparkContext._jvm.System.gc()
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -247,7 +256,9 @@ def hash_bitmap(df: DataFrame, col: str, bits: int = BITMAP_BITS):
     cell = F.shiftrightunsigned(F.col(col), 64 - bits) + 1
     rows = (df.where(F.col(col).isNotNull())
             .select(F.bitmap_bucket_number(cell).alias("b"), F.bitmap_bit_position(cell).alias("p"))
-            .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect())
+            .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")))
+    with shuffles_freed(spark):
+        rows = rows.collect()
     out = np.zeros(max((1 << bits) // 8, 4096), np.uint8)
     for r in rows:  # at most 2**bits / 32768 rows of 4 KB
         at = (r["b"] - 1) * 4096

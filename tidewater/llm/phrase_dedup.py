@@ -135,7 +135,7 @@ def _passages(docs: DataFrame, recurring) -> DataFrame:
 
     rows = arrow_apply(docs.select("doc_id", "text"), emit,
                        f"seed long, passage string, seq long, at int, doc_id {kind}")
-    return saved(rows.groupBy("seed", "passage", "seq", "at").agg(F.min("doc_id").alias("doc_id")), "phrase-passages", free=True)
+    return saved(rows.groupBy("seed", "passage", "seq", "at").agg(F.min("doc_id").alias("doc_id")), "phrase-passages")
 
 
 def window_key(words: bytes) -> int:
@@ -168,7 +168,7 @@ def _phrases(passages: DataFrame) -> DataFrame:
 
     rows = arrow_apply(passages.select("seed", "passage", "doc_id"), emit, f"seed long, phrase long, doc_id {kind}")
     found = rows.groupBy("seed", "phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    return saved(found.where("first < last").select("seed", "phrase", "first"), "phrase-confirmed", free=True)
+    return saved(found.where("first < last").select("seed", "phrase", "first"), "phrase-confirmed")
 
 
 def locate(passages: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
@@ -239,11 +239,11 @@ def _found(docs: DataFrame) -> DataFrame:
     seen = _seeds(docs).groupBy("seed").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     recurring = hash_bitmap(seen.where("lo < hi"), "seed")
     passages = _passages(docs, recurring)
-    located = saved(_occurrences(passages, _phrases(passages)), "phrase-located", free=True)
+    located = saved(_occurrences(passages, _phrases(passages)), "phrase-located")
     starts = located.distinct().groupBy("seq").agg(F.collect_list("word").alias("starts"))
     firsts = _keyed(docs.select("doc_id", "text")).groupBy("seq").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     both = firsts.where("n > 1").join(starts, "seq", "full_outer")
-    return saved(both.select(F.col("seq").alias("k"), "first", "starts"), "phrase-found", free=True)
+    return saved(both.select(F.col("seq").alias("k"), "first", "starts"), "phrase-found")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
