@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from tidewater.operators.anomaly import streaming_daily_counts
-from tidewater.streaming.ingest import state_partitions, trigger_options
+from tidewater.streaming.ingest import column_families, state_partitions, trigger_options
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -65,7 +65,7 @@ def start_daily_scores(events: DataFrame, path: str, checkpoint: str, ts_col: st
     counts = streaming_daily_counts(events, ts_col, key, lateness).select(F.col(key).alias("key"), "day", "n")
     scored = counts.groupBy("key").transformWithStateInPandas(Baseline(), "key string, day date, n long, score double",
                                                               "append", "none")
-    with state_partitions(events.sparkSession, partitions):
+    with state_partitions(events.sparkSession, partitions), column_families(events.sparkSession):
         return (scored.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
                 .trigger(**trigger_options(available_now, interval)).start())
 

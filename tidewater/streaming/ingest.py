@@ -39,6 +39,24 @@ def state_partitions(spark, n: int | None):
         spark.conf.set(key, old)
 
 
+@contextmanager
+def column_families(spark):
+    """A state store fit for `transformWithState`, for queries started in this
+    block.  Spark's default provider keeps one column family a store and such a
+    query fails on it; RocksDB takes its place, any other choice of the session
+    stays.  A restart takes the provider from the checkpoint."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    if old.rsplit(".", 1)[-1] != "HDFSBackedStateStoreProvider":
+        yield
+        return
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def trigger_options(available_now: bool = False, interval: str | None = None) -> dict:
     if available_now:
         return {"availableNow": True}
