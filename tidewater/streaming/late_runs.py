@@ -38,7 +38,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from tidewater.operators.keyed import latest_per_key
 from tidewater.operators.runs import PIECE, _summarise, combine, finish
-from tidewater.streaming.ingest import state_partitions, trigger_options
+from tidewater.streaming.ingest import column_families, state_partitions, trigger_options
 
 # as in operators.runs: tasks carry these functions, executors need no package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -156,7 +156,7 @@ def start_late_run_stats(attempts: DataFrame, path: str, checkpoint: str, max_er
     slots = dealt.groupBy("deal", "slot").transformWithStateInPandas(
         SlotBuffer(slot_seconds, max_errors), f"{ROWS}, left_at timestamp", "append", "eventtime", eventTimeColumnName="left_at")
     totals = slots.groupBy("deal").transformWithStateInPandas(RunTotals(max_errors), ROWS, "append", "none")
-    with state_partitions(attempts.sparkSession, partitions):
+    with state_partitions(attempts.sparkSession, partitions), column_families(attempts.sparkSession):
         return (totals.drop("deal").writeStream.format("parquet").partitionBy("kind").option("path", path)
                 .option("checkpointLocation", checkpoint).trigger(**trigger_options(available_now, interval)).start())
 
