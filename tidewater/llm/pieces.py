@@ -18,6 +18,9 @@ Both give the ids of the `sentencepiece` library.  Characters without a piece
 become their UTF-8 byte pieces.  If no piece of the vocabulary crosses from a
 character to a word mark (checked on loading), every path passes each word start;
 the words between such boundaries are searched once per worker and remembered.
+New words are searched in sorted order, many at a time: what survives at a position
+depends on the characters before it alone, so a word goes on from where it parts
+from the word before.
 
 Defined results: null or empty text has no ids and decodes to an empty text; a
 text that holds the word mark itself decodes with a blank in its place (as the
@@ -33,9 +36,11 @@ import re
 import sys
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
@@ -46,6 +51,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MARK = "▁"
 CACHED_WORDS = 600_000
 CACHED_CHARS = 40
+GROUP_BYTES = 2 << 20  # text bytes whose new words are searched together
 UNKNOWN_PENALTY = 10.0
 CHECK = "  a b\téﬁ"  # a text that normalisation rules would change
 
@@ -137,17 +143,17 @@ class Stream:
         self.best = [0.0]
         self.before = ""     # the last piece given out
         self.live: list[int] = []
+        self.lives: list[list[int]] | None = None  # `live` of every position, where wanted
 
     def _extend(self, chunk: str) -> None:
         """Add a few characters, each with its surviving edge.  `live` are the
         starts from which the text so far begins some piece."""
         v, text, back, best, live = self.v, self.text + chunk, self.back, self.best, self.live
-        state, pairs, bpe = v.state, v.pairs, v.kind == "bpe"
+        state, pairs, lives, bpe = v.state, v.pairs, self.lives, v.kind == "bpe"
         for i in range(len(self.text) + 1, len(text) + 1):
-            live.append(i - 1)
             still, at = [], -1
             score = 0.0 if bpe else best[i - 1] + v.worst
-            for j in live:
+            for j in (*live, i - 1):
                 piece = text[j:i]
                 whole = state.get(piece)
                 if whole is not None:
@@ -167,6 +173,8 @@ class Stream:
                 elif whole and best[j] + v.scores[piece] > score:
                     at, score = j, best[j] + v.scores[piece]
             live = still
+            if lives is not None:
+                lives.append(still)
             back.append(at if at >= 0 else i - 1)
             best.append(score)
         self.text, self.live = text, live
@@ -211,10 +219,45 @@ class Stream:
         return self._give(self._path(len(self.text)))
 
 
+class SortedWords(Stream):
+    """Searches short texts one after the other, each from its own first boundary;
+    positions shared with the text before are taken over."""
+
+    def __init__(self, vocabulary: Vocabulary, codes: dict):
+        super().__init__(vocabulary)
+        self.lives = [self.live]
+        self.codes = codes  # ids of the vocabulary's pieces, kept by the caller
+        self.ids = [b""]    # ids of the path to each position
+
+    def _code(self, piece: str) -> bytes:
+        got = np.asarray(self.v.out(piece), "<i4").tobytes()
+        if piece in self.v.ids:
+            self.codes[piece] = got
+        return got
+
+    def search(self, word: str) -> bytes:
+        n = 0
+        for a, b in zip(self.text, word):
+            if a != b:
+                break
+            n += 1
+        back, ids, codes = self.back, self.ids, self.codes
+        self.text = word[:n]
+        del back[n + 1:], ids[n + 1:], self.best[n + 1:], self.lives[n + 1:]
+        self.live = self.lives[n]
+        self._extend(word[n:])
+        for i in range(n + 1, len(word) + 1):
+            j = back[i]
+            piece = word[j:i]
+            ids.append(ids[j] + (codes.get(piece) or self._code(piece)))
+        return ids[-1]
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.known: dict = {}
+        self.codes: dict = {}
         self._cut = re.compile(f"{MARK}*[^{MARK}]*") if vocabulary.splits else None
 
     @classmethod
@@ -242,28 +285,57 @@ class Encoder:
         ids = [i for piece in s.feed(marked) + s.finish() for i in self.v.out(piece)]
         return np.asarray(ids, "<i4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit numbers."""
-        if not text:
-            return b""
-        marked = MARK + text.replace(" ", MARK)
+    def _search_words(self, words: Iterable[str]) -> dict:
+        """Ids of words that were not met before."""
+        short = SortedWords(self.v, self.codes).search
+        return {w: short(w) if len(w) <= CACHED_CHARS else self._search(w) for w in sorted(words)}
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers."""
+        marked = (MARK + t.replace(" ", MARK) if t else "" for t in texts)
         if self._cut is None:
-            return self._search(marked)
-        known, out = self.known, []
-        for part in self._cut.findall(marked):
-            got = known.get(part)
-            if got is None:
-                got = self._search(part)
-                if len(part) <= CACHED_CHARS and len(known) < CACHED_WORDS:
-                    known[part] = got
-            out.append(got)
-        return b"".join(out)
+            return [self._search(m) if m else b"" for m in marked]
+        known, out, waiting, new = self.known, [], [], set()
+        for row, m in enumerate(marked):
+            words = self._cut.findall(m)[:-1]  # the last match is empty
+            parts = list(map(known.get, words))
+            if all(parts):
+                out.append(b"".join(parts))
+                continue
+            open_at = [k for k, part in enumerate(parts) if part is None]
+            unmet = [words[k] for k in open_at]
+            new.update(unmet)
+            out.append(b"")
+            waiting.append((row, parts, open_at, unmet))
+        coded = self._search_words(new)
+        for row, parts, open_at, unmet in waiting:
+            for k, word in zip(open_at, unmet):
+                parts[k] = coded[word]
+            out[row] = b"".join(parts)
+        room = max(CACHED_WORDS - len(known), 0)
+        known.update(islice(((w, c) for w, c in coded.items() if len(w) <= CACHED_CHARS), room))
+        return out
+
+    def encode(self, text: str) -> bytes:
+        """Ids of one text."""
+        return self.encode_all([text])[0]
 
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.v.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
+def _groups(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of about GROUP_BYTES of text, a larger text alone."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(upto[at - 1]) if at else 0
+        end = max(int(np.searchsorted(upto, before + GROUP_BYTES, "right")), at + 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def encode_documents(docs: DataFrame, path: str, kind: str = "bpe", text: str = "text") -> DataFrame:
     """`docs` without the text, with `ids`, `n_ids`, `ids_crc32` (little-endian
     32-bit ids) and `round_trip` (decoding the ids gives the text again)."""
@@ -272,10 +344,9 @@ def encode_documents(docs: DataFrame, path: str, kind: str = "bpe", text: str =
 
     def emit(batch):
         encoder = Encoder.of_worker(path, kind)
-        for at in range(0, batch.num_rows, 256):
-            b = batch.slice(at, 256)
+        for b in _groups(batch, text):
             texts = [t or "" for t in b.column(text).to_pylist()]
-            coded = [encoder.encode(t) for t in texts]
+            coded = encoder.encode_all(texts)
             sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
             ids = np.frombuffer(b"".join(coded), "<i4")
             ends = np.concatenate(([0], np.cumsum(sizes)))
