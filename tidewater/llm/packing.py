@@ -23,11 +23,12 @@ import os
 import re
 import sys
 import zlib
-from itertools import chain, compress, islice
-from operator import not_
+from collections.abc import Collection
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +41,12 @@ LENGTH = 4096
 END_ID = 2
 DIMENSIONS = 4
 KEY_BITS = 15  # bits of each coordinate: 60 in the key
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
 CACHED_WORD_CHARS = 48
+KEY_BYTES = 1 << 18  # text bytes handled by one numpy pass over the words
 ENDS = ".,;:!?"
 PARTITION_SHIFT = 40  # sequence_id = partition << 40 | number in the partition
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
 def project(word_hash: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     """DIMENSIONS coordinates in [-1, 1] per document: every word votes with a
     sign bit of its hash, divided by the number of words."""
@@ -92,7 +92,7 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 def curve_keys(texts: pa.Array) -> np.ndarray:
     keys = np.zeros(len(texts), np.int64)
     top = (1 << KEY_BITS) - 1
-    for a, b, batch in text_batches(texts):
+    for a, b, batch in text_batches(texts, KEY_BYTES):
         low = batch.lowered()
         start, end, doc = low.words()
         at = project(low.word_hashes(start, end), doc, low.n)
@@ -111,8 +111,6 @@ class Encoder:
         self.words: dict = {}
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
-        blanks = [c for c in map(chr, range(0x3001)) if c.isspace()]
-        self.odd = [c for c in blanks if ids(f"!{c}!") != ids("!") * 2]
         self.letters = self._letters()
         self.plain = re.compile("[" + "".join(map(chr, self.letters)) + "]+").fullmatch if self.letters else lambda w: None
         self.marks = {c: np.asarray(ids(c), "<u4").tobytes() for c in ENDS} if self.letters else {}
@@ -150,12 +148,7 @@ class Encoder:
         ends = ends.tolist()
         return {w: ids[x:y] for w, x, y in zip(words, ends, ends[1:])}
 
-    def _words(self, text: str) -> list:
-        """Words between white space; where Python and the tokenizer differ on
-        what that is, the words of the pattern."""
-        return _WORD.findall(text) if any(c in text for c in self.odd) else text.split()
-
-    def _spelled(self, words: list) -> dict:
+    def _spelled(self, words: Collection) -> dict:
         """Ids of words of plain letters, straight from the merges: `letters` gives
         each as the tokenizer spells it for them."""
         tokens, spell = self.tokenizer.model.tokenize, self.letters
@@ -164,14 +157,15 @@ class Encoder:
         ends = (4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))).tolist()
         return {w: raw[x:y] for w, x, y in zip(words, [0, *ends], ends)}
 
-    def _open(self, words: list) -> dict:
+    def _open(self, words: Collection) -> dict:
         """Ids of words not seen before.  One with an end mark behind its letters is
         cut there, as the tokenizer does."""
         known, plain = self.words, self.plain
         heads = {w: w[:-1] for w in words if w[-1] in self.marks and plain(w[:-1])}
-        cores = set(heads.values()).union(w for w in words if w not in heads).difference(known)
-        coded = self._spelled([w for w in cores if plain(w)]) if self.letters else {}
-        rest = [w for w in cores if w not in coded]
+        coded = self._spelled(set(heads.values()).difference(known))
+        others = [w for w in words if w not in heads and w not in coded]
+        coded.update(self._spelled([w for w in others if plain(w)]))
+        rest = [w for w in others if w not in coded]
         for at in range(0, len(rest), 4096):
             coded.update(self._new(rest[at:at + 4096]))
         marks = self.marks
@@ -179,22 +173,26 @@ class Encoder:
             coded[w] = (coded[head] if head in coded else known[head]) + marks[w[-1]]
         return coded
 
-    def encode_all(self, texts: list) -> list:
-        known, rows, new = self.words, [], set()
-        for t in texts:
-            words = self._words(t)
-            parts = list(map(known.get, words))
-            open_at = list(compress(range(len(words)), map(not_, parts)))
-            new.update([words[i] for i in open_at])
-            rows.append((words, parts, open_at))
-        coded = self._open(new)
-        for words, parts, open_at in rows:
-            for i in open_at:
-                parts[i] = coded[words[i]]
-        room = max(CACHED_WORDS - len(known), 0)
-        if room:
-            known.update([x for x in islice(coded.items(), room) if len(x[0]) <= CACHED_WORD_CHARS])
-        return [b"".join(parts) for _, parts, _ in rows]
+    def encode_all(self, texts: list | pa.Array) -> list:
+        """Texts are split and their words told apart by Arrow; ids are looked up once
+        for each different word of the batch."""
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        split = pc.ascii_split_whitespace(column.fill_null(""))
+        spread = split.flatten().dictionary_encode()
+        words, known = spread.dictionary.to_numpy(zero_copy_only=False).tolist(), self.words
+        coded = self._open([w for w in words if w and w not in known])
+        coded[""] = b""  # beside white space at the ends
+        known.update(coded)
+        ids = pa.array(list(map(known.__getitem__, words)), pa.large_binary()).take(spread.indices)
+        for w in [w for w in coded if len(w) > CACHED_WORD_CHARS]:
+            del known[w]
+        if len(known) > CACHED_WORDS:  # the third met longest ago goes
+            self.words = dict(islice(known.items(), len(known) - CACHED_WORDS * 2 // 3, None))
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int64)[:len(ids) + 1]
+        ends = ends[np.concatenate(([0], np.cumsum(split.value_lengths().to_numpy())))].tolist()
+        raw = memoryview(data) if data is not None else memoryview(b"")
+        return [bytes(raw[x:y]) for x, y in zip(ends, ends[1:])]
 
 
 class Packer:
@@ -278,7 +276,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int
             id_type = b.schema.field("doc_id").type
             for at in range(0, b.num_rows, 256):
                 some = b.slice(at, 256)
-                coded = encoder.encode_all([t or "" for t in some.column("text").to_pylist()])
+                coded = encoder.encode_all(some.column("text"))
                 done = []
                 for doc_id, ids in zip(some.column("doc_id").to_pylist(), coded):
                     done += packer.add(doc_id, np.frombuffer(ids + end, "<u4"))
