@@ -10,7 +10,7 @@ they are unrelated hashes.  Any such order is valid, so the sketch decides the
 work and never the result.
 
 Copies and hot groups: equal word sequences form one class, which takes part
-once.  Classes first link to one leader per token group; components of these
+once.  Classes first link to one of the leaders of their token groups; components of these
 links are then taken as known, and only classes of different components are
 compared pair by pair.  So a large group of near copies costs one comparison per
 member, and no link between different texts is lost.
@@ -45,10 +45,19 @@ PERCENT = 80  # Jaccard threshold in hundredths
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
 CELL_BITS = 20   # cells of the count sketch: 2**20, at any input size
 CHUNK_CELLS = 1 << 14
+LEADERS = 4  # whose shared shingles a class counts
+SET_BYTES = 1 << 18  # text bytes handled by one numpy pass
 
 SHINGLE_HASH = Rolling(23)
 
 
+def by_text(h: np.ndarray, d: np.ndarray, texts: int) -> np.ndarray:
+    """Order by text index, then hash; small indices are sorted by their digits."""
+    order = np.argsort(h)
+    small = d[order].astype(np.uint16 if texts <= 1 << 16 else np.int64)
+    return order[np.argsort(small, kind="stable")]
+
+
 def shingle_sets(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text index, shingle hash) sorted without repeats, then per text the
     number of shingles and the hash of its word sequence."""
@@ -63,7 +72,7 @@ def shingle_sets(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     short = np.flatnonzero((n_words > 0) & (n_words < WORDS))
     h = np.concatenate((SHINGLE_HASH.slices(sums, at, at + WORDS), whole[short]))
     d = np.concatenate((doc[at], short))
-    order = np.lexsort((h, d))
+    order = by_text(h, d, low.n)
     h, d = h[order], d[order]
     fresh = np.ones(len(h), bool)
     fresh[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
@@ -79,7 +88,7 @@ def prefixes(d: np.ndarray, h: np.ndarray, n: np.ndarray, late: np.ndarray, seed
     """Which (text, shingle) rows are in the prefix under one order: `late` (0
     for most shingles, more for frequent ones) first, then a hash."""
     key = (late.astype(U64) << U64(58)) | (mix(h ^ U64(seed)) >> U64(6))
-    order = np.lexsort((key, d))
+    order = by_text(key, d, len(n))
     first = np.concatenate(([0], np.cumsum(n)))
     rank = np.arange(len(d)) - first[d[order]]
     keep = order[rank < prefix_size(n)[d[order]]]
@@ -112,7 +121,7 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         for b in batches:
             id_type = b.schema.field("doc_id").type
             text = b.column("text")
-            for lo, hi, batch in text_batches(text):
+            for lo, hi, batch in text_batches(text, SET_BYTES):
                 d, h, n, cls = shingle_sets(batch)
                 np.add.at(cells, (h >> U64(64 - CELL_BITS)).astype(np.int64), 1)
                 size = hi - lo
@@ -156,7 +165,7 @@ def _tokens(docs: DataFrame, sketch, shared=None) -> DataFrame:
     """Prefix shingles under the first order (token, cls, n); with the bitmap
     `shared` only those in it."""
     def emit(b):
-        for _, _, batch in text_batches(b.column("text")):
+        for _, _, batch in text_batches(b.column("text"), SET_BYTES):
             d, h, n, cls = shingle_sets(batch)
             keep = prefixes(d, h, n, sketch.value.late(h), ORDERS[0])
             if shared is not None:
@@ -172,7 +181,7 @@ def _sets(docs: DataFrame, sketch, wanted) -> DataFrame:
     """`cls, n, p1, p2 (prefixes under the later orders), all` of the classes in
     the bitmap `wanted`; copies collapse before they are shuffled."""
     def emit(b):
-        for _, _, batch in text_batches(b.column("text")):
+        for _, _, batch in text_batches(b.column("text"), SET_BYTES):
             d, h, n, cls = shingle_sets(batch)
             docs_in = wanted.value.has(cls) & (n > 0)
             first_of = np.zeros(len(cls), bool)
@@ -223,6 +232,29 @@ def _verified(pairs: DataFrame, docs: DataFrame, sketch) -> DataFrame:
     return both.where(100 * same >= PERCENT * (na + nb - same)).select("a", "b")
 
 
+def _led(postings: DataFrame) -> DataFrame:
+    """Candidates `a, b`: every token has a leader, the same one for many tokens.  Of
+    those that lead most tokens of a class, it is paired with the two that share most
+    of all its prefix, so that the leaders of one group are linked as well."""
+    drawn = F.xxhash64("cls", F.pmod("token", F.lit(LEADERS)))
+    first = F.min(F.struct(drawn.alias("h"), "cls", "n")).alias("l")
+    leaders = saved(postings.groupBy("token").agg(first, F.count("*").alias("k")).where("k > 1").select(
+        "token", F.col("l.cls").alias("a"), F.col("l.n").alias("na")), "ngram-leaders")
+    led = (postings.join(leaders, "token").where((F.col("cls") != F.col("a")) & _sizes_fit(F.col("na"), F.col("n")))
+           .groupBy(F.col("cls").alias("b"), "a", "na").agg(F.count("*").alias("c")))
+    # a list holds a leader for every prefix shingle of the class at most
+    most = F.slice(F.sort_array(F.collect_list(F.struct("c", "a", "na")), asc=False), 1, LEADERS)
+    some = saved(led.groupBy("b").agg(most.alias("m")).select("b", F.explode("m").alias("m")).select("b", "m.a", "m.na"),
+                 "ngram-led")
+    of_b = postings.join(some, F.col("cls") == F.col("b")).select("token", "a", "b", "na", "n")
+    of_a = postings.select("token", F.col("cls").alias("a"))
+    c = of_b.join(of_a, ["token", "a"]).groupBy("a", "b", "na", "n").agg(F.count("*").alias("c"))
+    c = c.where(F.col("c") >= least_shared(F.col("na"), F.col("n")))
+    best = c.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", "a")), asc=False), 1, 2).alias("m"))
+    best = best.select("b", F.explode("m.a").alias("a"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members, and (id, component) over the classes that link with others."""
     members, pieces = _survey(docs)
@@ -231,14 +263,7 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = hash_bitmap(seen.where("lo < hi"), "token")
     postings = saved(_tokens(docs, sketch, shared).distinct(), "ngram-postings")
 
-    # one leader per token group
-    leaders = saved(postings.groupBy("token").agg(F.min(F.struct("cls", "n")).alias("l"), F.count("*").alias("k"))
-                    .where("k > 1").select("token", F.col("l.cls").alias("a"), F.col("l.n").alias("na")), "ngram-leaders")
-    star = (postings.join(leaders, "token").where("a < cls")
-            .groupBy("a", F.col("cls").alias("b"), "na", "n").agg(F.count("*").alias("c"))
-            .where(_sizes_fit(F.col("na"), F.col("n")) & (F.col("c") >= least_shared(F.col("na"), F.col("n")))))
-    best = saved(star.groupBy("b").agg(F.max(F.struct("c", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"),
-                 "ngram-star")
+    best = saved(_led(postings), "ngram-star")
     links = saved(_verified(best, docs, sketch), "ngram-links")
     found = saved(components(links), "ngram-components")
 
@@ -294,7 +319,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     def add(b):
         text = b.column("match_text")
-        for lo, hi, batch in text_batches(text):
+        for lo, hi, batch in text_batches(text, SET_BYTES):
             _, _, n, cls = shingle_sets(batch)
             part = b.slice(lo, hi - lo)
             cols = [part.column(i) for i in range(part.num_columns - 1)]
