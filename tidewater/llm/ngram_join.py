@@ -10,10 +10,13 @@ they are unrelated hashes.  Any such order is valid, so the sketch decides the
 work and never the result.
 
 Copies and hot groups: equal word sequences form one class, which takes part
-once.  Classes first link to one of the leaders of their token groups; components of these
-links are then taken as known, and only classes of different components are
-compared pair by pair.  So a large group of near copies costs one comparison per
-member, and no link between different texts is lost.
+once.  Classes first link to leaders of their token groups, and then, while many pairs
+of different components share a shingle early in their order, to a few head classes of
+such shingles; components of these links are taken as known, and only classes
+of different components are compared pair by pair.  That join asks for FEW shingles
+shared so early in both sets that linking pairs must have them, so classes that share no
+more than a frequent line never meet.  A large group of near copies costs some
+comparisons per member, and no link between different texts is lost.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; a text of
 one to four words is one shingle; null text or a text without words has no
@@ -46,6 +49,9 @@ ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
 CELL_BITS = 20   # cells of the count sketch: 2**20, at any input size
 CHUNK_CELLS = 1 << 14
 LEADERS = 4  # whose shared shingles a class counts
+FEW = 2      # early shingles that pairs of different components are asked to share
+CROWD = 8    # pairs for each class from which on a shingle is crowded
+HEADS = 8    # classes of a crowded shingle that its other classes meet
 SET_BYTES = 1 << 18  # text bytes handled by one numpy pass
 
 SHINGLE_HASH = Rolling(23)
@@ -84,19 +90,22 @@ def prefix_size(n: np.ndarray) -> np.ndarray:
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-def prefixes(d: np.ndarray, h: np.ndarray, n: np.ndarray, late: np.ndarray, seed: int) -> np.ndarray:
-    """Which (text, shingle) rows are in the prefix under one order: `late` (0
-    for most shingles, more for frequent ones) first, then a hash."""
+def ranks(d: np.ndarray, h: np.ndarray, n: np.ndarray, late: np.ndarray, seed: int) -> np.ndarray:
+    """Place from 0 of every (text, shingle) row in its text under one order: `late`
+    (0 for most shingles, more for frequent ones) first, then a hash."""
     key = (late.astype(U64) << U64(58)) | (mix(h ^ U64(seed)) >> U64(6))
     order = by_text(key, d, len(n))
     first = np.concatenate(([0], np.cumsum(n)))
-    rank = np.arange(len(d)) - first[d[order]]
-    keep = order[rank < prefix_size(n)[d[order]]]
-    out = np.zeros(len(d), bool)
-    out[keep] = True
+    out = np.zeros(len(d), np.int64)
+    out[order] = np.arange(len(d)) - first[d[order]]
     return out
 
 
+def prefixes(d: np.ndarray, h: np.ndarray, n: np.ndarray, late: np.ndarray, seed: int) -> np.ndarray:
+    """Which (text, shingle) rows are in the prefix under one order."""
+    return ranks(d, h, n, late, seed) < prefix_size(n)[d]
+
+
 class Sketch:
     """Counts of shingles by cell; a shingle is late when its cell holds clearly
     more than an even share."""
@@ -162,28 +171,31 @@ def _sketch(pieces: DataFrame):
 
 
 def _tokens(docs: DataFrame, sketch, shared=None) -> DataFrame:
-    """Prefix shingles under the first order (token, cls, n); with the bitmap
-    `shared` only those in it."""
+    """Prefix shingles under the first order and their places (token, cls, n, at);
+    with the bitmap `shared` only those in it."""
     def emit(b):
         for _, _, batch in text_batches(b.column("text"), SET_BYTES):
             d, h, n, cls = shingle_sets(batch)
-            keep = prefixes(d, h, n, sketch.value.late(h), ORDERS[0])
+            at = ranks(d, h, n, sketch.value.late(h), ORDERS[0])
+            keep = at < prefix_size(n)[d]
             if shared is not None:
                 keep &= shared.value.has(mix(h))
             d, h = d[keep], h[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(signed(mix(h))), pa.array(signed(cls[d])), pa.array(n[d])],
-                                             ["token", "cls", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(mix(h))), pa.array(signed(cls[d])), pa.array(n[d]),
+                                              pa.array(at[keep].astype(np.int32))], ["token", "cls", "n", "at"])
 
-    return arrow_apply(docs.select("text"), emit, "token long, cls long, n long")
+    return arrow_apply(docs.select("text"), emit, "token long, cls long, n long, at int")
 
 
-def _sets(docs: DataFrame, sketch, wanted) -> DataFrame:
+def _sets(docs: DataFrame, sketch, wanted, had=None) -> DataFrame:
     """`cls, n, p1, p2 (prefixes under the later orders), all` of the classes in
-    the bitmap `wanted`; copies collapse before they are shuffled."""
+    the bitmap `wanted` and not in `had`; copies collapse before they are shuffled."""
     def emit(b):
         for _, _, batch in text_batches(b.column("text"), SET_BYTES):
             d, h, n, cls = shingle_sets(batch)
             docs_in = wanted.value.has(cls) & (n > 0)
+            if had is not None:
+                docs_in &= ~had.value.has(cls)
             first_of = np.zeros(len(cls), bool)
             first_of[np.unique(cls, return_index=True)[1]] = True
             docs_in &= first_of
@@ -206,23 +218,36 @@ def _sets(docs: DataFrame, sketch, wanted) -> DataFrame:
     return saved(rows.dropDuplicates(["cls"]), "ngram-sets")
 
 
+def _need(na: Column, nb: Column) -> Column:
+    return F.ceil((na + nb) * F.lit(PERCENT) / F.lit(100 + PERCENT))
+
+
 def least_shared(na: Column, nb: Column) -> Column:
     """How many prefix shingles two sets share at least when they link: of the
     needed overlap, what lies behind the shorter prefix is taken off."""
-    need = F.ceil((na + nb) * F.lit(PERCENT) / F.lit(100 + PERCENT))
+    need = _need(na, nb)
     behind = lambda n: F.ceil(n * F.lit(PERCENT) / F.lit(100)) - 1
     return F.greatest(F.least(need - behind(na), need - behind(nb)), F.lit(1))
 
 
+def _early(na: Column, at_a: Column, nb: Column, at_b: Column) -> tuple[Column, Column]:
+    """Whether a shared shingle lies so early in both sets that a linking pair shares
+    `few` of that kind: the first n - need + few places of two sets hold that many."""
+    few = F.least(least_shared(na, nb), F.lit(FEW))
+    return F.least(na - at_a, nb - at_b) + few > _need(na, nb), few
+
+
 def _sizes_fit(na: Column, nb: Column) -> Column:
     return 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sketch) -> DataFrame:
+def _ends(pairs: DataFrame):
+    return hash_bitmap(pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))), "cls")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the candidates `a, b` (first order passed), those that pass the other
     orders and then the exact test."""
-    ends = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
-    sets = _sets(docs, sketch, hash_bitmap(ends, "cls"))
     side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in sets.columns])
     both = (pairs.join(side("a"), F.col("a") == F.col("cls_a")).join(side("b"), F.col("b") == F.col("cls_b")))
     na, nb = F.col("n_a"), F.col("n_b")
@@ -255,6 +280,39 @@ def _led(postings: DataFrame) -> DataFrame:
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _placed(postings: DataFrame, found: DataFrame) -> DataFrame:
+    """`postings` with their component `comp`."""
+    return postings.join(found, F.col("cls") == F.col("id"), "left").select(
+        "token", "cls", "n", "at", F.coalesce("component", "cls").alias("comp"))
+
+
+def _crowded(placed: DataFrame) -> tuple[int, DataFrame]:
+    """The shingles that pairs of different components share more than CROWD times
+    for each of their classes, and the number of those pairs."""
+    each = placed.groupBy("token", "comp").agg(F.count("*").alias("k"))
+    pairs = ((F.col("k") * F.col("k") - F.col("own")) / 2).cast("long")
+    crowded = saved(each.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
+                    .select("token", "k", pairs.alias("pairs")).where(F.col("pairs") > CROWD * F.col("k")), "ngram-crowded")
+    return crowded.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0], crowded.select("token")
+
+
+def _gathered(placed: DataFrame, crowded: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
+    """Candidates `a, b`: the classes of the crowded shingles, each with the HEADS
+    classes of its shingle that come first in `heads` (cls, rank), where those are of
+    other components; both have `sets`."""
+    hot = placed.join(crowded, "token", "left_semi").join(sets.select("cls"), "cls", "left_semi")
+    hot = saved(hot.join(heads, "cls"), "ngram-hot")
+    first = F.slice(F.sort_array(F.collect_list(F.struct("rank", "cls", "n", "comp"))), 1, HEADS)
+    # a partial list of every task and bucket, so no list holds a whole shingle
+    some = hot.groupBy("token", F.pmod(F.xxhash64("cls"), F.lit(64)).alias("s")).agg(first.alias("m"))
+    some = some.groupBy("token").agg(F.slice(F.sort_array(F.flatten(F.collect_list("m"))), 1, HEADS).alias("m"))
+    lead = saved(some.select("token", F.explode("m").alias("m")).select(
+        "token", F.col("m.cls").alias("h"), F.col("m.n").alias("nh"), F.col("m.comp").alias("comph")), "ngram-heads")
+    near = (hot.join(lead, "token").where((F.col("comp") != F.col("comph")) & _sizes_fit(F.col("n"), F.col("nh")))
+            .select(F.least("cls", "h").alias("a"), F.greatest("cls", "h").alias("b")))
+    return near.distinct()
+
+
 def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members, and (id, component) over the classes that link with others."""
     members, pieces = _survey(docs)
@@ -264,23 +322,42 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     postings = saved(_tokens(docs, sketch, shared).distinct(), "ngram-postings")
 
     best = saved(_led(postings), "ngram-star")
-    links = saved(_verified(best, docs, sketch), "ngram-links")
+    known = _ends(best)
+    sets = _sets(docs, sketch, known)
+    links = saved(_verified(best, sets), "ngram-links")
     found = saved(components(links), "ngram-components")
 
+    # classes of crowded shingles meet heads of them until that gathers few more
+    front = postings.where(_early(F.col("n"), F.col("at"), F.col("n"), F.col("at"))[0])
+    size = postings.groupBy("cls").agg(F.count("*").alias("size"))
+    pairs, crowded = _crowded(_placed(front, found))
+    turn = 0
+    while pairs:
+        # first those with most shared shingles, then others
+        heads = size.select("cls", F.struct((F.col("size") * F.lit(-1 if turn == 0 else 0)).alias("r"),
+                                            F.xxhash64("cls", F.lit(turn)).alias("h")).alias("rank"))
+        near = saved(_gathered(_placed(front, found), crowded, heads, sets), "ngram-gathered")
+        links = links.unionByName(saved(_verified(near, sets), "ngram-links"))
+        found = saved(components(links), "ngram-components")
+        before, (pairs, crowded) = pairs, _crowded(_placed(front, found))
+        turn += 1
+        if 2 * pairs > before:
+            break
+
     # classes of different components, pair by pair
-    placed = postings.join(found, F.col("cls") == F.col("id"), "left").select(
-        "token", "cls", "n", F.coalesce("component", "cls").alias("comp"))
-    placed = saved(placed, "ngram-placed")
+    placed = saved(_placed(postings, found), "ngram-placed")
     mixed = saved(placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                   .where("lo < hi").select("token"), "ngram-mixed")
     left = saved(placed.join(mixed, "token", "left_semi"), "ngram-left")
     x, y = left.alias("x"), left.alias("y")
+    early, few = _early(F.col("x.n"), F.col("x.at"), F.col("y.n"), F.col("y.at"))
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls"))
-                    & (F.col("x.comp") != F.col("y.comp")) & _sizes_fit(F.col("x.n"), F.col("y.n")))
-             .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.n").alias("na"),
-                      F.col("y.n").alias("nb")).agg(F.count("*").alias("c"))
-             .where(F.col("c") >= least_shared(F.col("na"), F.col("nb"))).select("a", "b"))
-    more = saved(_verified(saved(pairs, "ngram-pairs"), docs, sketch), "ngram-links")
+                    & (F.col("x.comp") != F.col("y.comp")) & _sizes_fit(F.col("x.n"), F.col("y.n")) & early)
+             .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), few.alias("few")).agg(F.count("*").alias("c"))
+             .where(F.col("c") >= F.col("few")).select("a", "b"))
+    pairs = saved(pairs, "ngram-pairs")
+    sets = sets.unionByName(_sets(docs, sketch, _ends(pairs), known))
+    more = saved(_verified(pairs, sets), "ngram-links")
     return members, saved(components(links.unionByName(more)), "ngram-components")
 
 
