@@ -2,7 +2,8 @@
 
 Rounds of large-star and small-star: every node hands its smaller neighbour on
 to its larger ones, until the edges form one star per component.  Each round is
-written to the shared folder, so a lost executor repeats one round at most.
+written to the shared folder, so a lost executor repeats one round at most; the
+round before is removed then.
 Nothing but two sums per round reaches the driver.  Group minima are
 pre-aggregated and joined back from written tables, so Spark can split the join
 of a node with very many neighbours.
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import saved
+from tidewater.llm.common import dropped, saved
 
 
 def _min_neighbour(pairs: DataFrame, name: str) -> DataFrame:
@@ -29,13 +30,15 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = _min_neighbour(both, "cc-large").select("u", F.least("u", "m").alias("m"))
+        least = _min_neighbour(both, "cc-large")
+        low = least.select("u", F.least("u", "m").alias("m"))
         large = (both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .distinct())
         large = saved(large, "cc-large-edges")
         low = _min_neighbour(large, "cc-small")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = saved(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
+        old, e = e, saved(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
+        dropped(least, large, low, old)
         # equal counts and hash sums of consecutive rounds: nothing moved
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if before == (now["n"], now["s"]):

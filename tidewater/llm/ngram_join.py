@@ -37,8 +37,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, digests, hash_bitmap, mix, saved, signed,
-                                  text_batches, windows_of)
+from tidewater.llm.common import (U64, Batch, Rolling, arrow_apply, digests, dropped, hash_bitmap, mix, saved,
+                                  shuffles_freed, signed, text_batches, windows_of)
 from tidewater.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -120,8 +120,8 @@ class Sketch:
         return self.level[(h >> U64(64 - CELL_BITS)).astype(np.int64)]
 
 
-def _survey(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (doc_id, cls, n_shingles) and sketch pieces, in one pass."""
+def _survey(docs: DataFrame) -> DataFrame:
+    """Members and sketch pieces, in one pass."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -146,13 +146,15 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                      pa.array(used, pa.int32()), pa.array([part[i].tobytes() for i in used], pa.binary())], names)
 
     names = ["doc_id", "cls", "n_shingles", "chunk", "cells"]
-    both = saved(docs.select("doc_id", "text").mapInArrow(
+    return saved(docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, cls long, n_shingles long, chunk int, cells binary"), "ngram-survey")
-    return (both.where("chunk is null").select("doc_id", "cls", "n_shingles"),
-            both.where("chunk is not null").select("chunk", "cells"))
 
 
-def _sketch(pieces: DataFrame):
+def _members(survey: DataFrame) -> DataFrame:
+    return survey.where("chunk is null").select("doc_id", "cls", "n_shingles")
+
+
+def _sketch(survey: DataFrame):
     """Broadcast of the summed sketch: 2**CELL_BITS cells, whatever the input."""
     def add(batches):
         sums: dict = {}
@@ -165,9 +167,13 @@ def _sketch(pieces: DataFrame):
                                               "cells": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
 
     cells = np.zeros(1 << CELL_BITS, np.int64)
-    for r in pieces.repartition("chunk").mapInArrow(add, "chunk int, cells binary").collect():
+    spark = survey.sparkSession
+    with shuffles_freed(spark):
+        pieces = survey.where("chunk is not null").select("chunk", "cells").repartition("chunk")
+        sums = pieces.mapInArrow(add, "chunk int, cells binary").collect()
+    for r in sums:
         cells[r["chunk"] * CHUNK_CELLS:(r["chunk"] + 1) * CHUNK_CELLS] = np.frombuffer(r["cells"], np.int64)
-    return pieces.sparkSession.sparkContext.broadcast(Sketch(cells))
+    return spark.sparkContext.broadcast(Sketch(cells))
 
 
 def _tokens(docs: DataFrame, sketch, shared=None) -> DataFrame:
@@ -277,7 +283,9 @@ def _led(postings: DataFrame) -> DataFrame:
     c = c.where(F.col("c") >= least_shared(F.col("na"), F.col("n")))
     best = c.groupBy("b").agg(F.slice(F.sort_array(F.collect_list(F.struct("c", "a")), asc=False), 1, 2).alias("m"))
     best = best.select("b", F.explode("m.a").alias("a"))
-    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    best = saved(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-star")
+    dropped(leaders, some)
+    return best
 
 
 def _placed(postings: DataFrame, found: DataFrame) -> DataFrame:
@@ -310,18 +318,20 @@ def _gathered(placed: DataFrame, crowded: DataFrame, heads: DataFrame, sets: Dat
         "token", F.col("m.cls").alias("h"), F.col("m.n").alias("nh"), F.col("m.comp").alias("comph")), "ngram-heads")
     near = (hot.join(lead, "token").where((F.col("comp") != F.col("comph")) & _sizes_fit(F.col("n"), F.col("nh")))
             .select(F.least("cls", "h").alias("a"), F.greatest("cls", "h").alias("b")))
-    return near.distinct()
+    near = saved(near.distinct(), "ngram-gathered")
+    dropped(hot, lead)
+    return near
 
 
 def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members, and (id, component) over the classes that link with others."""
-    members, pieces = _survey(docs)
-    sketch = _sketch(pieces)
+    """The survey, and (id, component) over the classes that link with others."""
+    survey = _survey(docs)
+    sketch = _sketch(survey)
     seen = _tokens(docs, sketch).groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
     shared = hash_bitmap(seen.where("lo < hi"), "token")
     postings = saved(_tokens(docs, sketch, shared).distinct(), "ngram-postings")
 
-    best = saved(_led(postings), "ngram-star")
+    best = _led(postings)
     known = _ends(best)
     sets = _sets(docs, sketch, known)
     links = saved(_verified(best, sets), "ngram-links")
@@ -336,7 +346,7 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         # first those with most shared shingles, then others
         heads = size.select("cls", F.struct((F.col("size") * F.lit(-1 if turn == 0 else 0)).alias("r"),
                                             F.xxhash64("cls", F.lit(turn)).alias("h")).alias("rank"))
-        near = saved(_gathered(_placed(front, found), crowded, heads, sets), "ngram-gathered")
+        near = _gathered(_placed(front, found), crowded, heads, sets)
         links = links.unionByName(saved(_verified(near, sets), "ngram-links"))
         found = saved(components(links), "ngram-components")
         before, (pairs, crowded) = pairs, _crowded(_placed(front, found))
@@ -346,9 +356,11 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # classes of different components, pair by pair
     placed = saved(_placed(postings, found), "ngram-placed")
+    dropped(postings)
     mixed = saved(placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                   .where("lo < hi").select("token"), "ngram-mixed")
     left = saved(placed.join(mixed, "token", "left_semi"), "ngram-left")
+    dropped(placed, mixed)
     x, y = left.alias("x"), left.alias("y")
     early, few = _early(F.col("x.n"), F.col("x.at"), F.col("y.n"), F.col("y.at"))
     pairs = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.cls") < F.col("y.cls"))
@@ -356,9 +368,10 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .groupBy(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), few.alias("few")).agg(F.count("*").alias("c"))
              .where(F.col("c") >= F.col("few")).select("a", "b"))
     pairs = saved(pairs, "ngram-pairs")
-    sets = sets.unionByName(_sets(docs, sketch, _ends(pairs), known))
-    more = saved(_verified(pairs, sets), "ngram-links")
-    return members, saved(components(links.unionByName(more)), "ngram-components")
+    others = _sets(docs, sketch, _ends(pairs), known)
+    more = saved(_verified(pairs, sets.unionByName(others)), "ngram-links")
+    dropped(sets, others)
+    return survey, saved(components(links.unionByName(more)), "ngram-components")
 
 
 def _classes(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -369,13 +382,16 @@ def _classes(members: DataFrame, groups: DataFrame) -> DataFrame:
     placed = saved(own.join(groups, F.col("cls") == F.col("id"), "left").select(
         "cls", "d", F.coalesce("component", "cls").alias("comp")), "ngram-placed")
     low = saved(placed.groupBy("comp").agg(F.min(F.struct("d", "cls")).alias("m")), "ngram-low")
-    return saved(placed.join(low, "comp").select("cls", F.col("m.d.doc_id").alias("component_id"),
-                                                 F.col("m.cls").alias("rep_cls")), "ngram-result")
+    result = saved(placed.join(low, "comp").select("cls", F.col("m.d.doc_id").alias("component_id"),
+                                                   F.col("m.cls").alias("rep_cls")), "ngram-result")
+    dropped(own, placed, low)
+    return result
 
 
 def ngram_groups(docs: DataFrame) -> DataFrame:
     """`doc_id, n_shingles, component_id`, one row per document."""
-    members, groups = _groups(docs)
+    survey, groups = _groups(docs)
+    members = _members(survey)
     classes = _classes(members, groups).select(F.col("cls").alias("k"), "component_id")
     # documents without words link with nothing; spread them over the join
     key = F.coalesce("cls", F.xxhash64("doc_id", F.lit("no words")))
@@ -387,9 +403,12 @@ def ngram_groups(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """Filter form: one document of each group, the one with the smallest doc_id,
     and every document without words; with their own columns."""
-    members, groups = _groups(docs)
-    reps = _classes(members, groups).where("cls = rep_cls").select(
-        F.col("cls").alias("rep"), F.col("component_id").alias("rep_id"))
+    survey, groups = _groups(docs)
+    # one key for class and id: rows with a null id meet as well, and the copies of
+    # a kept row lie together after the join, so that texts are shuffled once
+    reps = _classes(_members(survey), groups).where("cls = rep_cls").select(
+        F.struct("cls", F.col("component_id").alias("match_id")).alias("rep"))
+    dropped(survey)
     names = [f"own_{i}" for i in range(len(docs.columns))]
     own = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)],
                       F.col("doc_id").alias("match_id"), F.col("text").alias("match_text"))
@@ -405,8 +424,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
     marked = arrow_apply(own, add, f"{fields}, cls long")
-    kept = (marked.where("cls is not null")
-            .join(reps, (F.col("cls") == F.col("rep")) & F.col("match_id").eqNullSafe(F.col("rep_id")))
-            .dropDuplicates(["cls", "match_id"]))
+    kept = (marked.where("cls is not null").withColumn("row", F.struct("cls", "match_id")).drop("cls", "match_id")
+            .join(reps, F.col("row") == F.col("rep")).dropDuplicates(["row"]))
     out = kept.select(*names).unionByName(marked.where("cls is null").select(*names))
     return out.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

@@ -189,9 +189,15 @@ def quality_rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """Filter form: the documents that pass, with their own columns, unmoved."""
+    """Filter form: the documents that pass, with their own columns, unmoved.  Only
+    the references are written: a second look at the texts costs less than a copy of them."""
+    refs = saved(references(histograms(docs.select("text", "lang"))), "quality-references")
     plain = docs.select(*[F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)],
                         F.col("text").alias("_text"), F.col("lang").alias("_lang_in"))
-    m = saved(measure(plain, "_text", "_lang_in").drop("_text", "_lang_in"), "quality")
-    good = judge(m, references(m)).where("kept")
+    own = [f"own_{i}" for i in range(len(docs.columns))]
+    m = measure(plain, "_text", "_lang_in").drop("_text", "_lang_in")
+    # the measures as the rows of a generator: no filter on them moves below it, where
+    # each of its terms would be measured anew
+    m = m.select(*own, F.inline(F.array(F.struct(*[c for c in m.columns if c not in own]))))
+    good = judge(m, refs).where("kept")
     return good.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)])
